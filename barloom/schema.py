@@ -60,6 +60,12 @@ CANDLE_SCHEMA = T.StructType(
     ]
 )
 
+# The stored candle table. Reading with it keeps product names text, which
+# Spark would otherwise guess from the folder names.
+TABLE_SCHEMA = T.StructType(
+    [*[T.StructField(name, T.StringType()) for name in SERIES], *CANDLE_SCHEMA.fields]
+)
+
 # One landed response. ``page`` is the fetcher's running number: lower arrived
 # earlier. Bar fields arrive as text and are coerced later.
 PAGE_SCHEMA = T.StructType(
