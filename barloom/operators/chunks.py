@@ -30,8 +30,10 @@ from barloom.schema import OHLCV, SERIES
 
 # Grid slots per position bucket: one bucket row stands for up to this many bars.
 BUCKET_BARS = 65_536
-# Bars per chunk without its halo.
-CHUNK_BARS = 4_096
+# Bars per chunk without its halo. With the halo of the standard indicators a chunk
+# stays under 4,096 rows, up to which Spark's window operator keeps its rows in a
+# plain memory buffer (spark.sql.windowExec.buffer.in.memory.threshold).
+CHUNK_BARS = 3_584
 
 # exp(-x) is 0.0 in double precision beyond _VANISHED, exp(x) overflows beyond 709.
 _VANISHED = 746.0
@@ -87,7 +89,8 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
 
     Time buckets are counted first (partial aggregation, one row per bucket),
     running totals over buckets give each bucket's first position, and bars are
-    numbered inside their bucket. Spark picks the join by the bucket table's size.
+    numbered inside their bucket. The bucket table is at most one row per bucket
+    present in a partition, so hashing it needs neither its size nor a sort.
     """
     bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
     spare = f"{_SPARE_BUCKET}L + pmod(xxhash64({', '.join(OHLCV)}), {_SPARE_BUCKETS}L)"
@@ -113,7 +116,7 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
     )
     numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY start)"
     return (
-        keyed.join(seams, [*SERIES, "_bucket"], "left")
+        keyed.join(seams.hint("shuffle_hash"), [*SERIES, "_bucket"], "left")
         .selectExpr("*", f"row_number() {numbered} AS _nth", f"lag(close) {numbered} AS _before")
         .selectExpr(
             *bars.columns,
@@ -188,7 +191,8 @@ def chunk_bars(
     ).selectExpr("*", "coalesce(_chunk, _bucket) AS chunk")
     if decays:
         states = _chunk_states(indexed, decays, lookback, core)
-        chunked = chunked.join(states, [*SERIES, "chunk"], "left")
+        # One state row per chunk: a small hash table per partition, and no sort.
+        chunked = chunked.join(states.hint("shuffle_hash"), [*SERIES, "chunk"], "left")
     half = (core + lookback) // 2
     return chunked.selectExpr(
         "*",

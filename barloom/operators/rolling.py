@@ -14,17 +14,19 @@ from barloom.operators.chunks import bars_ago, over_last, over_so_far
 
 Phases = list[dict[str, str]]
 
-# Longest frame that is read directly.
-_SHORT = 50
+# Longest frame that is read directly, and longest piece of a longer one.
+_DIRECT = 26
+_PIECE = 48
 
 
 def _piece_length(n: int) -> int:
-    return -(-n // -(-n // _SHORT))
+    pieces = max(2, -(-n // _PIECE))
+    return -(-n // pieces)
 
 
 def rolling_sum(source: str, n: int, out: str) -> Phases:
     """Sum of the last n values; only meaningful where none of them is missing."""
-    if n <= _SHORT:
+    if n <= _DIRECT:
         return [{out: over_last(f"sum({source})", n)}]
     stride = _piece_length(n)
     pieces, rest = divmod(n, stride)
@@ -38,7 +40,7 @@ def rolling_sum(source: str, n: int, out: str) -> Phases:
 
 
 def _rolling_extreme(pick: str, merge: str, source: str, n: int, out: str) -> Phases:
-    if n <= _SHORT:
+    if n <= _DIRECT:
         return [{out: over_last(f"{pick}({source})", n)}]
     stride = _piece_length(n)
     piece = f"_{out}_piece"
