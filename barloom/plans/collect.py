@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.functions.cleaning import candle_columns, coerce, with_display_date
 from barloom.functions.clock import last_closed
@@ -26,14 +27,21 @@ def merged(history: DataFrame, arrived: DataFrame) -> DataFrame:
     return merge_keep_first(history, with_display_date(coerce(arrived)))
 
 
-def append_arrived(spark: SparkSession, arrived: DataFrame, table_path: str) -> None:
-    """Top up a stored table in place.
+def append_arrived(spark: SparkSession, arrived: DataFrame, table_path: str) -> bool:
+    """Top up a stored table in place; False if there was nothing to add it from.
 
     As stored bars always win, topping up is appending the keys that are not
-    there yet: no stored file is rewritten. Doing it twice adds nothing.
+    there yet: no stored file is rewritten, and doing it twice adds nothing. Of
+    the history only the keys in the time range of the new bars are read.
     """
-    fresh = candle_columns(with_display_date(keep_first(coerce(arrived))))
-    history = candle_table(spark, table_path)
-    if history is not None:
-        fresh = new_keys(history, fresh)
-    save_partitioned(fresh, table_path, mode="append")
+    fresh = candle_columns(with_display_date(keep_first(coerce(arrived)))).persist()
+    try:
+        first, last = fresh.agg(F.min("start"), F.max("start")).first()
+        if first is None:
+            return False
+        history = candle_table(spark, table_path, first, last)
+        added = fresh if history is None else new_keys(history, fresh)
+        save_partitioned(added, table_path, mode="append")
+        return True
+    finally:
+        fresh.unpersist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,14 +73,30 @@ def save_partitioned(
     )
 
 
-def candle_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored bars, or None while there is no table yet."""
+def candle_table(
+    spark: SparkSession, path: str, first: int | None = None, last: int | None = None
+) -> DataFrame | None:
+    """The stored bars, or None while there is no table yet.
+
+    With ``first`` and ``last`` (bar starts) only that stretch is read: folders
+    of other years and row groups of other times are skipped.
+    """
     try:
-        return spark.read.schema(TABLE_SCHEMA).parquet(path).select(*TABLE_SCHEMA.names)
+        table = spark.read.schema(TABLE_SCHEMA).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if first is not None and last is not None:
+        if "year" in table.columns:
+            years = (_utc_year(first), _utc_year(last))
+            table = table.filter(F.col("year").between(*years))
+        table = table.filter(F.col("start").between(first, last))
+    return table.select(*TABLE_SCHEMA.names)
+
+
+def _utc_year(epoch: int) -> int:
+    return (datetime(1970, 1, 1) + timedelta(seconds=epoch)).year
 
 
 def rewrite_partitions(

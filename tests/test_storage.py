@@ -179,3 +179,17 @@ def test_stream_equals_batch(spark, tmp_path):
     expected = [(0, 8.0), (3600, 2.0), (7200, 1.0), (10800, 3.0)]
     assert prices(candle_table(spark, table)) == expected
     assert candle_table(spark, table).select(*SERIES).distinct().count() == 1
+
+
+def test_top_up_reads_only_the_stretch_it_needs(spark):
+    path = scratch(spark)
+    days = [(86400 * 300 * i, float(i)) for i in range(20)]
+    save_partitioned(stored(spark, days), path)
+    stretch = candle_table(spark, path, 86400 * 400, 86400 * 1000)
+    assert prices(stretch) == days[2:4]
+    plan = stretch._jdf.queryExecution().executedPlan().toString()
+    assert "year" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert "GreaterThanOrEqual(start" in plan
+    assert not append_arrived(spark, arrived(spark, []), path)
+    assert append_arrived(spark, arrived(spark, [(86400 * 600, 9.0), (86400 * 601, 8.0)]), path)
+    assert len(prices(candle_table(spark, path))) == 21
