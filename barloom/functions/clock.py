@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barloom.functions.calendar import exchange_wall_sql, period_sql, wall_epoch_sql
+from barloom.functions.calendar import exchange_wall_sql, period_sql
 from barloom.schema import EXCHANGE_ZONE, PERIOD_SECONDS
 
 
 def last_closed_sql(granularity: str, now: str) -> str:
-    wall = exchange_wall_sql(now)
-    day = f"date_sub(cast({wall} as date), if(hour({wall}) < 20, 1, 0))"
-    close = f"timestampadd(HOUR, 20, cast({day} as timestamp_ntz))"
-    daily = wall_epoch_sql(f"convert_timezone('{EXCHANGE_ZONE}', 'UTC', {close})")
+    # 20:00 is twenty hours into the day that wall time minus twenty hours falls on.
+    day = f"cast({exchange_wall_sql(now)} - interval '20' hour as date)"
+    close = f"cast({day} as timestamp_ntz) + interval '20' hour"
+    utc = f"convert_timezone('{EXCHANGE_ZONE}', 'UTC', {close})"
+    daily = f"(unix_date(cast({utc} as date)) * 86400L + hour({utc}) * 3600)"
     intraday = ", ".join(f"'{name}'" for name in PERIOD_SECONDS if name != "ONE_DAY")
     return (
         f"(CASE WHEN {granularity} = 'ONE_DAY' THEN {daily}"

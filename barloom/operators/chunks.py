@@ -85,12 +85,15 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
     New columns: ``pos``, ``prev_close``, ``null_close_at`` and
     ``null_range_at`` (start of the first bar so far without a close, without a
     high or low), ``_bucket``. Keys (series, start) are expected to be unique,
-    as in every table this package writes. A bar with a null key gets a null ``pos``.
+    as in every table this package writes; repeated ones are kept and counted as
+    bars of their own. A bar with a null key gets a null ``pos``.
 
     Time buckets are counted first (partial aggregation, one row per bucket),
     running totals over buckets give each bucket's first position, and bars are
-    numbered inside their bucket. The bucket table is at most one row per bucket
-    present in a partition, so hashing it needs neither its size nor a sort.
+    numbered inside their bucket. The running totals are the one place that
+    orders a whole series, and the calendar bounds it: a century of any series
+    has at most 48,000 buckets. The bucket table is one row per bucket present
+    in a partition, so hash-joining it needs neither a size check nor a sort.
     """
     bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
     spare = f"{_SPARE_BUCKET}L + pmod(xxhash64({', '.join(OHLCV)}), {_SPARE_BUCKETS}L)"
@@ -114,7 +117,8 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
             f"min(_no_range) OVER ({order} CURRENT ROW) AS null_range_at",
         )
     )
-    numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY start)"
+    # Keys should be unique; if they are not, equal starts have a fixed order.
+    numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY start, close, high, low)"
     return (
         keyed.join(seams.hint("shuffle_hash"), [*SERIES, "_bucket"], "left")
         .selectExpr("*", f"row_number() {numbered} AS _nth", f"lag(close) {numbered} AS _before")

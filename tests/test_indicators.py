@@ -191,3 +191,16 @@ def test_no_window_is_partitioned_by_series_alone(spark):
             spec = line[line.rindex("], [product_id") :]
             assert "chunk" in spec or "_bucket" in spec
     assert "PythonUDF" not in plan and "InPandas" not in plan
+
+
+def test_repeated_keys_are_bars_of_their_own(spark):
+    bars = sorted(
+        [{**b} for b in SERIES["B"]] + [{**b} for b in SERIES["B"][50:60]] * 2,
+        key=lambda b: (b["start"], b["close"]),
+    )
+    got = feature_table(table(spark, {"A": bars}, 5), core=64).collect()
+    assert len(got) == len(bars)
+    expected = brute.features(bars)
+    order = sorted(got, key=lambda r: (r["start"], r["rsi_lag1"] or 0))
+    assert_close([r["sma_50"] for r in order][-300:], expected["sma_50"][-300:])
+    assert_close([r["rsi"] for r in order][-300:], expected["rsi"][-300:])
