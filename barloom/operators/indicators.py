@@ -81,23 +81,25 @@ def add_indicators(
     bucket_bars: int = BUCKET_BARS,
 ) -> DataFrame:
     """All input columns and rows, plus the outputs of the indicators in order."""
-    phases: Phases = []
-    made_in: dict[str, int] = {}
+    steps: dict[int, dict[str, str]] = {}
+    made_at: dict[str, int] = {}
     for item in indicators:
-        at = 1 + max((made_in[name] for name in item.needs if name in made_in), default=-1)
-        for i, phase in enumerate(item.phases):
-            while len(phases) <= at + i:
-                phases.append({})
-            new = {name: sql for name, sql in phase.items() if name not in made_in}
-            phases[at + i].update(new)
-            made_in.update(dict.fromkeys(new, at + i))
+        at = 1 + max((made_at[name] for name in item.needs if name in made_at), default=-1)
+        for phase in item.phases:
+            # Even steps only project, odd ones hold the windows: what indicators
+            # of different depth do between two windows shares a window operator.
+            at += (at % 2 == 0) == any(" OVER (" in sql for sql in phase.values())
+            new = {name: sql for name, sql in phase.items() if name not in made_at}
+            steps.setdefault(at, {}).update(new)
+            made_at.update(dict.fromkeys(new, at))
+            at += 1
     decays = {d.name: d for item in indicators for d in item.decays}
     lookback = max((item.lookback for item in indicators), default=0)
     for item in indicators:
         check_chunk(item.shrinks, core, lookback)
     frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars)
-    for phase in phases:
-        frame = frame.selectExpr("*", *[f"{sql} AS {name}" for name, sql in phase.items()])
+    for _, step in sorted(steps.items()):
+        frame = frame.selectExpr("*", *[f"{sql} AS {name}" for name, sql in step.items()])
     outputs = [name for item in indicators for name in item.outputs]
     return core_bars(frame).select(*bars.columns, *outputs)
 
@@ -288,31 +290,40 @@ def ewm_rsi(n: int = 70, out: str = "ewm_rsi") -> Indicator:
 
 
 def super_smoother(source: str = "close", n: int = 20, out: str = "super_smoother") -> Indicator:
-    """Two-pole low-pass filter of the source.
+    """Two-pole low-pass filter of the mean of the source and the source before.
 
     The filter weighs an input q bars back by ``r**q * sin((q+1)*theta)/sin(theta)``,
-    so its output is a pair of running sums. The weights shrink by r per bar:
-    what lies further back than the halo weighs under 1e-30, far below the
-    rounding of a double, so a chunk needs no state from the chunk before.
+    so its output is made of two running sums, and so is its output for the bar
+    before. The weights shrink by r per bar: what lies further back than the
+    halo weighs under 1e-30, far below the rounding of a double, so a chunk
+    needs no state from the chunk before. The first bar of a series enters
+    whole instead of by its share.
     """
     theta = math.sqrt(2) * SMOOTHER_PI / n
     r = math.exp(-SMOOTHER_PI * math.sqrt(2) / n)
-    share = number((1 - 2 * r * math.cos(theta) + r * r) / 2)
+    share = (1 - 2 * r * math.cos(theta) + r * r) / 2
     memory = math.ceil(72 / -math.log(r))
-    fed, cos_sum, sin_sum = f"_{out}_in", f"_{out}_cos", f"_{out}_sin"
+    cos_sum, sin_sum, opening = f"_{out}_cos", f"_{out}_sin", f"_{out}_opening"
     scale, turn = f"power({number(r)}, age)", number(theta)
-    pair = f"{share} * ({source} + {bars_ago(source, 1)})"
-    wave = f"(sin((age + 1) * {turn}) * {cos_sum} - cos((age + 1) * {turn}) * {sin_sum})"
+
+    def both(call: str) -> str:
+        """A factor of the bar's own output plus that of the output before."""
+        return f"({call}((age + 1) * {turn}) + {call}(age * {turn}) / {number(r)})"
+
+    wave = f"{number(share)} * {scale} * ({both('sin')} * {cos_sum} - {both('cos')} * {sin_sum})"
+    rest = f"power({number(r)}, pos) * sin((pos + 1) * {turn}) * {opening}"
+    start = f"if(chunk = 0, {number(1 - share)} * {rest}, 0D)"
     known = _CLOSE_KNOWN if source == "close" else "true"
+    fed = f"coalesce({source}, 0D) / {scale}"
     phases = [
-        {fed: f"coalesce(if(pos = 0, {source}, {pair}), 0D)"},
         {
-            cos_sum: over_so_far(f"sum({fed} / {scale} * cos(age * {turn}))"),
-            sin_sum: over_so_far(f"sum({fed} / {scale} * sin(age * {turn}))"),
+            cos_sum: over_so_far(f"sum({fed} * cos(age * {turn}))"),
+            sin_sum: over_so_far(f"sum({fed} * sin(age * {turn}))"),
+            opening: over_so_far(f"first({source})"),
         },
         {
             out: f"if(pos is not null and {known},"
-            f" {scale} / {number(math.sin(theta))} * {wave}, null)"
+            f" ({wave} + {start}) / {number(math.sin(theta))}, null)"
         },
     ]
     return Indicator((out,), phases, lookback=memory, needs=(source,), shrinks=r)

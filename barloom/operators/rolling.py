@@ -2,10 +2,10 @@
 
 Spark re-reads every row of a sliding frame, so a frame of n bars costs n steps
 per row. A long frame is therefore put together from equal short ones: one short
-sliding frame, then a few ``lag`` reads of it. A read costs a few steps and
-brings generated code of its own, hence few, fairly long pieces. Each function
-returns phases: dicts of SQL by output name, where a later phase uses the
-columns of the one before.
+sliding frame, then ``lag`` reads of it. A read costs about a step, but brings
+generated code of its own, so the pieces are chosen a little longer than their
+number. Each function returns phases: dicts of SQL by output name, where a later
+phase uses the columns of the one before.
 """
 
 from __future__ import annotations
@@ -14,39 +14,49 @@ from barloom.operators.chunks import bars_ago, over_last, over_so_far
 
 Phases = list[dict[str, str]]
 
-# Longest frame that is read directly, and longest piece of a longer one.
-_DIRECT = 26
-_PIECE = 48
+# What a lag read weighs against a step of a sliding frame.
+_SUM_READ = 1.5
+_EXTREME_READ = 3.0
 
 
-def _piece_length(n: int) -> int:
-    pieces = max(2, -(-n // _PIECE))
-    return -(-n // pieces)
+def _sum_piece(n: int) -> int:
+    """Piece length for a sum: n = pieces * length + rest, the rest a frame of its own."""
+
+    def cost(length: int) -> float:
+        pieces, rest = divmod(n, length)
+        return length + rest + _SUM_READ * (pieces - 1 + (rest > 0))
+
+    return min(range(1, n + 1), key=cost)
+
+
+def _extreme_piece(n: int) -> int:
+    """Piece length for an extreme, whose pieces may overlap."""
+    return min(range(1, n + 1), key=lambda k: k + _EXTREME_READ * (-(-n // k) - 1))
 
 
 def rolling_sum(source: str, n: int, out: str) -> Phases:
     """Sum of the last n values; only meaningful where none of them is missing."""
-    if n <= _DIRECT:
+    length = _sum_piece(n)
+    if length == n:
         return [{out: over_last(f"sum({source})", n)}]
-    stride = _piece_length(n)
-    pieces, rest = divmod(n, stride)
+    pieces, rest = divmod(n, length)
     piece, tail = f"_{out}_piece", f"_{out}_tail"
-    short = {piece: over_last(f"sum({source})", stride)}
-    reads = [bars_ago(piece, i * stride) for i in range(pieces)]
+    short = {piece: over_last(f"sum({source})", length)}
+    reads = [bars_ago(piece, i * length) for i in range(pieces)]
     if rest:
         short[tail] = over_last(f"sum({source})", rest)
-        reads.append(bars_ago(tail, pieces * stride))
+        reads.append(bars_ago(tail, pieces * length))
     return [short, {out: " + ".join(reads)}]
 
 
 def _rolling_extreme(pick: str, merge: str, source: str, n: int, out: str) -> Phases:
-    if n <= _DIRECT:
+    length = _extreme_piece(n)
+    if length == n:
         return [{out: over_last(f"{pick}({source})", n)}]
-    stride = _piece_length(n)
     piece = f"_{out}_piece"
-    offsets = [*range(0, n - stride, stride), n - stride]
+    offsets = [*range(0, n - length, length), n - length]
     reads = ", ".join(bars_ago(piece, k) for k in offsets)
-    return [{piece: over_last(f"{pick}({source})", stride)}, {out: f"{merge}({reads})"}]
+    return [{piece: over_last(f"{pick}({source})", length)}, {out: f"{merge}({reads})"}]
 
 
 def rolling_min(source: str, n: int, out: str) -> Phases:
