@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import floor_div_sql, grid_sql
-from barloom.schema import OHLCV, SERIES
+from barloom.schema import KEYS, SERIES
 
 # Grid slots per position bucket: one bucket row stands for up to this many bars.
 BUCKET_BARS = 65_536
@@ -38,11 +38,10 @@ CHUNK_BARS = 3_584
 # exp(-x) is 0.0 in double precision beyond _VANISHED, exp(x) overflows beyond 709.
 _VANISHED = 746.0
 _LARGEST_EXPONENT = 650.0
-# Bars without a start have no position; they are spread over spare buckets.
-_SPARE_BUCKET = -(1 << 62)
-_SPARE_BUCKETS = 1_024
 
 _KEYS = ", ".join(SERIES)
+# A bar that lacks its series or its start has no position.
+PLACED = " and ".join(f"{name} is not null" for name in KEYS)
 _CHUNK = f"PARTITION BY {_KEYS}, chunk ORDER BY pos"
 
 
@@ -79,14 +78,18 @@ def bars_ago(source: str, k: int) -> str:
     return f"lag({source}, {k}) OVER ({_CHUNK})" if k else source
 
 
-def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
+def index_bars(
+    bars: DataFrame,
+    bucket_bars: int = BUCKET_BARS,
+    ties: Sequence[str] = ("close", "high", "low"),
+) -> DataFrame:
     """Add each bar's 0-based position in its series, and its neighbourhood.
 
     New columns: ``pos``, ``prev_close``, ``null_close_at`` and
     ``null_range_at`` (start of the first bar so far without a close, without a
-    high or low), ``_bucket``. Keys (series, start) are expected to be unique,
-    as in every table this package writes; repeated ones are kept and counted as
-    bars of their own. A bar with a null key gets a null ``pos``.
+    high or low). Bars without a key are left out. Keys (series, start) are
+    expected to be unique, as in every table this package writes; repeated ones
+    count as bars of their own, in the order of the ``ties`` columns.
 
     Time buckets are counted first (partial aggregation, one row per bucket),
     running totals over buckets give each bucket's first position, and bars are
@@ -96,12 +99,10 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
     in a partition, so hash-joining it needs neither a size check nor a sort.
     """
     bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
-    spare = f"{_SPARE_BUCKET}L + pmod(xxhash64({', '.join(OHLCV)}), {_SPARE_BUCKETS}L)"
-    keyed = bars.selectExpr("*", f"if(start is null, {spare}, {bucket}) AS _bucket")
-    order = f"PARTITION BY {_KEYS} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    keyed = bars.filter(PLACED).selectExpr("*", f"{bucket} AS _bucket")
+    until = f"PARTITION BY {_KEYS} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND"
     seams = (
-        keyed.filter("start is not null")
-        .groupBy(*SERIES, "_bucket")
+        keyed.groupBy(*SERIES, "_bucket")
         .agg(
             F.expr("count(1) AS _n"),
             F.expr("max_by(close, start) AS _last"),
@@ -111,20 +112,19 @@ def index_bars(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
         .selectExpr(
             *SERIES,
             "_bucket",
-            f"coalesce(sum(_n) OVER ({order} 1 PRECEDING), 0L) AS _base",
+            f"coalesce(sum(_n) OVER ({until} 1 PRECEDING), 0L) AS _base",
             f"lag(_last) OVER (PARTITION BY {_KEYS} ORDER BY _bucket) AS _seam",
-            f"min(_no_close) OVER ({order} CURRENT ROW) AS null_close_at",
-            f"min(_no_range) OVER ({order} CURRENT ROW) AS null_range_at",
+            f"min(_no_close) OVER ({until} CURRENT ROW) AS null_close_at",
+            f"min(_no_range) OVER ({until} CURRENT ROW) AS null_range_at",
         )
     )
-    # Keys should be unique; if they are not, equal starts have a fixed order.
-    numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY start, close, high, low)"
+    order = ", ".join(["start", *ties])
+    numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY {order})"
     return (
         keyed.join(seams.hint("shuffle_hash"), [*SERIES, "_bucket"], "left")
         .selectExpr("*", f"row_number() {numbered} AS _nth", f"lag(close) {numbered} AS _before")
         .selectExpr(
             *bars.columns,
-            "_bucket",
             "_base + _nth - 1 AS pos",
             "if(_nth = 1, _seam, _before) AS prev_close",
             "null_close_at",
@@ -146,8 +146,7 @@ def _chunk_states(
     owner = f"(pos + {lookback}) div {core}L"
     left = f"({owner} + 1) * {core}L - {lookback + 1} - pos"
     own = (
-        indexed.filter("pos is not null")
-        .groupBy(*SERIES, F.expr(f"{owner} AS _owner"))
+        indexed.groupBy(*SERIES, F.expr(f"{owner} AS _owner"))
         .agg(
             *[
                 F.expr(f"sum({d.term} * power({number(d.a)}, {left})) AS {d.name}")
@@ -181,6 +180,7 @@ def chunk_bars(
     decays: Sequence[Decay] = (),
     core: int = CHUNK_BARS,
     bucket_bars: int = BUCKET_BARS,
+    ties: Sequence[str] = ("close", "high", "low"),
 ) -> DataFrame:
     """Bars with ``chunk`` and ``age`` (bars since the middle of the chunk).
 
@@ -188,11 +188,9 @@ def chunk_bars(
     """
     for decay in decays:
         check_chunk(decay.a, core, lookback)
-    indexed = index_bars(bars, bucket_bars)
+    indexed = index_bars(bars, bucket_bars, ties)
     first, last = f"pos div {core}L", f"(pos + {lookback}) div {core}L"
-    chunked = indexed.selectExpr(
-        "*", f"explode_outer(sequence({first}, {last})) AS _chunk"
-    ).selectExpr("*", "coalesce(_chunk, _bucket) AS chunk")
+    chunked = indexed.selectExpr("*", f"explode(sequence({first}, {last})) AS chunk")
     if decays:
         states = _chunk_states(indexed, decays, lookback, core)
         # One state row per chunk: a small hash table per partition, and no sort.
@@ -202,12 +200,12 @@ def chunk_bars(
         "*",
         f"pos - (chunk * {core}L - {lookback}) - {half} AS age",
         f"{half + 1} AS _half",
-        f"(pos is null or chunk = {first}) AS _core",
+        f"chunk = {first} AS _core",
     )
 
 
 def core_bars(chunked: DataFrame) -> DataFrame:
-    """Each input bar once: drops the halo copies."""
+    """Each placed bar once: drops the halo copies."""
     return chunked.filter("_core")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from barloom.operators.chunks import (
     BUCKET_BARS,
     CHUNK_BARS,
+    PLACED,
     Decay,
     bars_ago,
     check_chunk,
@@ -97,11 +98,19 @@ def add_indicators(
     lookback = max((item.lookback for item in indicators), default=0)
     for item in indicators:
         check_chunk(item.shrinks, core, lookback)
-    frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars)
+    # Only what is computed from is read: most indicators need no high and low.
+    used = [sql for step in steps.values() for sql in step.values()]
+    used += [d.term for d in decays.values()]
+    ties = ["close", *(name for name in ("high", "low") if any(name in sql for sql in used))]
+    frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties)
     for _, step in sorted(steps.items()):
         frame = frame.selectExpr("*", *[f"{sql} AS {name}" for name, sql in step.items()])
     outputs = [name for item in indicators for name in item.outputs]
-    return core_bars(frame).select(*bars.columns, *outputs)
+    measured = core_bars(frame).select(*bars.columns, *outputs)
+    # Bars without a key go around the windows: they keep their row, without values.
+    kinds = dict(measured.select(*outputs).dtypes)
+    blank = [f"cast(null as {kinds[name]}) AS {name}" for name in outputs]
+    return measured.unionByName(bars.filter(f"not ({PLACED})").selectExpr("*", *blank))
 
 
 # --- building blocks ---------------------------------------------------------
@@ -284,7 +293,7 @@ def ewm_rsi(n: int = 70, out: str = "ewm_rsi") -> Indicator:
     up = Decay(f"ewm{n}_up", 1 - 1 / n, f"{_gain(_LOG_CHANGE)} * {weight}")
     down = Decay(f"ewm{n}_down", 1 - 1 / n, f"{_loss(_LOG_CHANGE)} * {weight}")
     ratio = f"_{up.name} / if(_{down.name} = 0, {number(TINY)}, _{down.name})"
-    value = f"if(pos is null, null, 100 - 100 / (1 + {ratio}))"
+    value = f"100 - 100 / (1 + {ratio})"
     phases = [{f"_{d.name}": decay_value(d) for d in (up, down)}, {out: value}]
     return Indicator((out,), phases, decays=(up, down))
 
@@ -322,7 +331,7 @@ def super_smoother(source: str = "close", n: int = 20, out: str = "super_smoothe
             opening: over_so_far(f"first({source})"),
         },
         {
-            out: f"if(pos is not null and {known},"
+            out: f"if({known},"
             f" ({wave} + {start}) / {number(math.sin(theta))}, null)"
         },
     ]
@@ -351,7 +360,7 @@ def es_stoch_rsi_d(
     """Mean of the last n values of ``k`` (fewer at the start); list it after ``k``."""
     k = k or es_stoch_rsi_k()
     source = k.outputs[0]
-    value = f"if(pos is null, null, {over_last(f'avg({source})', n)})"
+    value = over_last(f"avg({source})", n)
     return Indicator((out,), [{out: value}], lookback=k.lookback + n - 1, needs=(source,))
 
 

@@ -204,3 +204,16 @@ def test_repeated_keys_are_bars_of_their_own(spark):
     order = sorted(got, key=lambda r: (r["start"], r["rsi_lag1"] or 0))
     assert_close([r["sma_50"] for r in order][-300:], expected["sma_50"][-300:])
     assert_close([r["rsi"] for r in order][-300:], expected["rsi"][-300:])
+
+
+def test_scan_reads_only_the_columns_used(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    table(spark).write.parquet(path)
+    got = ind.add_indicators(spark.read.parquet(path), ind.sma(14), ind.rsi())
+    picked = got.select("product_id", "granularity", "start", "sma_14", "rsi")
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert schemas
+    for line in schemas:
+        read = line[line.index("ReadSchema") :]
+        assert not any(f"{name}:" in read for name in ("open", "high", "low", "volume")), read
