@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import language, secret_scan, simhash
+from barloom.llm import exact_topk, language, mixing, secret_scan, simhash, vp_tree
 from barloom.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs, language.held_out())
@@ -28,6 +32,16 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    taken = F.col("size") * F.col("copies")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -36,8 +50,31 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_neighbours": op2_neighbours,
     "op3_language": op3_language,
+    "op6_mixing": op6_mixing,
+    "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_mixing": mixing.SQL,
+    "op7_topk": """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+         vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+}
