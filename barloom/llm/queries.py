@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_topk, language, mixing, secret_scan, simhash, vp_tree
+from barloom.llm import exact_topk, language, license_scan, mixing, pieces, secret_scan, simhash, vp_tree
 from barloom.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"), license_scan.templates(spark))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     taken = F.col("size") * F.col("copies")
@@ -48,16 +52,26 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load()
+    back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    same = F.col("text").eqNullSafe(F.col("decoded"))
+    return back.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), same.alias("round_trip"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_neighbours": op2_neighbours,
     "op3_language": op3_language,
+    "op5_licenses": op5_licenses,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES = {
+    "op5_licenses": license_scan.SQL,
     "op6_mixing": mixing.SQL,
     "op7_topk": """
 WITH vectors AS (
