@@ -75,17 +75,22 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEMPLATES, "license string, text string")
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _let(value: Column, use) -> Column:
+    """use(value) with the value worked out once, also where lambdas read it for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _shingles(words: Column) -> Column:
+def _shingles(text: Column) -> Column:
     """Hashes of each five words in a row; none if there are fewer."""
-    hashed = lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WORDS)))
-    count = F.size(words) - WORDS
-    return F.when(count >= 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(0))), hashed)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+    def hashed(w: Column) -> Column:
+        count = F.size(w) - WORDS
+        places = F.sequence(F.lit(0), F.greatest(count, F.lit(0)))
+        each = F.transform(places, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(WORDS))))
+        return F.when(count >= 0, each).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(words, hashed)
 
 
 def _band(shingle: Column, band: Column) -> Column:
@@ -100,7 +105,7 @@ def _index(known: DataFrame) -> list:
         lambda b: F.array_min(F.transform("own", lambda x: F.struct(_band(x, b).alias("least"), x.alias("shingle")))),
     )
     return (
-        known.select("license", _shingles(_words(F.col("text"))).alias("shingles"))
+        known.select("license", _shingles(F.col("text")).alias("shingles"))
         .select("license", own.alias("own"))
         .where(F.size("own") > 0)
         .select("license", "own", bands.alias("bands"))
@@ -142,13 +147,18 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     no row; a row that repeats gives its rows again; a null doc_id stays null.
     """
     index = _index(known)
-    shingled = docs.select("doc_id", _shingles(_words(F.col("text"))).alias("shingles"))
     least = sorted({b["shingle"] for row in index for b in row["bands"]})
-    near = shingled.where(F.exists("shingles", lambda x: x.isin(least)))
-    matches = F.flatten(F.transform(_literal(index), _matches))
+    none = F.array().cast("array<struct<license:string,containment:double,first_word:int>>")
+
+    def search(shingles: Column) -> Column:
+        found = F.flatten(F.transform(_literal(index), lambda known: _matches(known, shingles)))
+        return F.when(F.exists(shingles, lambda x: x.isin(least)), found).otherwise(none)
+
+    # One pass over the texts: explode_outer, as no filter may be moved below it and read them again.
     return (
-        near.select("doc_id", matches.alias("all"))
-        .select("doc_id", "all", F.explode(F.array_distinct(F.col("all.license"))).alias("license"))
+        docs.select("doc_id", _let(_shingles(F.col("text")), search).alias("all"))
+        .select("doc_id", "all", F.explode_outer(F.array_distinct(F.col("all.license"))).alias("license"))
+        .where(F.col("license").isNotNull())
         .withColumn("own", F.filter("all", lambda m: m["license"] == F.col("license")))
         .select(
             "doc_id",
@@ -160,18 +170,18 @@ def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def _matches(known: Column) -> Column:
+def _matches(known: Column, shingles: Column) -> Column:
     """The windows of a text that hold a template, as an array."""
     step = known["step"]
     places = F.filter(
-        F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: F.array_contains(known["lead"], F.get("shingles", i))
+        F.sequence(F.lit(0), F.size(shingles) - 1), lambda i: F.array_contains(known["lead"], F.get(shingles, i))
     )
     number = lambda i: F.floor(i / step).cast("int")
     windows = F.array_distinct(
         F.flatten(F.transform(places, lambda i: F.array(number(i), F.greatest(number(i) - 1, F.lit(0)))))
     )
     cut = F.transform(
-        windows, lambda w: F.struct((w * step).alias("at"), F.slice("shingles", w * step + 1, 2 * step).alias("x"))
+        windows, lambda w: F.struct((w * step).alias("at"), F.slice(shingles, w * step + 1, 2 * step).alias("x"))
     )
     agrees = lambda w: F.exists(
         known["bands"],
