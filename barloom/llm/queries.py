@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_topk, language, license_scan, mixing, pieces, secret_scan, simhash, vp_tree
+from barloom.llm import exact_topk, language, license_scan, mixing, pieces, secret_scan, simhash, url_filter, vp_tree
 from barloom.llm.common import table
 
 
@@ -32,6 +32,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.by_terms(pages))
+    return url_filter.judge(pages, model, url_filter.RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(table(spark, sf_dir, "documents"), license_scan.templates(spark))
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_neighbours": op2_neighbours,
     "op3_language": op3_language,
+    "op4_urls": op4_urls,
     "op5_licenses": op5_licenses,
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
