@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_topk, language, license_scan, mixing, pieces, secret_scan, simhash, url_filter, vp_tree
+from barloom.llm import exact_topk, html_text, language, license_scan, mixing, pieces, secret_scan, simhash, url_filter, vp_tree
 from barloom.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), html_text.train()).drop("html")
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load()
     back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
@@ -74,6 +78,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_topk": op7_topk,
     "op8_simhash": op8_simhash,
+    "op9_html": op9_html,
     "op10_pieces": op10_pieces,
 }
 

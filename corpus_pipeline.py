@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import language, secret_scan, simhash
+from barloom.llm import language, mixing, pieces, secret_scan, simhash
 from barloom.llm.common import shared_folder, table
 from barloom.llm.queries import secret_ratio
 
@@ -26,10 +27,23 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return secret_scan.redacted(docs, secret_ratio(spark, docs))
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix of sources takes them."""
+    return mixing.emitted(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, lang, ids, n_ids) of all documents."""
+    whole = pieces.encode(docs.select("doc_id", "source", "lang", "text"), pieces.load())
+    return whole.withColumn("n_ids", F.coalesce(F.size("ids"), F.lit(0))).drop("text")
+
+
 STAGES = [
     ("language", known_language),
     ("near_duplicates", one_of_each),
     ("secrets", without_secrets),
+    ("mix", mixed),
+    ("pieces", encoded),
 ]
 
 #: Language codes, fingerprints in Python and tokens are beyond SQL; tests hold stages against plain versions.
