@@ -51,6 +51,21 @@ def event_bars(spark: SparkSession, sf_dir: str, granularity: str = "FIFTEEN_MIN
     return _bars(ticks, granularity)
 
 
+def minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events on a grid of minutes, as one series that is longer than a chunk."""
+    ticks = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        f"{floor_div_sql(wall_epoch_sql('ts'), 60)} * 60L AS start", "value", "ts"
+    )
+    return ticks.groupBy(F.lit("ALL").alias("product_id"), "start").agg(
+        F.lit("FIFTEEN_MINUTE").alias("granularity"),
+        F.min_by("value", "ts").alias("open"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.max_by("value", "ts").alias("close"),
+        F.count(F.lit(1)).cast("double").alias("volume"),
+    )
+
+
 def rounded(df: DataFrame, places: int = 6, **special: int) -> DataFrame:
     """Doubles rounded for comparison with another engine."""
     return df.selectExpr(

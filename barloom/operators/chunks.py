@@ -38,11 +38,15 @@ CHUNK_BARS = 3_584
 # exp(-x) is 0.0 in double precision beyond _VANISHED, exp(x) overflows beyond 709.
 _VANISHED = 746.0
 _LARGEST_EXPONENT = 650.0
+# Half the exponent that a block of a fast decay spans: the whole is beyond _VANISHED.
+_BLOCK_EXPONENT = 600.0
+# Bars since the first one of the chunk, halo included.
+OFFSET = "(_age + _half - 1)"
 
 _KEYS = ", ".join(SERIES)
 # A bar that lacks its series or its start has no position.
 PLACED = " and ".join(f"{name} is not null" for name in KEYS)
-_CHUNK = f"PARTITION BY {_KEYS}, chunk ORDER BY pos"
+_CHUNK = f"PARTITION BY {_KEYS}, _chunk ORDER BY _pos"
 
 
 @dataclass(frozen=True)
@@ -73,6 +77,30 @@ def over_so_far(call: str) -> str:
     return f"{call} OVER ({_CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
+def block_length(a: float, rows: int) -> int | None:
+    """Bars per block of a chunk of so many rows, or None if it needs no blocks.
+
+    Weights run from a**(-n/2) to a**(n/2) over n bars and must fit a double. A
+    chunk that is too long for that is cut into blocks so long that nothing is
+    left of one after the next.
+    """
+    if -math.log(a) * rows / 2 <= _LARGEST_EXPONENT:
+        return None
+    return max(1, math.floor(2 * _BLOCK_EXPONENT / -math.log(a)))
+
+
+def over_block(call: str, length: int) -> str:
+    """``call`` over the bars so far of the current block of the chunk."""
+    spec = f"PARTITION BY {_KEYS}, _chunk, {OFFSET} div {length}L ORDER BY _pos"
+    return f"{call} OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def block_before(value: str, length: int) -> str:
+    """Value at the end of the block before; null in the first block."""
+    ended = f"if({OFFSET} % {length} = {length - 1}, {value}, null)"
+    return f"last({ended}, true) OVER ({_CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
 def bars_ago(source: str, k: int) -> str:
     """Value of a column k bars earlier."""
     return f"lag({source}, {k}) OVER ({_CHUNK})" if k else source
@@ -85,9 +113,9 @@ def index_bars(
 ) -> DataFrame:
     """Add each bar's 0-based position in its series, and its neighbourhood.
 
-    New columns: ``pos``, ``prev_close``, ``null_close_at`` and
-    ``null_range_at`` (start of the first bar so far without a close, without a
-    high or low). Bars without a key are left out. Keys (series, start) are
+    New columns: ``_pos``, ``_prev_close``, ``_total`` (bars of the series),
+    ``_null_close_at`` and ``_null_range_at`` (start of the first bar so far
+    without a close, without a high or low). Bars without a key are left out. Keys (series, start) are
     expected to be unique, as in every table this package writes; repeated ones
     count as bars of their own, in the order of the ``ties`` columns.
 
@@ -95,8 +123,7 @@ def index_bars(
     running totals over buckets give each bucket's first position, and bars are
     numbered inside their bucket. The running totals are the one place that
     orders a whole series, and the calendar bounds it: a century of any series
-    has at most 48,000 buckets. The bucket table is one row per bucket present
-    in a partition, so hash-joining it needs neither a size check nor a sort.
+    has at most 48,000 buckets.
     """
     bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
     keyed = bars.filter(PLACED).selectExpr("*", f"{bucket} AS _bucket")
@@ -113,22 +140,24 @@ def index_bars(
             *SERIES,
             "_bucket",
             f"coalesce(sum(_n) OVER ({until} 1 PRECEDING), 0L) AS _base",
+            f"sum(_n) OVER (PARTITION BY {_KEYS}) AS _total",
             f"lag(_last) OVER (PARTITION BY {_KEYS} ORDER BY _bucket) AS _seam",
-            f"min(_no_close) OVER ({until} CURRENT ROW) AS null_close_at",
-            f"min(_no_range) OVER ({until} CURRENT ROW) AS null_range_at",
+            f"min(_no_close) OVER ({until} CURRENT ROW) AS _null_close_at",
+            f"min(_no_range) OVER ({until} CURRENT ROW) AS _null_range_at",
         )
     )
     order = ", ".join(["start", *ties])
     numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY {order})"
     return (
-        keyed.join(seams.hint("shuffle_hash"), [*SERIES, "_bucket"], "left")
+        keyed.join(seams, [*SERIES, "_bucket"], "left")
         .selectExpr("*", f"row_number() {numbered} AS _nth", f"lag(close) {numbered} AS _before")
         .selectExpr(
             *bars.columns,
-            "_base + _nth - 1 AS pos",
-            "if(_nth = 1, _seam, _before) AS prev_close",
-            "null_close_at",
-            "null_range_at",
+            "_base + _nth - 1 AS _pos",
+            "if(_nth = 1, _seam, _before) AS _prev_close",
+            "_total",
+            "_null_close_at",
+            "_null_range_at",
         )
     )
 
@@ -139,24 +168,28 @@ def _chunk_states(
     """State of every recursion just before each chunk's first row (halo included).
 
     Chunk k starts at bar ``k*core - lookback``; the bars from there up to the
-    start of chunk k+1 are summed to what they leave behind at their end.
+    start of chunk k+1 are summed to what they leave behind at their end. A sum
+    goes only to chunks that the series has.
     """
     slowest = min(-math.log(d.a) for d in decays)
     reach = math.ceil(_VANISHED / (core * slowest)) + 1
-    owner = f"(pos + {lookback}) div {core}L"
-    left = f"({owner} + 1) * {core}L - {lookback + 1} - pos"
+    owner = f"(_pos + {lookback}) div {core}L"
+    left = f"({owner} + 1) * {core}L - {lookback + 1} - _pos"
+    ahead = f"(max(_total) - 1) div {core}L - _owner"
     own = (
         indexed.groupBy(*SERIES, F.expr(f"{owner} AS _owner"))
         .agg(
+            F.expr(f"least({reach}L, {ahead}) AS _ahead"),
             *[
                 F.expr(f"sum({d.term} * power({number(d.a)}, {left})) AS {d.name}")
                 for d in decays
-            ]
+            ],
         )
+        .filter("_ahead > 0")
     )
     return (
-        own.selectExpr("*", f"explode(sequence(1, {reach})) AS _step")
-        .groupBy(*SERIES, F.expr("_owner + _step AS chunk"))
+        own.selectExpr("*", "explode(sequence(1L, _ahead)) AS _step")
+        .groupBy(*SERIES, F.expr("_owner + _step AS _chunk"))
         .agg(
             *[
                 F.expr(
@@ -168,12 +201,6 @@ def _chunk_states(
     )
 
 
-def check_chunk(a: float, core: int, lookback: int) -> None:
-    """A chunk's weights run from a**(-n/2) to a**(n/2); they must fit a double."""
-    if -math.log(a) * (core + lookback) / 2 > _LARGEST_EXPONENT:
-        raise ValueError(f"a chunk of {core} + {lookback} bars is too long for decay {a}")
-
-
 def chunk_bars(
     bars: DataFrame,
     lookback: int = 0,
@@ -182,25 +209,25 @@ def chunk_bars(
     bucket_bars: int = BUCKET_BARS,
     ties: Sequence[str] = ("close", "high", "low"),
 ) -> DataFrame:
-    """Bars with ``chunk`` and ``age`` (bars since the middle of the chunk).
+    """Bars with ``_chunk`` and ``_age`` (bars since the middle of the chunk).
 
     Halo rows are copies: keep only ``core_bars`` of the result at the end.
     """
-    for decay in decays:
-        check_chunk(decay.a, core, lookback)
     indexed = index_bars(bars, bucket_bars, ties)
-    first, last = f"pos div {core}L", f"(pos + {lookback}) div {core}L"
-    chunked = indexed.selectExpr("*", f"explode(sequence({first}, {last})) AS chunk")
-    if decays:
-        states = _chunk_states(indexed, decays, lookback, core)
-        # One state row per chunk: a small hash table per partition, and no sort.
-        chunked = chunked.join(states.hint("shuffle_hash"), [*SERIES, "chunk"], "left")
+    first, last = f"_pos div {core}L", f"(_pos + {lookback}) div {core}L"
+    # A halo belongs to a chunk that has bars of its own.
+    last = f"least({last}, (_total - 1) div {core}L)"
+    chunked = indexed.selectExpr("*", f"explode(sequence({first}, {last})) AS _chunk")
+    lasting = [decay for decay in decays if decay.a > 0]
+    if lasting:
+        states = _chunk_states(indexed, lasting, lookback, core)
+        chunked = chunked.join(states, [*SERIES, "_chunk"], "left")
     half = (core + lookback) // 2
     return chunked.selectExpr(
         "*",
-        f"pos - (chunk * {core}L - {lookback}) - {half} AS age",
+        f"_pos - (_chunk * {core}L - {lookback}) - {half} AS _age",
         f"{half + 1} AS _half",
-        f"chunk = {first} AS _core",
+        f"_chunk = {first} AS _core",
     )
 
 
@@ -209,15 +236,29 @@ def core_bars(chunked: DataFrame) -> DataFrame:
     return chunked.filter("_core")
 
 
-def decay_value(decay: Decay) -> str:
-    """``y`` of a recursion on a frame made by ``chunk_bars``.
+def decay_phases(decay: Decay, rows: int, out: str) -> list[dict[str, str]]:
+    """``y`` of a recursion on a frame made by ``chunk_bars`` with chunks of so many rows.
 
     Inside a chunk the recursion is a running sum of ``term / a**age``, scaled
     back by ``a**age``. Ages count from the middle of the chunk to stay in range.
     A running sum only grows towards the newer, larger weights, so rounding
-    does not build up with the chunk length.
+    does not build up with the chunk length. A decay too fast for the chunk sums
+    up blocks of it, each with what the block before leaves.
     """
+    if decay.a == 0:
+        return [{out: f"coalesce({decay.term}, 0D)"}]
     a = number(decay.a)
-    local = over_so_far(f"sum({decay.term} * power({a}, -age))")
-    state = f"coalesce(_in_{decay.name}, 0D)"
-    return f"coalesce({local}, 0D) * power({a}, age) + power({a}, age + _half) * {state}"
+    state = f"power({a}, _age + _half) * coalesce(_in_{decay.name}, 0D)"
+    length = block_length(decay.a, rows)
+    if length is None:
+        local = over_so_far(f"sum({decay.term} * power({a}, -_age))")
+        return [{out: f"coalesce({local}, 0D) * power({a}, _age) + {state}"}]
+    off = f"({OFFSET} % {length})"
+    age = f"({off} - {length // 2})"
+    local = over_block(f"sum({decay.term} * power({a}, -{age}))", length)
+    own, before = f"{out}_block", f"{out}_before"
+    return [
+        {own: f"coalesce({local}, 0D) * power({a}, {age})"},
+        {before: block_before(own, length)},
+        {out: f"{own} + power({a}, {off} + 1) * coalesce({before}, 0D) + {state}"},
+    ]

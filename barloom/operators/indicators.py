@@ -7,6 +7,7 @@ one pass: one shuffle to chunks and one sort, shared by every window.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,12 +17,16 @@ from barloom.operators.chunks import (
     CHUNK_BARS,
     PLACED,
     Decay,
+    OFFSET,
     bars_ago,
-    check_chunk,
+    block_before,
+    block_length,
     chunk_bars,
     core_bars,
-    decay_value,
+    decay_phases,
+    index_bars,
     number,
+    over_block,
     over_last,
     over_so_far,
 )
@@ -42,20 +47,20 @@ SMOOTHER_PI = 3.14159265359
 TINY = 1e-10
 # -----------------------------------------------------------------------------
 
-_CHANGE = "(close - prev_close)"
-_LOG_CHANGE = "(ln(close) - ln(prev_close))"
+_CHANGE = "(close - _prev_close)"
+_LOG_CHANGE = "(ln(close) - ln(_prev_close))"
 _NO_CLOSE = "close is null"
 _NO_RANGE = "high is null or low is null"
 _TRUE_RANGE = (
-    "if(high is null or low is null or prev_close is null, null,"
-    " greatest(high - low, abs(high - prev_close), abs(low - prev_close)))"
+    "if(high is null or low is null or _prev_close is null, null,"
+    " greatest(high - low, abs(high - _prev_close), abs(low - _prev_close)))"
 )
 # Recursive indicators end with the first bar that lacks an input. The true
 # range uses the close before, so a missing close ends it one bar later.
-_CLOSE_KNOWN = "(null_close_at is null or start < null_close_at)"
+_CLOSE_KNOWN = "(_null_close_at is null or start < _null_close_at)"
 _RANGE_KNOWN = (
-    "((null_range_at is null or start < null_range_at)"
-    " and (null_close_at is null or start <= null_close_at))"
+    "((_null_range_at is null or start < _null_range_at)"
+    " and (_null_close_at is null or start <= _null_close_at))"
 )
 
 
@@ -63,56 +68,93 @@ _RANGE_KNOWN = (
 class Indicator:
     """Output columns, how many earlier bars they see, and how to compute them.
 
-    ``phases`` are applied in turn. ``needs`` names columns made by indicators
-    listed before; ``shrinks`` is the decay of a filter that runs inside chunks.
+    ``phases`` are applied in turn; phases that depend on the number of rows in a
+    chunk are a function of it. ``lookback`` counts from the columns that the
+    indicator ``needs``, which may be made by indicators listed before and look
+    back themselves.
     """
 
     outputs: tuple[str, ...]
-    phases: Phases
+    phases: Phases | Callable[[int], Phases]
     lookback: int = 0
     decays: tuple[Decay, ...] = ()
     needs: tuple[str, ...] = ()
-    shrinks: float = 1.0
+
+    def steps(self, rows: int) -> Phases:
+        return self.phases(rows) if callable(self.phases) else self.phases
+
+
+#: Columns of a frame in the making that an expression can ask for.
+_PLACES = ("_pos", "_prev_close", "_null_close_at", "_null_range_at")
 
 
 def add_indicators(
     bars: DataFrame,
     *indicators: Indicator,
-    core: int = CHUNK_BARS,
+    core: int | None = None,
     bucket_bars: int = BUCKET_BARS,
 ) -> DataFrame:
-    """All input columns and rows, plus the outputs of the indicators in order."""
+    """All input columns and rows, plus the outputs of the indicators in order.
+
+    An indicator listed twice is computed once; two different ones for the same
+    column are an error. Names of further input columns must not begin with an
+    underscore. ``core`` is the number of bars per chunk; by default it grows with
+    the longest look-back.
+    """
+    reserved = [name for name in bars.columns if name.startswith("_")]
+    if reserved:
+        raise ValueError(f"columns that begin with an underscore are reserved: {reserved}")
+    # What a column sees in all: its own frame on top of what its inputs see.
+    seen: dict[str, int] = {}
+    for item in indicators:
+        total = item.lookback + max((seen.get(name, 0) for name in item.needs), default=0)
+        seen.update(dict.fromkeys(item.outputs, total))
+    lookback = max(seen.values(), default=0)
+    core = core or max(CHUNK_BARS, 2 * lookback)
     steps: dict[int, dict[str, str]] = {}
-    made_at: dict[str, int] = {}
+    made: dict[str, tuple[int, str]] = {}
     for item in indicators:
-        at = 1 + max((made_at[name] for name in item.needs if name in made_at), default=-1)
-        for phase in item.phases:
+        at = 1 + max((made[name][0] for name in item.needs if name in made), default=-1)
+        for phase in item.steps(core + lookback):
             # Even steps only project, odd ones hold the windows: what indicators
             # of different depth do between two windows shares a window operator.
             at += (at % 2 == 0) == any(" OVER (" in sql for sql in phase.values())
-            new = {name: sql for name, sql in phase.items() if name not in made_at}
-            steps.setdefault(at, {}).update(new)
-            made_at.update(dict.fromkeys(new, at))
+            for name, sql in phase.items():
+                if name in bars.columns or made.get(name, (at, sql))[1] != sql:
+                    raise ValueError(f"column {name} is made in two ways")
+                if name not in made:
+                    steps.setdefault(at, {})[name] = sql
+                    made[name] = at, sql
             at += 1
     decays = {d.name: d for item in indicators for d in item.decays}
-    lookback = max((item.lookback for item in indicators), default=0)
-    for item in indicators:
-        check_chunk(item.shrinks, core, lookback)
     # Only what is computed from is read: most indicators need no high and low.
     used = [sql for step in steps.values() for sql in step.values()]
     used += [d.term for d in decays.values()]
+    outputs = list(dict.fromkeys(name for item in indicators for name in item.outputs))
     ties = ["close", *(name for name in ("high", "low") if any(name in sql for sql in used))]
-    frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties)
+    windows = bool(decays) or any(" OVER (" in sql for sql in used)
+    if windows:
+        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties)
+    elif any(place in sql for sql in used for place in _PLACES):
+        frame = index_bars(bars, bucket_bars, ties)
+    else:
+        frame = bars
     for _, step in sorted(steps.items()):
         frame = frame.selectExpr("*", *[f"{sql} AS {name}" for name, sql in step.items()])
-    outputs = [name for item in indicators for name in item.outputs]
-    measured = core_bars(frame).select(*bars.columns, *outputs)
+    if frame is bars or not (windows or any(place in sql for sql in used for place in _PLACES)):
+        return frame.select(*bars.columns, *outputs)
+    measured = (core_bars(frame) if windows else frame).select(*bars.columns, *outputs)
     # Bars without a key go around the windows: they keep their row, without values.
     kinds = dict(measured.select(*outputs).dtypes)
     blank = [f"cast(null as {kinds[name]}) AS {name}" for name in outputs]
     return measured.unionByName(bars.filter(f"not ({PLACED})").selectExpr("*", *blank))
 
 
+def _named(name: str, given: tuple[int, ...], usual: tuple[int, ...]) -> str:
+    """A column's name; other periods than the usual ones are part of it."""
+    return name if given == usual else "_".join([name, *map(str, given)])
+
+
 # --- building blocks ---------------------------------------------------------
 
 
@@ -174,31 +216,29 @@ def sma(n: int = 14, out: str | None = None) -> Indicator:
     return Indicator((out,), [*phases, {out: value}], lookback=n - 1)
 
 
-def macd(fast: int = 12, slow: int = 26, signal: int = 9) -> Indicator:
+def macd(fast: int = 12, slow: int = 26, signal: int = 9, out: str | None = None) -> Indicator:
     """Difference of two simple means of the close, its simple mean, and their gap.
 
     All three start together, on the first bar where the signal is defined.
     """
+    out = out or _named("macd", (fast, slow, signal), (12, 26, 9))
     long = max(fast, slow)
     span = long + signal - 1
+    quick, slowly, raw_line, total = (f"_{out}_{x}" for x in ("fast", "slow", "raw", "sum"))
     phases = side_by_side(
-        rolling_sum("close", fast, "_macd_fast"),
-        rolling_sum("close", slow, "_macd_slow"),
+        rolling_sum("close", fast, quick),
+        rolling_sum("close", slow, slowly),
         [{"_gap_close": last_gap(_NO_CLOSE)}],
     )
-    raw = f"_macd_fast / {fast} - _macd_slow / {slow}"
-    phases.append({"_macd_raw": f"if({complete('_gap_close', long)}, {raw}, null)"})
-    phases += rolling_sum("_macd_raw", signal, "_macd_sum")
-    mean = f"if({complete('_gap_close', span)}, _macd_sum / {signal}, null)"
-    warm = f"pos >= {span - 1}"
-    phases.append(
-        {
-            "macd": f"if({warm}, _macd_raw, null)",
-            "macd_signal": f"if({warm}, {mean}, null)",
-            "macd_histogram": f"if({warm}, _macd_raw - {mean}, null)",
-        }
-    )
-    return Indicator(("macd", "macd_signal", "macd_histogram"), phases, lookback=span - 1)
+    raw = f"{quick} / {fast} - {slowly} / {slow}"
+    phases.append({raw_line: f"if({complete('_gap_close', long)}, {raw}, null)"})
+    phases += rolling_sum(raw_line, signal, total)
+    mean = f"if({complete('_gap_close', span)}, {total} / {signal}, null)"
+    warm = f"_pos >= {span - 1}"
+    outputs = (out, f"{out}_signal", f"{out}_histogram")
+    values = (raw_line, mean, f"{raw_line} - {mean}")
+    phases.append({name: f"if({warm}, {value}, null)" for name, value in zip(outputs, values)})
+    return Indicator(outputs, phases, lookback=span - 1)
 
 
 def kijun(period: int = 200, kidiv: int = 1, out: str | None = None) -> Indicator:
@@ -251,54 +291,65 @@ def _wilder(name: str, value: str, n: int) -> Decay:
     The seed mean is written as terms that have decayed to exactly 1/n at bar n.
     """
     a = (n - 1) / n
-    seed = f"power({number(a)}, least(pos - {n}, 0))"
-    return Decay(name, a, f"if(pos >= 1, {value} / {n} * {seed}, 0D)")
+    seed = f"power({number(a)}, least(_pos - {n}, 0))"
+    return Decay(name, a, f"if(_pos >= 1, {value} / {n} * {seed}, 0D)")
+
 
+def _recursive(
+    out: str, decays: tuple[Decay, ...], value: str
+) -> Indicator:
+    """A value made of recursions, which it reads by their names after an underscore."""
 
-def rsi(n: int = 14, out: str = "rsi") -> Indicator:
+    def phases(rows: int) -> Phases:
+        parts = [decay_phases(d, rows, f"_{d.name}") for d in decays]
+        return [*side_by_side(*parts), {out: value}]
+
+    return Indicator((out,), phases, decays=decays)
+
+
+def rsi(n: int = 14, out: str | None = None) -> Indicator:
     """Wilder's relative strength: share of gains in the smoothed moves, 0 to 100."""
+    out = out or _named("rsi", (n,), (14,))
     up = _wilder(f"rsi{n}_up", _gain(_CHANGE), n)
     down = _wilder(f"rsi{n}_down", _loss(_CHANGE), n)
     moves = f"(_{up.name} + _{down.name})"
     share = f"if({moves} = 0, 0D, 100 * _{up.name} / {moves})"
-    value = f"if(pos >= {n} and {_CLOSE_KNOWN}, {share}, null)"
-    phases = [{f"_{d.name}": decay_value(d) for d in (up, down)}, {out: value}]
-    return Indicator((out,), phases, decays=(up, down))
+    return _recursive(out, (up, down), f"if(_pos >= {n} and {_CLOSE_KNOWN}, {share}, null)")
 
 
-def atr(n: int = 14, out: str = "atr") -> Indicator:
+def atr(n: int = 14, out: str | None = None) -> Indicator:
     """Wilder's mean of the true range."""
+    out = out or _named("atr", (n,), (14,))
     mean = _wilder(f"atr{n}_mean", _TRUE_RANGE, n)
-    value = f"if(pos >= {n} and {_RANGE_KNOWN}, _{mean.name}, null)"
-    return Indicator((out,), [{f"_{mean.name}": decay_value(mean)}, {out: value}], decays=(mean,))
+    return _recursive(out, (mean,), f"if(_pos >= {n} and {_RANGE_KNOWN}, _{mean.name}, null)")
 
 
 def ema(n: int = 20, out: str | None = None) -> Indicator:
     """Exponential mean, seeded with the simple mean of the first n closes."""
     out = out or f"ema_{n}"
     a = (n - 1) / (n + 1)
-    seed = f"close / {n} * power({number(a)}, pos - {n - 1})"
-    mean = Decay(f"ema{n}_mean", a, f"if(pos < {n}, {seed}, close * {number(2 / (n + 1))})")
-    value = f"if(pos >= {n - 1} and {_CLOSE_KNOWN}, _{mean.name}, null)"
-    return Indicator((out,), [{f"_{mean.name}": decay_value(mean)}, {out: value}], decays=(mean,))
+    seed = f"close / {n} * power({number(a)}, _pos - {n - 1})"
+    mean = Decay(f"ema{n}_mean", a, f"if(_pos < {n}, {seed}, close * {number(2 / (n + 1))})")
+    return _recursive(out, (mean,), f"if(_pos >= {n - 1} and {_CLOSE_KNOWN}, _{mean.name}, null)")
 
 
-def ewm_rsi(n: int = 70, out: str = "ewm_rsi") -> Indicator:
+def ewm_rsi(n: int = 70, out: str | None = None) -> Indicator:
     """Relative strength of the log price from the first bar on.
 
     Both means start at the first value and weigh a new one 1/n; an unknown
     move counts as none; a zero mean loss is replaced by a tiny one.
     """
-    weight = f"if(pos = 0, 1D, {number(1 / n)})"
+    out = out or _named("ewm_rsi", (n,), (70,))
+    weight = f"if(_pos = 0, 1D, {number(1 / n)})"
     up = Decay(f"ewm{n}_up", 1 - 1 / n, f"{_gain(_LOG_CHANGE)} * {weight}")
     down = Decay(f"ewm{n}_down", 1 - 1 / n, f"{_loss(_LOG_CHANGE)} * {weight}")
     ratio = f"_{up.name} / if(_{down.name} = 0, {number(TINY)}, _{down.name})"
-    value = f"100 - 100 / (1 + {ratio})"
-    phases = [{f"_{d.name}": decay_value(d) for d in (up, down)}, {out: value}]
-    return Indicator((out,), phases, decays=(up, down))
+    return _recursive(out, (up, down), f"100 - 100 / (1 + {ratio})")
 
 
-def super_smoother(source: str = "close", n: int = 20, out: str = "super_smoother") -> Indicator:
+def super_smoother(
+    source: str = "close", n: int = 20, out: str | None = None
+) -> Indicator:
     """Two-pole low-pass filter of the mean of the source and the source before.
 
     The filter weighs an input q bars back by ``r**q * sin((q+1)*theta)/sin(theta)``,
@@ -306,62 +357,77 @@ def super_smoother(source: str = "close", n: int = 20, out: str = "super_smoothe
     before. The weights shrink by r per bar: what lies further back than the
     halo weighs under 1e-30, far below the rounding of a double, so a chunk
     needs no state from the chunk before. The first bar of a series enters
-    whole instead of by its share.
+    whole instead of by its share; a missing value counts as 0. In a chunk that is too long for the weights
+    the sums run over blocks, and the two sums of the block before are added.
     """
+    out = out or _named("super_smoother", (n,), (20,))
     theta = math.sqrt(2) * SMOOTHER_PI / n
     r = math.exp(-SMOOTHER_PI * math.sqrt(2) / n)
     share = (1 - 2 * r * math.cos(theta) + r * r) / 2
     memory = math.ceil(72 / -math.log(r))
     cos_sum, sin_sum, opening = f"_{out}_cos", f"_{out}_sin", f"_{out}_opening"
-    scale, turn = f"power({number(r)}, age)", number(theta)
+    turn = number(theta)
+
+    def wave(age: str, cos_part: str, sin_part: str) -> str:
+        def both(call: str) -> str:
+            """A factor of the bar's own output plus that of the output before."""
+            return f"({call}(({age} + 1) * {turn}) + {call}({age} * {turn}) / {number(r)})"
+
+        scale = f"power({number(r)}, {age})"
+        return f"{number(share)} * {scale} * ({both('sin')} * {cos_part} - {both('cos')} * {sin_part})"
 
-    def both(call: str) -> str:
-        """A factor of the bar's own output plus that of the output before."""
-        return f"({call}((age + 1) * {turn}) + {call}(age * {turn}) / {number(r)})"
+    def fed(call: str, age: str) -> str:
+        return f"sum(coalesce({source}, 0D) / power({number(r)}, {age}) * {call}({age} * {turn}))"
 
-    wave = f"{number(share)} * {scale} * ({both('sin')} * {cos_sum} - {both('cos')} * {sin_sum})"
-    rest = f"power({number(r)}, pos) * sin((pos + 1) * {turn}) * {opening}"
-    start = f"if(chunk = 0, {number(1 - share)} * {rest}, 0D)"
+    rest = f"power({number(r)}, _pos) * sin((_pos + 1) * {turn}) * {opening}"
+    start = f"if(_chunk = 0, {number(1 - share)} * {rest}, 0D)"
     known = _CLOSE_KNOWN if source == "close" else "true"
-    fed = f"coalesce({source}, 0D) / {scale}"
-    phases = [
-        {
-            cos_sum: over_so_far(f"sum({fed} * cos(age * {turn}))"),
-            sin_sum: over_so_far(f"sum({fed} * sin(age * {turn}))"),
-            opening: over_so_far(f"first({source})"),
-        },
-        {
-            out: f"if({known},"
-            f" ({wave} + {start}) / {number(math.sin(theta))}, null)"
-        },
-    ]
-    return Indicator((out,), phases, lookback=memory, needs=(source,), shrinks=r)
+
+    def phases(rows: int) -> Phases:
+        length = block_length(r, rows)
+        first = {opening: f"coalesce({over_so_far(f'first({source})')}, 0D)"}
+        if length is None:
+            age, earlier = "_age", "0D"
+            sums = {cos_sum: over_so_far(fed("cos", age)), sin_sum: over_so_far(fed("sin", age))}
+            between: Phases = []
+        else:
+            age = f"({OFFSET} % {length} - {length // 2})"
+            sums = {
+                cos_sum: over_block(fed("cos", age), length),
+                sin_sum: over_block(fed("sin", age), length),
+            }
+            ends = {f"{name}_before": block_before(name, length) for name in (cos_sum, sin_sum)}
+            between = [ends]
+            earlier = f"coalesce({wave(f'({age} + {length})', *ends)}, 0D)"
+        value = f"({wave(age, cos_sum, sin_sum)} + {earlier} + {start}) / {number(math.sin(theta))}"
+        return [first | sums, *between, {out: f"if({known}, {value}, null)"}]
+
+    return Indicator((out,), phases, lookback=memory, needs=(source,))
 
 
 def es_stoch_rsi_k(
-    smooth: int = 20, rsi_length: int = 70, stoch_length: int = 50, out: str = "es_stoch_rsi_k"
+    smooth: int = 20, rsi_length: int = 70, stoch_length: int = 50, out: str | None = None
 ) -> Indicator:
     """Stochastic of the log-price RSI, put through the super smoother."""
+    out = out or _named("es_stoch_rsi_k", (smooth, rsi_length, stoch_length), (20, 70, 50))
     strength = ewm_rsi(rsi_length, f"_{out}_rsi")
     band = stochastic(f"_{out}_rsi", stoch_length, f"_{out}_raw")
     smoothed = super_smoother(f"_{out}_raw", smooth, out)
+
+    def phases(rows: int) -> Phases:
+        return [*strength.steps(rows), *band.steps(rows), *smoothed.steps(rows)]
+
     return Indicator(
-        (out,),
-        [*strength.phases, *band.phases, *smoothed.phases],
-        lookback=band.lookback + smoothed.lookback + 1,
-        decays=strength.decays,
-        shrinks=smoothed.shrinks,
+        (out,), phases, lookback=band.lookback + smoothed.lookback + 1, decays=strength.decays
     )
 
 
-def es_stoch_rsi_d(
-    n: int = 6, k: Indicator | None = None, out: str = "es_stoch_rsi_d"
-) -> Indicator:
+def es_stoch_rsi_d(n: int = 6, k: Indicator | None = None, out: str | None = None) -> Indicator:
     """Mean of the last n values of ``k`` (fewer at the start); list it after ``k``."""
-    k = k or es_stoch_rsi_k()
-    source = k.outputs[0]
+    out = out or _named("es_stoch_rsi_d", (n,), (6,))
+    source = (k or es_stoch_rsi_k()).outputs[0]
     value = over_last(f"avg({source})", n)
-    return Indicator((out,), [{out: value}], lookback=k.lookback + n - 1, needs=(source,))
+    return Indicator((out,), [{out: value}], lookback=n - 1, needs=(source,))
 
 
 def standard_indicators() -> list[Indicator]:

@@ -71,12 +71,12 @@ def rolling_max(source: str, n: int, out: str) -> Phases:
 
 def last_gap(missing: str) -> str:
     """Position of the latest bar, up to this one, where ``missing`` holds."""
-    return over_so_far(f"max(if({missing}, pos, null))")
+    return over_so_far(f"max(if({missing}, _pos, null))")
 
 
 def complete(gap: str, n: int) -> str:
     """True where the last n bars exist and none of them is a gap."""
-    return f"pos - coalesce({gap}, -1L) >= {n}"
+    return f"_pos - coalesce({gap}, -1L) >= {n}"
 
 
 def side_by_side(*many: Phases) -> Phases:

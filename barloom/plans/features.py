@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import calendar_columns
-from barloom.operators.chunks import BUCKET_BARS, CHUNK_BARS
+from barloom.operators.chunks import BUCKET_BARS
 from barloom.operators.indicators import add_indicators, standard_indicators
 from barloom.schema import CALENDAR_COLUMNS, INDICATOR_COLUMNS
 
@@ -17,7 +17,7 @@ def with_calendar(bars: DataFrame) -> DataFrame:
 
 
 def feature_table(
-    bars: DataFrame, core: int = CHUNK_BARS, bucket_bars: int = BUCKET_BARS
+    bars: DataFrame, core: int | None = None, bucket_bars: int = BUCKET_BARS
 ) -> DataFrame:
     """All series at once; as many rows as ``bars``, which has unique keys.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from barloom.verify.queries import CUTOFF, HISTORY_END, NOW, OVERLAP_START
 
+# ---- fixed values: seconds per bar and bars of a first load ----
 PERIODS = {"FIFTEEN_MINUTE": 900, "ONE_HOUR": 3600, "FOUR_HOUR": 14400, "ONE_DAY": 86400}
 TARGETS = {"FIFTEEN_MINUTE": 360000, "ONE_HOUR": 100000, "FOUR_HOUR": 25000, "ONE_DAY": 4100}
 OHLCV = "open, high, low, close, volume"
@@ -37,6 +38,10 @@ def _event_bars(granularity: str = "FIFTEEN_MINUTE") -> str:
 
 
 EVENT_BARS = _event_bars()
+# Every event on a grid of minutes, as one long series.
+MINUTE_BARS = f"""SELECT 'ALL' AS product_id, 'FIFTEEN_MINUTE' AS granularity, {_epoch("ts")} // 60 * 60 AS start,
+        arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+        CAST(count(*) AS DOUBLE) AS volume FROM events GROUP BY 3"""
 ALL_EVENT_BARS = " UNION ALL ".join(_event_bars(name) for name in PERIODS)
 
 
@@ -125,32 +130,36 @@ _LOG_UP = "coalesce(greatest(ln(i.close) - ln(i.prev), 0.0), 0.0)"
 _LOG_DOWN = "coalesce(greatest(ln(i.prev) - ln(i.close), 0.0), 0.0)"
 _RANGE = "greatest(i.high - i.low, abs(i.high - i.prev), abs(i.low - i.prev))"
 
-# All recursions of the raw bars in one walk.
-WALK = f"""walk AS (
+def _walk(wilder: int = 14, ema: int = 20, ewm: int = 70) -> str:
+    """All recursions of the raw bars in one walk."""
+    return f"""walk AS (
   SELECT product_id, pos, 0.0::DOUBLE AS up, 0.0::DOUBLE AS down, 0.0::DOUBLE AS tr,
-    close / 20 AS ema, 0.0::DOUBLE AS lup, 0.0::DOUBLE AS ldown
+    close / {ema} AS ema, 0.0::DOUBLE AS lup, 0.0::DOUBLE AS ldown
   FROM idx WHERE pos = 0
   UNION ALL
-  SELECT i.product_id, i.pos, {_wilder("up", _UP)}, {_wilder("down", _DOWN)},
-    {_wilder("tr", _RANGE)},
-    CASE WHEN i.pos < 20 THEN r.ema + i.close / 20
-      ELSE r.ema + 2.0::DOUBLE / 21 * (i.close - r.ema) END,
-    (1 - 1.0::DOUBLE / 70) * r.lup + {_LOG_UP} / 70,
-    (1 - 1.0::DOUBLE / 70) * r.ldown + {_LOG_DOWN} / 70
+  SELECT i.product_id, i.pos, {_wilder("up", _UP, wilder)}, {_wilder("down", _DOWN, wilder)},
+    {_wilder("tr", _RANGE, wilder)},
+    CASE WHEN i.pos < {ema} THEN r.ema + i.close / {ema}
+      ELSE r.ema + 2.0::DOUBLE / {ema + 1} * (i.close - r.ema) END,
+    (1 - 1.0::DOUBLE / {ewm}) * r.lup + {_LOG_UP} / {ewm},
+    (1 - 1.0::DOUBLE / {ewm}) * r.ldown + {_LOG_DOWN} / {ewm}
   FROM walk r JOIN idx i ON i.product_id = r.product_id AND i.pos = r.pos + 1),
 measured AS MATERIALIZED (
   SELECT idx.*,
-    CASE WHEN pos >= 14 THEN CASE WHEN up + down = 0 THEN 0 ELSE 100 * up / (up + down) END END
+    CASE WHEN pos >= {wilder} THEN CASE WHEN up + down = 0 THEN 0 ELSE 100 * up / (up + down) END END
       AS rsi,
-    CASE WHEN pos >= 14 THEN tr END AS atr,
-    CASE WHEN pos >= 19 THEN ema END AS ema_20,
+    CASE WHEN pos >= {wilder} THEN tr END AS atr,
+    CASE WHEN pos >= {ema - 1} THEN ema END AS ema_{ema},
     100 - 100 / (1 + lup / CASE WHEN ldown = 0 THEN 1e-10 ELSE ldown END) AS ewm_rsi
   FROM idx JOIN walk USING (product_id, pos))"""
 
 
-def _smooth(source: str, table: str) -> str:
-    a = "exp(-3.14159265359 * sqrt(2.0) / 20)"
-    c2 = f"(2 * {a} * cos(sqrt(2.0) * 3.14159265359 / 20))"
+WALK = _walk()
+
+
+def _smooth(source: str, table: str, n: int = 20) -> str:
+    a = f"exp(-3.14159265359 * sqrt(2.0) / {n})"
+    c2 = f"(2 * {a} * cos(sqrt(2.0) * 3.14159265359 / {n}))"
     c3 = f"(-pow({a}, 2))"
     c1 = f"((1 - {c2} - {c3}) / 2)"
     return f"""fed AS MATERIALIZED (
@@ -374,6 +383,35 @@ ORACLES: dict[str, str] = {
     "rsi_pct": _show(
         ORDER_BARS, _rounded(rsi="rsi", rsi_pct=_minmax("rsi")), "measured", WALK
     ),
+    "rsi_2": _show(ORDER_BARS, _rounded(rsi_2="rsi"), "measured", _walk(2)),
+    "ema_3": _show(ORDER_BARS, _rounded(ema_3=("ema_3", 4)), "measured", _walk(ema=3)),
+    "super_smoother_10": _show(
+        ORDER_BARS,
+        _rounded(super_smoother_10=("f", 4)),
+        "smooth JOIN idx USING (product_id, pos)",
+        _smooth("close", "idx", 10),
+    ),
+    "sma_lags_short_chunks": _show(
+        ORDER_BARS,
+        _rounded(sma_14=("sma", 4), sma_14_lag3=(_lag("sma", 3), 4)),
+        "averaged",
+        f"averaged AS (SELECT *, {_sma(14)} AS sma FROM idx)",
+    ),
+    "sma_position_short_chunks": _show(
+        ORDER_BARS,
+        _rounded(sma_50=("sma", 4), sma_50_pct=_minmax("sma", 20)),
+        "averaged",
+        f"averaged AS (SELECT *, {_sma(50)} AS sma FROM idx)",
+    ),
+    "macd_stoch_short_chunks": _show(
+        ORDER_BARS, _rounded(wave=f"CASE WHEN macd IS NOT NULL THEN {_stoch('macd', 50)} END"), "crossed", MACD
+    ),
+    "long_series": _show(
+        MINUTE_BARS,
+        _rounded(rsi="rsi", atr="atr", ema_20="ema_20", sma_138=_sma(138)),
+        "measured",
+        WALK,
+    ),
     "features_1d": _features(ORDER_BARS),
     "features_15m": _features(EVENT_BARS),
     "features_short_chunks": _features(ORDER_BARS),

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.fixtures import event_bars, order_bars, rounded
+from barloom.fixtures import event_bars, minute_bars, order_bars, rounded
 from barloom.functions.calendar import calendar_columns, display_date, period_seconds, series_name
 from barloom.functions.cleaning import candle_columns, coerce, with_display_date
 from barloom.functions.clock import has_new_bars, last_closed
@@ -110,14 +110,16 @@ def arrived_bars(bars: DataFrame) -> DataFrame:
     )
 
 
-def _indicators(*make: Callable[[], ind.Indicator], source=order_bars, shown=None, places=6):
+def _indicators(
+    *make: Callable[[], ind.Indicator], source=order_bars, shown=None, places=6, core=None
+):
     """A query that adds indicators to bars and shows the new columns."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         items = [one() for one in make]
         names = shown or [name for item in items for name in item.outputs]
         bars = source(spark, sf_dir)
-        return rounded(ind.add_indicators(bars, *items).select(*KEYS, *names), places)
+        return rounded(ind.add_indicators(bars, *items, core=core).select(*KEYS, *names), places)
 
     return run
 
@@ -130,6 +132,12 @@ def _features(source, **options) -> Query:
     return run
 
 
+def _sma_position(spark, sf_dir):
+    items = [ind.sma(50), ind.minmax_position("sma_50", 20)]
+    found = ind.add_indicators(order_bars(spark, sf_dir), *items, core=64)
+    return rounded(found.select(*KEYS, "sma_50", "sma_50_pct"), 6, sma_50=4)
+
+
 # --- calendar, names, cleaning -----------------------------------------------
 
 
@@ -438,6 +446,20 @@ QUERIES: dict[str, Query] = {
     # O-45, O-49 on the RSI
     "rsi_lags": _indicators(ind.rsi, *[lambda k=k: ind.lag_of("rsi", k) for k in (1, 2, 3)]),
     "rsi_pct": _indicators(ind.rsi, ind.minmax_position),
+    # Fast decays, indicators on indicators over chunk borders, one long series
+    "rsi_2": _indicators(lambda: ind.rsi(2)),
+    "ema_3": _indicators(lambda: ind.ema(3), places=4),
+    "super_smoother_10": _indicators(lambda: ind.super_smoother(n=10), places=4),
+    "sma_lags_short_chunks": _indicators(
+        lambda: ind.sma(14), lambda: ind.lag_of("sma_14", 3), core=64, places=4
+    ),
+    "sma_position_short_chunks": _sma_position,
+    "macd_stoch_short_chunks": _indicators(
+        ind.macd, lambda: ind.stochastic("macd", 50, "wave"), shown=["wave"], core=64
+    ),
+    "long_series": _indicators(
+        ind.rsi, ind.atr, ind.ema, lambda: ind.sma(138), source=minute_bars
+    ),
     # O-52; the last one with chunks short enough to be carried across
     "features_1d": _features(order_bars),
     "features_15m": _features(event_bars),

@@ -2,7 +2,7 @@ import pytest
 
 import brute
 from barloom.operators import indicators as ind
-from barloom.operators.chunks import Decay, chunk_bars, index_bars
+from barloom.operators.chunks import Decay, _chunk_states, chunk_bars, index_bars
 from barloom.plans.features import feature_table
 from barloom.schema import CALENDAR_COLUMNS, INDICATOR_COLUMNS
 from helpers import BAR, assert_close, column, flat, noise, ramp, rows
@@ -152,9 +152,9 @@ def test_bars_without_keys_are_kept_without_features(spark):
 
 def test_positions_span_buckets(spark):
     got = index_bars(table(spark, {"A": SERIES["A"]}), bucket_bars=16)
-    assert column(got, "pos") == list(range(900))
+    assert column(got, "_pos") == list(range(900))
     closes = [b["close"] for b in SERIES["A"]]
-    assert column(got, "prev_close") == [None, *closes[:-1]]
+    assert column(got, "_prev_close") == [None, *closes[:-1]]
 
 
 def test_unknown_granularity_is_placed_by_the_second(spark):
@@ -167,20 +167,103 @@ def test_negative_starts(spark):
     bars = [{**b, "start": b["start"] - 1_710_000_000} for b in SERIES["A"]]
     assert bars[0]["start"] < 0 < bars[-1]["start"]
     got = index_bars(table(spark, {"A": bars}), bucket_bars=7)
-    assert column(got, "pos") == list(range(900))
+    assert column(got, "_pos") == list(range(900))
 
 
 def test_halo_copies_are_bounded(spark):
     got = chunk_bars(table(spark, {"A": SERIES["A"]}), lookback=10, core=100)
-    assert got.count() == 900 + 9 * 10
+    assert got.count() == 900 + 8 * 10
     assert got.filter("_core").count() == 900
 
 
-def test_too_long_chunks_are_refused(spark):
-    with pytest.raises(ValueError, match="too long"):
-        chunk_bars(table(spark), decays=[Decay("x", 0.5, "close")], core=4096)
-    with pytest.raises(ValueError, match="too long"):
-        ind.add_indicators(table(spark), ind.super_smoother(), core=20_000)
+LONG = noise(6_000, seed=5)
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda: ind.rsi(2), lambda: ind.rsi(3), lambda: ind.ema(3), lambda: ind.ema(5), lambda: ind.ema(1),
+        lambda: ind.atr(2), lambda: ind.ewm_rsi(2), lambda: ind.rsi(1),
+        lambda: ind.super_smoother(n=5), lambda: ind.super_smoother(n=10), lambda: ind.super_smoother(n=12),
+        lambda: ind.es_stoch_rsi_k(3, 5, 60),
+    ],
+)
+def test_no_period_is_too_short_for_a_chunk(spark, make):
+    bars = table(spark, {"A": LONG})
+    name = make().outputs[0]
+    blocks = column(ind.add_indicators(bars, make(), core=20_000), name)
+    short = column(ind.add_indicators(bars, make(), core=150), name)
+    assert_close(blocks, short, 1e-8, name)
+    if name == "rsi_2":
+        assert_close(blocks, brute.rsi([b["close"] for b in LONG], 2))
+
+
+def test_long_and_short_periods_together(spark):
+    bars = table(spark, {"A": LONG})
+    both = ind.add_indicators(bars, *ind.standard_indicators(), ind.sma(2300), ind.rsi(2))
+    alone = ind.add_indicators(bars, *ind.standard_indicators())
+    closes = [b["close"] for b in LONG]
+    assert_close(column(both, "sma_2300")[2299:2310], [sum(closes[i - 2299 : i + 1]) / 2300 for i in range(2299, 2309)] + [sum(closes[10:2310]) / 2300])
+    for name in ("rsi", "atr", "es_stoch_rsi_d", "macd_signal"):
+        assert_close(column(both, name), column(alone, name), 1e-8, name)
+    assert_close(column(both, "rsi_2"), brute.rsi(closes, 2))
+
+
+CHAINS = {
+    "sma_14_lag3": lambda: [ind.sma(14), ind.lag_of("sma_14", 3)],
+    "sma_50_pct": lambda: [ind.sma(50), ind.minmax_position("sma_50", 20)],
+    "wave": lambda: [ind.macd(), ind.stochastic("macd", 50, "wave")],
+    "far": lambda: [ind.sma(14), ind.lag_of("sma_14", 9), ind.minmax_position("sma_14_lag9", 30, "far")],
+    "smooth": lambda: [ind.sma(20), ind.super_smoother("sma_20", 8, "smooth")],
+}
+
+
+@pytest.mark.parametrize("name", CHAINS)
+@pytest.mark.parametrize("core", [7, 64])
+def test_chained_indicators_do_not_depend_on_chunks(spark, name, core):
+    bars = table(spark, {"A": SERIES["A"]})
+    whole = column(ind.add_indicators(bars, *CHAINS[name](), core=3_584), name)
+    cut = column(ind.add_indicators(bars, *CHAINS[name](), core=core), name)
+    assert_close(cut, whole, 1e-7, name)
+
+
+def test_two_of_a_kind_and_conflicts(spark):
+    bars = table(spark, {"A": SERIES["A"]})
+    got = ind.add_indicators(bars, ind.rsi(14), ind.rsi(7), ind.macd(), ind.macd(5, 35, 5), ind.rsi(14))
+    closes = [b["close"] for b in SERIES["A"]]
+    assert_close(column(got, "rsi"), brute.rsi(closes, 14))
+    assert_close(column(got, "rsi_7"), brute.rsi(closes, 7))
+    assert_close(column(got, "macd"), column(ind.add_indicators(bars, ind.macd()), "macd"))
+    assert "macd_5_35_5_signal" in got.columns
+    with pytest.raises(ValueError, match="two ways"):
+        ind.add_indicators(bars, ind.rsi(14), ind.rsi(7, out="rsi"))
+
+
+def test_further_columns_may_have_any_plain_name(spark):
+    bars = table(spark, {"A": SERIES["A"]})
+    for name in ("age", "pos", "chunk", "prev_close", "core"):
+        bars = bars.withColumn(name, bars["close"] * 2)
+    got = ind.add_indicators(bars, ind.rsi(), ind.sma(14), ind.change())
+    assert_close(column(got, "age"), [2 * b["close"] for b in SERIES["A"]])
+    with pytest.raises(ValueError, match="reserved"):
+        ind.add_indicators(bars.withColumn("_pos", bars["close"]), ind.rsi())
+
+
+def test_projections_need_no_shuffle(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    table(spark).write.parquet(path)
+    bars = spark.read.parquet(path)
+    plan = lambda *items: ind.add_indicators(bars, *items)._jdf.queryExecution().executedPlan().toString()
+    flat_plan = plan(ind.log_price(), ind.clip("close", 1.0, 2.0, "held"))
+    assert "Exchange" not in flat_plan and "Window" not in flat_plan
+    assert "_chunk" not in plan(ind.true_range(), ind.change())
+    assert "ShuffledHashJoin" not in plan(ind.rsi())
+
+
+def test_states_go_only_to_chunks_there_are(spark):
+    indexed = index_bars(table(spark, {"A": SERIES["A"]}))
+    assert _chunk_states(indexed, [Decay("x", 0.9, "close")], 10, 3_584).count() == 0
+    assert _chunk_states(indexed, [Decay("x", 0.99, "close")], 10, 100).count() == 8
 
 
 def test_no_window_is_partitioned_by_series_alone(spark):
@@ -189,7 +272,7 @@ def test_no_window_is_partitioned_by_series_alone(spark):
     for line in plan.splitlines():
         if "Window [" in line:
             spec = line[line.rindex("], [product_id") :]
-            assert "chunk" in spec or "_bucket" in spec
+            assert "chunk" in spec or "_bucket" in spec or "[sum(_n#" in line
     assert "PythonUDF" not in plan and "InPandas" not in plan
 
 
