@@ -13,11 +13,16 @@ from barloom.functions.calendar import floor_div_sql, wall_epoch_sql
 from barloom.schema import OHLCV, PERIOD_SECONDS
 
 
-def _bars(ticks: DataFrame, granularity: str) -> DataFrame:
-    """Group ticks to bars; partial aggregation keeps hot products cheap."""
-    width = PERIOD_SECONDS[granularity]
+def _bars(ticks: DataFrame, *granularities: str) -> DataFrame:
+    """Group ticks to bars of each granularity; partial aggregation keeps hot products cheap."""
+    grids = ", ".join(
+        f"struct('{name}' AS granularity, {floor_div_sql('at', PERIOD_SECONDS[name])}"
+        f" * {PERIOD_SECONDS[name]}L AS start)"
+        for name in granularities
+    )
     return (
-        ticks.groupBy("product_id", F.expr(f"{floor_div_sql('at', width)} * {width}L AS start"))
+        ticks.selectExpr("product_id", "price", "tick", f"inline(array({grids}))")
+        .groupBy("product_id", "granularity", "start")
         .agg(
             F.expr("min_by(price, tick) AS open"),
             F.expr("max(price) AS high"),
@@ -25,7 +30,7 @@ def _bars(ticks: DataFrame, granularity: str) -> DataFrame:
             F.expr("max_by(price, tick) AS close"),
             F.expr("cast(count(1) as double) AS volume"),
         )
-        .selectExpr("product_id", f"'{granularity}' AS granularity", "start", *OHLCV)
+        .select("product_id", "granularity", "start", *OHLCV)
     )
 
 
@@ -40,15 +45,15 @@ def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(ticks, "ONE_DAY")
 
 
-def event_bars(spark: SparkSession, sf_dir: str, granularity: str = "FIFTEEN_MINUTE") -> DataFrame:
-    """Bars of event values, one series per event type."""
+def event_bars(spark: SparkSession, sf_dir: str, *granularities: str) -> DataFrame:
+    """Bars of event values, one series per event type and granularity (15 minutes if none is named)."""
     ticks = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_type AS product_id",
         f"{wall_epoch_sql('ts')} AS at",
         "value AS price",
         "ts AS tick",
     )
-    return _bars(ticks, granularity)
+    return _bars(ticks, *(granularities or ("FIFTEEN_MINUTE",)))
 
 
 def minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

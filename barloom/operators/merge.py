@@ -14,19 +14,43 @@ def keep_first(arrived: DataFrame, arrival: str = "arrival") -> DataFrame:
 
     An aggregation rather than a row number: copies of a key are reduced before
     the shuffle, so a key that arrives very often does not pile up in one task.
-    Rows without a usable ``start`` have no key and are left out; see ``unkeyed``.
+    Rows that lack their series or a usable ``start`` have no key and are left
+    out; see ``unkeyed``.
     """
     others = [name for name in arrived.columns if name not in (*KEYS, arrival)]
     return (
-        arrived.filter(F.col("start").isNotNull())
+        arrived.filter(_keyed())
         .groupBy(*KEYS)
         .agg(*[F.min_by(name, arrival).alias(name) for name in others])
     )
 
 
+def _keyed():
+    """Whether a row has a whole key."""
+    return F.expr(" and ".join(f"{name} is not null" for name in KEYS))
+
+
 def unkeyed(arrived: DataFrame) -> DataFrame:
-    """Arrived rows whose ``start`` could not be read."""
-    return arrived.filter(F.col("start").isNull())
+    """Arrived rows without a series or with a ``start`` that could not be read."""
+    return arrived.filter(~_keyed())
+
+
+def merge_replace_open(history: DataFrame, arrived: DataFrame) -> DataFrame:
+    """As ``merge_keep_first``, but an arrived bar replaces the newest stored one of its series.
+
+    The newest bar may have been stored while it was still open; every older one
+    had ended.
+    """
+    newest = history.groupBy(*SERIES).agg(F.max("start").alias("_newest"))
+    fresh = keep_first(arrived)
+    replaced = fresh.join(newest, list(SERIES)).filter("start = _newest").select(*KEYS)
+    stored = history.join(replaced, list(KEYS), "left_anti")
+    return merge_keep_first_of(stored, fresh)
+
+
+def merge_keep_first_of(history: DataFrame, fresh: DataFrame) -> DataFrame:
+    """History plus the rows of ``fresh``, one per key, whose key is new."""
+    return history.unionByName(new_keys(history, fresh).select(*history.columns))
 
 
 def cut_off(bars: DataFrame, cutoff: str = "cutoff", closed_only: bool = False) -> DataFrame:
@@ -49,8 +73,7 @@ def new_keys(history: DataFrame, new: DataFrame) -> DataFrame:
 
 def merge_keep_first(history: DataFrame, arrived: DataFrame) -> DataFrame:
     """History plus the first arrival of every key that is new."""
-    fresh = new_keys(history, keep_first(arrived)).select(*history.columns)
-    return history.unionByName(fresh)
+    return merge_keep_first_of(history, keep_first(arrived))
 
 
 def in_order(bars: DataFrame) -> DataFrame:

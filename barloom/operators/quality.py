@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from barloom.schema import CANDLE_COLUMNS, SERIES
+from barloom.functions.calendar import floor_div_sql, grid_sql, period_sql
+from barloom.operators.chunks import BUCKET_BARS, PLACED
+from barloom.schema import CANDLE_COLUMNS, KEYS, SERIES
 
 log = logging.getLogger(__name__)
 
@@ -70,6 +72,46 @@ def quality_report(df: DataFrame, stage: str) -> DataFrame:
     )
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and its null cells counted as it is written."""
+    seen = Observation()
+    return df.observe(seen, *[missing(name) for name in _checked(df)]), seen
+
+
+def gaps(bars: DataFrame, bucket_bars: int = BUCKET_BARS) -> DataFrame:
+    """Where bars are missing inside a series: first and last missing start, and how many.
+
+    The bar before is looked for inside a time bucket and, for the first of a
+    bucket, in a table of one row per bucket, so no task orders a whole series.
+    Repeated keys count once; bars without a key are passed over.
+    """
+    bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
+    keyed = bars.filter(PLACED).selectExpr(*KEYS, f"{bucket} AS _bucket")
+    names = ", ".join(SERIES)
+    seams = (
+        keyed.groupBy(*SERIES, "_bucket")
+        .agg(F.max("start").alias("_last"))
+        .selectExpr(
+            *SERIES,
+            "_bucket",
+            f"lag(_last) OVER (PARTITION BY {names} ORDER BY _bucket) AS _seam",
+        )
+    )
+    inside = f"lag(start) OVER (PARTITION BY {names}, _bucket ORDER BY start)"
+    period = period_sql("granularity")
+    return (
+        keyed.join(seams, [*SERIES, "_bucket"])
+        .selectExpr(*KEYS, f"coalesce({inside}, _seam) AS _before")
+        .filter(f"start - _before > {period}")
+        .selectExpr(
+            *SERIES,
+            f"_before + {period} AS gap_start",
+            f"start - {period} AS gap_end",
+            f"(start - _before) div {period} - 1 AS missing_bars",
+        )
+    )
+
+
 def report_totals(report: DataFrame) -> dict[str, int]:
     """Sums of a report over all series: one row reaches the driver."""
     numbers = [name for name, kind in report.dtypes if kind == "bigint"]

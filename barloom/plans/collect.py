@@ -2,44 +2,100 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.cleaning import candle_columns, coerce, with_display_date
 from barloom.functions.clock import last_closed
-from barloom.operators.merge import cut_off, keep_first, merge_keep_first, new_keys
+from barloom.operators.merge import (
+    cut_off,
+    keep_first,
+    merge_keep_first,
+    merge_replace_open,
+    new_keys,
+    unkeyed,
+)
+from barloom.schema import SERIES
 from barloom.sinks.tables import candle_table, save_partitioned
 
 
+log = logging.getLogger(__name__)
+
+
 def initial_load(arrived: DataFrame, now: str | int, closed_only: bool = False) -> DataFrame:
     """A first table from arrived text bars (see ``page_bars``).
 
     Coerce, drop bars beyond the last boundary, keep the first arrival of each
-    key (neighbouring pages share a bar), add the display date.
+    key (neighbouring pages share a bar), add the display date. Bars without a
+    key are not in it: ``rejected`` has them, ``save_initial`` counts them.
     """
     typed = coerce(arrived).withColumn("cutoff", last_closed(now=now))
     kept = cut_off(typed, closed_only=closed_only).drop("cutoff")
     return candle_columns(with_display_date(keep_first(kept)))
 
 
-def merged(history: DataFrame, arrived: DataFrame) -> DataFrame:
-    """History topped up with arrived text bars; stored bars win."""
-    return merge_keep_first(history, with_display_date(coerce(arrived)))
+def rejected(arrived: DataFrame) -> DataFrame:
+    """Arrived text bars that cannot be stored: no series, or an unreadable start."""
+    cells = F.struct(*[c for c in arrived.columns if c not in SERIES]).alias("cells")
+    return unkeyed(coerce(arrived.select("*", cells))).select(*SERIES, "cells.*")
+
+
+def _warn_of_rejects(arrived: DataFrame, rejects_path: str | None) -> int:
+    """Counts the bars without a key, warns of them and keeps them if there is a place."""
+    bad = rejected(arrived)
+    if rejects_path is None:
+        n = bad.count()
+    else:
+        seen = Observation()
+        bad.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(rejects_path)
+        n = seen.get["n"]
+    if n:
+        log.warning("%d bars without a series or a readable start were left out", n)
+    return n
+
+
+def save_initial(
+    arrived: DataFrame,
+    now: str | int,
+    table_path: str,
+    closed_only: bool = False,
+    rejects_path: str | None = None,
+) -> int:
+    """Write the first table; returns how many bars were rejected for want of a key."""
+    save_partitioned(initial_load(arrived, now, closed_only), table_path)
+    return _warn_of_rejects(arrived, rejects_path)
+
+
+def merged(history: DataFrame, arrived: DataFrame, replace_open: bool = False) -> DataFrame:
+    """History topped up with arrived text bars; stored bars win.
+
+    With ``replace_open`` the newest stored bar of a series gives way to an
+    arrived one, as it may have been stored before it ended.
+    """
+    merge = merge_replace_open if replace_open else merge_keep_first
+    return merge(history, with_display_date(coerce(arrived)))
 
 
-def append_arrived(spark: SparkSession, arrived: DataFrame, table_path: str) -> bool:
+def append_arrived(
+    spark: SparkSession, arrived: DataFrame, table_path: str, rejects_path: str | None = None
+) -> bool:
     """Top up a stored table in place; False if there was nothing to add it from.
 
     As stored bars always win, topping up is appending the keys that are not
     there yet: no stored file is rewritten, and doing it twice adds nothing. Of
-    the history only the keys in the time range of the new bars are read.
+    the history only the keys in the years and the time range of the new bars of
+    their series are read. Bars without a key are counted, warned of, and kept at
+    ``rejects_path`` if one is given.
     """
     fresh = candle_columns(with_display_date(keep_first(coerce(arrived)))).persist()
     try:
+        _warn_of_rejects(arrived, rejects_path)
         first, last = fresh.agg(F.min("start"), F.max("start")).first()
         if first is None:
             return False
-        history = candle_table(spark, table_path, first, last)
+        history = candle_table(spark, table_path, first, last, fresh)
         added = fresh if history is None else new_keys(history, fresh)
         save_partitioned(added, table_path, mode="append")
         return True

@@ -10,67 +10,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.quality import (
+    observed,
     quality_report,
     report_totals,
     require_same_count,
     warn_of_findings,
 )
 from barloom.plans.features import feature_table
-from barloom.plans.updates import series_catalog
-from barloom.schema import CANDLE_COLUMNS, SERIES
-from barloom.sinks.tables import checked_format, read_back, save_verified
-from barloom.sources.candles import read_candle_csv
+from barloom.sinks.tables import beside, candle_table, checked_format, put_in_place, save_verified
+from barloom.sources.candles import read_candle_files
 
 log = logging.getLogger(__name__)
 
 
+INPUT_FORMATS = ("parquet", "csv")
+
+
 def load_bars(
     spark: SparkSession,
     input_path: str,
     products: Sequence[str] | None = None,
     granularities: Sequence[str] | None = None,
+    input_format: str = "parquet",
 ) -> DataFrame:
-    """A stored candle table (Parquet), or candle CSV files named after their series.
+    """A stored candle table, or candle CSV files, held to the products and granularities named.
 
-    Giving exactly one product and one granularity reads a CSV whatever its name.
+    The series of a CSV come from its folders or from the names of its files. A
+    single file whose name tells none is that of the one product and granularity
+    given.
     """
-    if input_path.rstrip("/").endswith(".parquet"):
-        bars = spark.read.parquet(input_path).select(*SERIES, *CANDLE_COLUMNS)
-        if products:
-            bars = bars.filter(F.col("product_id").isin(*products))
-        if granularities:
-            bars = bars.filter(F.col("granularity").isin(*granularities))
-        return bars
-    if products and granularities and len(products) == len(granularities) == 1:
-        return read_candle_csv(
-            spark, input_path, product_id=products[0], granularity=granularities[0]
-        )
-    chosen = {"products": products, "granularities": granularities}
-    catalog = series_catalog(spark, **{name: value for name, value in chosen.items() if value})
-    return read_candle_csv(spark, input_path, catalog)
+    if input_format not in INPUT_FORMATS:
+        raise ValueError(f"cannot read {input_format!r}: the formats are {', '.join(INPUT_FORMATS)}")
+    if input_format == "parquet":
+        bars = candle_table(spark, input_path)
+        if bars is None:
+            raise ValueError(f"there is no table at {input_path}")
+    else:
+        one = [names[0] if names and len(names) == 1 else None for names in (products, granularities)]
+        bars = read_candle_files(spark, input_path, *one)
+    if products:
+        bars = bars.filter(F.col("product_id").isin(*products))
+    if granularities:
+        bars = bars.filter(F.col("granularity").isin(*granularities))
+    return bars
 
 
 def process(
     bars: DataFrame, output_path: str, output_format: str = "parquet", partitioned: bool = True
 ) -> int:
-    """Write the feature table of ``bars``; returns its row count.
+    """Put the feature table of ``bars`` at ``output_path``; returns its row count.
 
-    Three passes over narrow data and one over everything: the input report,
-    the write (which counts its own rows), and a report on what was stored.
+    Two passes: the input report, and the write, which counts rows and null cells
+    as they pass. It goes to a place beside the output and takes over only when
+    all rows are there, so a failing run leaves an earlier result as it was.
     """
     spark = bars.sparkSession
     checked_format(output_format)
     before = report_totals(quality_report(bars, "INPUT"))
     warn_of_findings(before, "INPUT")
+    staged = beside(output_path)
+    frame, seen = observed(feature_table(bars))
     written = save_verified(
-        feature_table(bars), output_path, output_format, partitioned and output_format == "parquet"
+        frame, staged, output_format, partitioned and output_format == "parquet"
     )
     require_same_count(before["total"], written, "features")
-    after = report_totals(
-        quality_report(read_back(spark, output_path, output_format), "PROCESSED")
-    )
-    warn_of_findings(after, "PROCESSED")
-    require_same_count(before["total"], after["total"], "write")
+    warn_of_findings(seen.get, "PROCESSED")
+    put_in_place(spark, staged, output_path)
     return written
 
 
@@ -82,9 +87,10 @@ def run_job(
     granularities: Sequence[str] | None = None,
     output_format: str = "parquet",
     partitioned: bool = True,
+    input_format: str = "parquet",
 ) -> int:
     """Features of every series found at ``input_path``."""
-    bars = load_bars(spark, input_path, products, granularities)
+    bars = load_bars(spark, input_path, products, granularities, input_format)
     return process(bars, output_path, output_format, partitioned)
 
 
@@ -94,6 +100,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--granularity", action="append", help="may be repeated; default all")
     parser.add_argument("--input_path", required=True)
     parser.add_argument("--output_path", required=True)
+    parser.add_argument("--input_format", default="parquet", choices=INPUT_FORMATS)
     parser.add_argument("--output_format", default="parquet")
     parser.add_argument("--unpartitioned", action="store_true")
     options = parser.parse_args(arguments)
@@ -113,6 +120,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             options.granularity,
             options.output_format,
             not options.unpartitioned,
+            options.input_format,
         )
         log.info("%d feature rows written to %s", rows, options.output_path)
     finally:

@@ -89,7 +89,8 @@ def backfill_plan(catalog: DataFrame, now: str | int) -> DataFrame:
     """
     width = f"{BARS_PER_PAGE}L * {period_sql('granularity')}"
     return (
-        catalog.withColumn("cutoff", last_closed(now=now))
+        catalog.filter("target_bars > 0")
+        .withColumn("cutoff", last_closed(now=now))
         .selectExpr(
             *SERIES,
             "cutoff",

@@ -73,6 +73,8 @@ PAGE_SCHEMA = T.StructType(
         T.StructField("product_id", T.StringType()),
         T.StructField("granularity", T.StringType()),
         T.StructField("page", T.LongType()),
+        # The line itself, where it is no JSON object of this shape.
+        T.StructField("_corrupt_record", T.StringType()),
         T.StructField(
             "candles",
             T.ArrayType(

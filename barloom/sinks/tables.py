@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.calendar import calendar_columns
-from barloom.schema import KEYS, TABLE_SCHEMA
+from barloom.schema import KEYS, SERIES, TABLE_SCHEMA
 
 log = logging.getLogger(__name__)
 
@@ -23,7 +26,7 @@ PARTITIONS = ("product_id", "granularity", "year")
 def checked_format(name: str) -> str:
     """The format's name in lower case; only Parquet and CSV are written."""
     if name.lower() not in FORMATS:
-        raise ValueError(f"Unsupported output format: {name}")
+        raise ValueError(f"cannot write {name!r}: the formats are {', '.join(FORMATS)}")
     return name.lower()
 
 
@@ -74,12 +77,17 @@ def save_partitioned(
 
 
 def candle_table(
-    spark: SparkSession, path: str, first: int | None = None, last: int | None = None
+    spark: SparkSession,
+    path: str,
+    first: int | None = None,
+    last: int | None = None,
+    like: DataFrame | None = None,
 ) -> DataFrame | None:
     """The stored bars, or None while there is no table yet.
 
     With ``first`` and ``last`` (bar starts) only that stretch is read: folders
-    of other years and row groups of other times are skipped.
+    of other years and row groups of other times are skipped. With ``like`` only
+    folders of the series and years that it has are read.
     """
     try:
         table = spark.read.schema(TABLE_SCHEMA).parquet(path)
@@ -91,6 +99,9 @@ def candle_table(
         if "year" in table.columns:
             years = (_utc_year(first), _utc_year(last))
             table = table.filter(F.col("year").between(*years))
+            if like is not None and set(PARTITIONS) <= set(table.columns):
+                folders = with_partition_columns(like).select(*PARTITIONS).distinct()
+                table = table.join(folders, list(PARTITIONS), "left_semi")
         table = table.filter(F.col("start").between(first, last))
     return table.select(*TABLE_SCHEMA.names)
 
@@ -111,8 +122,10 @@ def rewrite_partitions(
     Spark cannot overwrite what it is reading, so the rows are first written to
     ``staging`` (an empty folder on shared storage) and moved over from there.
     """
-    save_partitioned(table, staging, by)
-    save_partitioned(spark.read.parquet(staging), path, by)
+    whole = with_partition_columns(table, by)
+    save_partitioned(whole, staging, by)
+    # Declared types: folder names like 007 would be read as numbers.
+    save_partitioned(spark.read.schema(whole.schema).parquet(staging), path, by)
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -121,10 +134,19 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def folder_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a dataset, outermost first, from the path of one of its files."""
+    row = spark.read.format("binaryFile").load(path).select("path").first()
+    return re.findall(r"/([^/=]+)=[^/]*(?=/)", row["path"][len(path.rstrip("/")) :]) if row else []
+
+
 def read_back(spark: SparkSession, path: str, output_format: str = "parquet") -> DataFrame:
-    if checked_format(output_format) == "parquet":
-        return spark.read.parquet(path)
-    return spark.read.option("header", True).csv(path)
+    """A dataset as it was written; names of products and granularities stay text."""
+    if checked_format(output_format) == "csv":
+        return spark.read.option("header", True).csv(path)
+    found = spark.read.parquet(path)
+    text = [T.StructField(f.name, T.StringType()) if f.name in SERIES else f for f in found.schema]
+    return spark.read.schema(T.StructType(text)).parquet(path)
 
 
 def save_verified(
@@ -144,14 +166,18 @@ def save_verified(
 
 
 def publish(spark: SparkSession, source: str, target: str, output_format: str = "parquet") -> bool:
-    """Copy a dataset to another location (any file system Spark can write).
+    """Copy a dataset with its folders to another location (any file system Spark can write).
 
     A failing copy raises. A target that is missing or short afterwards is
     reported and answered with False.
     """
     data = read_back(spark, source, output_format)
     frame, seen = counted(data)
-    save(frame, target, output_format)
+    folders = [name for name in folder_columns(spark, source) if name in data.columns]
+    if folders:
+        save_partitioned(frame, target, folders, whole=True)
+    else:
+        save(frame, target, output_format)
     try:
         found = read_back(spark, target, output_format).count()
     except AnalysisException:
@@ -160,3 +186,24 @@ def publish(spark: SparkSession, source: str, target: str, output_format: str =
         log.warning("%s: %d rows were copied, %d found", target, seen.get["rows"], found)
         return False
     return True
+
+
+def beside(path: str) -> str:
+    """A new place on the same storage."""
+    return f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+
+
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a checked dataset the one at ``path``; an older one goes only when the new one stands."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, target, old = (hadoop(x) for x in (staged, path.rstrip("/"), beside(path)))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not files.rename(new, target):
+        if replaced:
+            files.rename(old, target)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if replaced:
+        files.delete(old, True)

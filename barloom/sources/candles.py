@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.calendar import series_name
 from barloom.functions.cleaning import nan_to_null
-from barloom.schema import CANDLE_COLUMNS, CANDLE_SCHEMA, SERIES
+from barloom.schema import CANDLE_COLUMNS, CANDLE_SCHEMA, PERIOD_SECONDS, SERIES
 
 _STEM = r"regexp_extract({path}, '([^/]+?)([.][^./]*)?$', 1)"
 
@@ -34,12 +34,51 @@ def read_candle_csv(
             raise ValueError("name the series, or give a catalog to find it by file name")
         keys = {"product_id": F.lit(product_id), "granularity": F.lit(granularity)}
         return bars.withColumns(keys).select(*SERIES, *CANDLE_COLUMNS)
-    names = catalog.select(*SERIES, series_name().alias("_name"))
+    names = catalog.select(*SERIES, F.lower(series_name()).alias("_name")).distinct()
     stem = F.expr(f"lower({_STEM.format(path='_metadata.file_path')}) AS _name")
-    return (
-        bars.select(*CANDLE_COLUMNS, stem)
-        .join(names.withColumn("_name", F.lower("_name")), "_name")
-        .select(*SERIES, *CANDLE_COLUMNS)
+    found = bars.select(*CANDLE_COLUMNS, stem)
+    files = list_files(spark, path).selectExpr(f"lower({_STEM.format(path='path')}) AS _name").distinct()
+    counts = files.join(names, "_name", "left").groupBy("_name").agg(F.count("product_id").alias("_n"))
+    _require_series(counts)
+    return found.join(names, "_name").select(*SERIES, *CANDLE_COLUMNS)
+
+
+def _require_series(counts: DataFrame) -> None:
+    """Fails for files (``_name``) whose name fits no series or several (``_n``)."""
+    n, name = counts.filter("_n <> 1").agg(F.count(F.lit(1)), F.min("_name")).first()
+    if n:
+        raise ValueError(f"{n} candle files fit no series or several by their name, such as {name}")
+
+
+def read_candle_files(
+    spark: SparkSession, path: str, product_id: str | None = None, granularity: str | None = None
+) -> DataFrame:
+    """Candle CSV of every series there is: by folders, or by the names of the files.
+
+    A file name is a storage name, perhaps with more after an underscore. A
+    single file whose name is none belongs to the series given, if one is. Files
+    that fit no series are an error.
+    """
+    bars = spark.read.schema(CANDLE_SCHEMA).option("header", True).csv(path)
+    if set(SERIES) <= set(bars.columns):
+        return read_candle_csv(spark, path)
+    grains = "|".join(name.lower() for name in PERIOD_SECONDS)
+    parts = rf"'^(.+?)_({grains})(?:_.*)?$'"
+    stem = f"lower({_STEM.format(path='{0}')})"
+    told = f"{stem} rlike {parts}"
+    files = list_files(spark, path).filter("not name rlike '^[_.]'")
+    count, unnamed = files.agg(
+        F.count(F.lit(1)), F.coalesce(F.expr(f"count_if(not {told.format('path')})"), F.lit(0))
+    ).first()
+    if unnamed and count == 1 and product_id is not None and granularity is not None:
+        return read_candle_csv(spark, path, product_id=product_id, granularity=granularity)
+    if unnamed:
+        raise ValueError(f"the names of {unnamed} of {count} candle files tell no series")
+    own = _STEM.format(path="_metadata.file_path")
+    return nan_to_null(bars).select(
+        F.expr(f"replace(regexp_extract({own}, '(?i)' || {parts}, 1), '_', '-') AS product_id"),
+        F.expr(f"upper(regexp_extract({own}, '(?i)' || {parts}, 2)) AS granularity"),
+        *CANDLE_COLUMNS,
     )
 
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from barloom.schema import OHLCV, PAGE_SCHEMA, SERIES
 
-# Arrival numbers leave this much room for the bars of one page.
-_PAGE_ROOM = 1 << 20
-
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_SCHEMA).json(path)
@@ -21,18 +18,43 @@ def parse_pages(texts: DataFrame, column: str = "value") -> DataFrame:
 
 
 def page_bars(pages: DataFrame) -> DataFrame:
-    """Every candle of every page as text cells, with its ``arrival`` number.
+    """Every candle of every page as text cells, with its ``arrival``.
 
-    A page that is empty or has no list adds nothing. Arrival grows with the
-    page number, then with the place in the page.
+    A page that is empty, unreadable or has no list adds nothing; see
+    ``page_report``. Arrival orders by page number, then by place in the page. A
+    page without a number comes before all others.
     """
-    arrival = (
-        f"if(_at < {_PAGE_ROOM}, coalesce(page, 0) * {_PAGE_ROOM}L + _at,"
-        " raise_error('page too long to number its bars'))"
-    )
     return pages.select(*SERIES, "page", F.posexplode("candles").alias("_at", "_bar")).selectExpr(
         *SERIES,
         "_bar.start AS start",
         *[f"_bar.{name} AS {name}" for name in OHLCV],
-        f"cast({arrival} as bigint) AS arrival",
+        "struct(page, _at AS place) AS arrival",
+    )
+
+
+def with_status(pages: DataFrame) -> DataFrame:
+    """Pages with ``status``: unreadable, failed (no list of candles), empty or good."""
+    status = (
+        F.when(F.col("_corrupt_record").isNotNull(), "unreadable")
+        .when(F.col("candles").isNull(), "failed")
+        .when(F.size("candles") == 0, "empty")
+        .otherwise("good")
+    )
+    return pages.withColumn("status", status)
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """Pages and bars of each series by status; an unreadable line has no series."""
+    return (
+        with_status(pages)
+        .groupBy(*SERIES, "status")
+        .agg(
+            F.count(F.lit(1)).alias("pages"),
+            F.sum(F.greatest(F.size("candles"), F.lit(0))).alias("bars"),
+        )
     )
+
+
+def failed_pages(pages: DataFrame) -> int:
+    """How many pages are unreadable or without a list; an empty list is a success."""
+    return pages.transform(with_status).filter("status in ('unreadable', 'failed')").count()

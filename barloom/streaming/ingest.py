@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.plans.collect import append_arrived
 from barloom.schema import PAGE_SCHEMA
-from barloom.sources.pages import page_bars
+from barloom.sources.pages import failed_pages, page_bars
+
+log = logging.getLogger(__name__)
 
 
 def start_ingest(
@@ -17,17 +21,25 @@ def start_ingest(
     checkpoint: str,
     interval: str | None = None,
     files_per_batch: int | None = None,
+    strict: bool = False,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Merge landed pages into the table; stored bars win, late bars are welcome.
 
     Without an ``interval`` all waiting files are handled and the query ends,
     which suits a scheduler. A batch that is repeated after a failure finds its
     keys stored already and adds nothing. There is no watermark: a bar is new
-    as long as its key is, however old it is.
+    as long as its key is, however old it is. Failed pages are warned of, or with
+    ``strict`` stop the query before the batch is merged.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        append_arrived(batch.sparkSession, page_bars(batch), table_path)
+    def merge(batch: DataFrame, number: int) -> None:
+        failed = failed_pages(batch)
+        if failed and strict:
+            raise ValueError(f"batch {number}: {failed} pages are unreadable or without candles")
+        if failed:
+            log.warning("batch %d: %d pages are unreadable or without candles", number, failed)
+        append_arrived(batch.sparkSession, page_bars(batch), table_path, rejects_path)
 
     reader = spark.readStream.schema(PAGE_SCHEMA)
     if files_per_batch:

@@ -267,8 +267,8 @@ MERGED = f"""WITH bars AS ({EVENT_BARS})
 PAGED = f"""bars AS ({EVENT_BARS}),
   edged AS (SELECT *, start // 306000 AS page FROM bars UNION ALL
     SELECT *, start // 306000 - 1 FROM bars WHERE start % 306000 = 0)
-  SELECT product_id, granularity, start, {OHLCV}, page * 1048576 + row_number() OVER
-    (PARTITION BY product_id, page ORDER BY start) - 1 AS arrival FROM edged"""
+  SELECT product_id, granularity, start, {OHLCV}, page,
+    CAST(row_number() OVER (PARTITION BY product_id, page ORDER BY start) - 1 AS INT) AS place FROM edged"""
 
 GRANULARITIES = " UNION ALL ".join(
     f"SELECT '{name}' AS granularity, {PERIODS[name]}::BIGINT AS period_s,"
@@ -433,9 +433,21 @@ ORACLES: dict[str, str] = {
     "merge_keep_first": MERGED,
     "cut_off": f"""WITH bars AS ({ALL_EVENT_BARS}),
       cut AS (SELECT *, {_last_closed("granularity", str(NOW))} AS cutoff FROM bars)
-      SELECT product_id, granularity, cutoff, count(*) AS bars,
-        count(*) FILTER (start <= cutoff) AS started,
-        count(*) FILTER (start + {_period()} <= cutoff) AS ended FROM cut GROUP BY ALL""",
+      SELECT * FROM cut WHERE start <= cutoff""",
+    "cut_off_closed": f"""WITH bars AS ({ALL_EVENT_BARS}),
+      cut AS (SELECT *, {_last_closed("granularity", str(NOW))} AS cutoff FROM bars)
+      SELECT * FROM cut WHERE start + {_period()} <= cutoff""",
+    "merge_replace_open": f"""WITH bars AS ({EVENT_BARS}), newest AS (
+        SELECT product_id, max(start) AS newest FROM bars WHERE start <= {HISTORY_END} GROUP BY 1),
+      topped AS (SELECT product_id, granularity, start,
+        {", ".join(f"CASE WHEN start >= newest THEN 2 ELSE 1 END * {c} AS {c}" for c in OHLCV.split(", "))}
+        FROM bars JOIN newest USING (product_id) WHERE start <= {HISTORY_END} OR start >= {OVERLAP_START})
+      {DATED} FROM topped""",
+    "bar_gaps": f"""WITH bars AS ({ALL_EVENT_BARS}), stepped AS (
+        SELECT product_id, granularity, start, {_period()} AS period,
+          lag(start) OVER (PARTITION BY product_id, granularity ORDER BY start) AS before FROM bars)
+      SELECT product_id, granularity, before + period AS gap_start, start - period AS gap_end,
+        (start - before) // period - 1 AS missing_bars FROM stepped WHERE start - before > period""",
     "ordered_bars": _plain(ORDER_BARS) + " ORDER BY 1, 2, 3",
     "last_bar": f"""WITH bars AS ({ALL_EVENT_BARS}) SELECT product_id, granularity, start, {OHLCV}
       FROM (SELECT *, row_number() OVER (PARTITION BY product_id, granularity ORDER BY start DESC)
@@ -481,6 +493,16 @@ ORACLES: dict[str, str] = {
       FROM catalog LEFT JOIN stored USING (product_id, granularity)""",
     "pages_ingest": f"WITH {PAGED}",
     "page_files": f"WITH {PAGED}",
+    "page_report": f"""WITH paged AS (WITH {PAGED}), pages AS (
+        SELECT product_id, page, count(*) AS n FROM paged GROUP BY ALL), told AS (
+        SELECT n, CASE page % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'empty' WHEN 2 THEN 'unreadable' ELSE 'good' END
+          AS status FROM pages)
+      SELECT status, count(*) AS pages, CAST(sum(CASE WHEN status = 'good' THEN n ELSE 0 END) AS BIGINT) AS bars
+      FROM told GROUP BY status""",
+    "initial_load_rejects": f"""WITH paged AS (WITH {PAGED})
+      SELECT CASE WHEN start % 7200 <> 900 THEN product_id END AS product_id,
+        CAST(start AS VARCHAR) || CASE WHEN start % 7200 = 0 THEN 'x' ELSE '' END AS start, count(*) AS bars
+      FROM paged WHERE start % 7200 IN (0, 900) GROUP BY ALL""",
     "initial_load": _dated(EVENT_BARS)
     + f" WHERE start <= {_last_closed('granularity', str(CUTOFF))}",
     "incremental_append": MERGED,
@@ -491,6 +513,9 @@ ORACLES: dict[str, str] = {
       start, {OHLCV}, CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month
       FROM (SELECT *, {AS_TIME} FROM bars)""",
     "published_copy": _plain(ORDER_BARS),
+    "published_numbers": _plain(ORDER_BARS).replace(
+        "SELECT product_id, granularity, start, open", "SELECT '00' || product_id[1] AS product_id, granularity, start, open"
+    ),
     "rewritten_history": MERGED,
     "latest_file": f"""WITH bars AS ({ORDER_BARS}), files AS (SELECT product_id, granularity,
         replace(product_id, '-', '_') || '_' || lower(granularity) || '_'
@@ -499,4 +524,10 @@ ORACLES: dict[str, str] = {
       FROM files GROUP BY ALL""",
     "stream_merge": _dated(EVENT_BARS),
     "job_output": _features(ORDER_BARS),
+    "job_from_stream": _show(
+        EVENT_BARS,
+        f"{OHLCV}, {_rounded(rsi='rsi', sma_14=_sma(14))}, CAST(start // 60 % 60 AS INT) AS minute",
+        "measured",
+        WALK,
+    ),
 }

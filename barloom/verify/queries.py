@@ -18,9 +18,9 @@ from barloom.functions.cleaning import candle_columns, coerce, with_display_date
 from barloom.functions.clock import has_new_bars, last_closed
 from barloom.operators import indicators as ind
 from barloom.operators import merge, quality
-from barloom.plans.collect import append_arrived, initial_load, merged
+from barloom.plans.collect import append_arrived, initial_load, merged, rejected
 from barloom.plans.features import feature_table
-from barloom.plans.job import process
+from barloom.plans.job import process, run_job
 from barloom.plans.updates import (
     backfill_plan,
     load_mode,
@@ -39,7 +39,7 @@ from barloom.sinks.tables import (
     save_verified,
 )
 from barloom.sources.candles import latest_files, read_candle_csv
-from barloom.sources.pages import page_bars, parse_pages, read_pages
+from barloom.sources.pages import page_bars, page_report, parse_pages, read_pages
 from barloom.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,18 +54,16 @@ SHORT_CHUNK = 512
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for written data: on the cluster's shared storage if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="barloom-")
+    root = spark.conf.get("spark.checkpoint.dir", "").rstrip("/")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    root = root or tempfile.mkdtemp(prefix="barloom-")
     return f"{root}/barloom-{uuid.uuid4().hex}"
 
 
 def all_event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event bars in every granularity."""
-    frames = [event_bars(spark, sf_dir, name) for name in PERIOD_SECONDS]
-    bars = frames[0]
-    for frame in frames[1:]:
-        bars = bars.unionByName(frame)
-    return bars
+    """Event bars in every granularity, from one scan."""
+    return event_bars(spark, sf_dir, *PERIOD_SECONDS)
 
 
 def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,12 +211,17 @@ def merge_keep_first(spark, sf_dir):
 
 def cut_off(spark, sf_dir):
     bars = all_event_bars(spark, sf_dir).withColumn("cutoff", last_closed(now=NOW))
-    flags = bars.groupBy(*SERIES, "cutoff").agg(F.count(F.lit(1)).alias("bars"))
-    started = merge.cut_off(bars).groupBy(*SERIES).agg(F.count(F.lit(1)).alias("started"))
-    ended = merge.cut_off(bars, closed_only=True).groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("ended")
-    )
-    return flags.join(started, list(SERIES), "left").join(ended, list(SERIES), "left")
+    return merge.cut_off(bars)
+
+
+def cut_off_closed(spark, sf_dir):
+    bars = all_event_bars(spark, sf_dir).withColumn("cutoff", last_closed(now=NOW))
+    return merge.cut_off(bars, closed_only=True)
+
+
+def merge_replace_open(spark, sf_dir):
+    history, arrived = _history_and_new(spark, sf_dir)
+    return merged(history, arrived, replace_open=True)
 
 
 # --- clock and plans ---------------------------------------------------------
@@ -291,13 +294,44 @@ def _page_texts(spark, sf_dir):
 
 
 def pages_ingest(spark, sf_dir):
-    return coerce(page_bars(parse_pages(_page_texts(spark, sf_dir))))
+    return _numbered(coerce(page_bars(parse_pages(_page_texts(spark, sf_dir)))))
+
+
+def _numbered(bars):
+    return bars.select("*", "arrival.*").drop("arrival")
 
 
 def page_files(spark, sf_dir):
     path = scratch(spark)
     landed_pages(event_bars(spark, sf_dir)).write.json(path)
-    return coerce(page_bars(read_pages(spark, path)))
+    return _numbered(coerce(page_bars(read_pages(spark, path))))
+
+
+def page_reports(spark, sf_dir):
+    """Pages of which some failed, some are empty and some are cut off."""
+    texts = _page_texts(spark, sf_dir)
+    page = F.get_json_object("value", "$.page").cast("long")
+    spoilt = (
+        F.when(page % 5 == 0, F.regexp_replace("value", '"candles":.*', '"error":"busy"}'))
+        .when(page % 5 == 1, F.regexp_replace("value", '"candles":.*', '"candles":[]}'))
+        .when(page % 5 == 2, F.expr("substring(value, 1, length(value) - 2)"))
+        .otherwise(F.col("value"))
+    )
+    pages = parse_pages(texts.withColumn("value", spoilt))
+    return page_report(pages).groupBy("status").agg(
+        F.sum("pages").alias("pages"), F.sum("bars").alias("bars")
+    )
+
+
+def initial_load_rejects(spark, sf_dir):
+    bars = page_bars(parse_pages(_page_texts(spark, sf_dir)))
+    spoilt = bars.withColumns(
+        {
+            "start": F.expr("if(cast(start as bigint) % 7200 = 0, concat(start, 'x'), start)"),
+            "product_id": F.expr("if(cast(start as bigint) % 7200 = 900, null, product_id)"),
+        }
+    )
+    return rejected(spoilt).groupBy("product_id", "start").agg(F.count(F.lit(1)).alias("bars"))
 
 
 def initial_loads(spark, sf_dir):
@@ -350,6 +384,16 @@ def published(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+def published_numbers(spark, sf_dir):
+    """A table whose product names look like numbers, copied with its folders."""
+    source, target = scratch(spark), scratch(spark)
+    named = order_bars(spark, sf_dir).withColumn("product_id", F.expr("concat('00', left(product_id, 1))"))
+    save_partitioned(named, source)
+    if not publish(spark, source, target):
+        raise ValueError("the published copy is incomplete")
+    return candle_table(spark, target).drop("date")
+
+
 def rewritten_history(spark, sf_dir):
     path = scratch(spark)
     history, arrived = _history_and_new(spark, sf_dir)
@@ -396,6 +440,15 @@ def job_output(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(*names), 6, atr=4)
 
 
+def job_from_stream(spark, sf_dir):
+    """The job over the table that the stream has written, in a folder of any name."""
+    landing, table, output = scratch(spark), scratch(spark), scratch(spark)
+    landed_pages(event_bars(spark, sf_dir)).write.json(landing)
+    start_ingest(spark, landing, table, scratch(spark)).awaitTermination()
+    run_job(spark, table, output)
+    return rounded(spark.read.parquet(output).select(*KEYS, *OHLCV, "rsi", "sma_14", "minute"), 6)
+
+
 QUERIES: dict[str, Query] = {
     # input adapter
     "candles_1d": lambda s, d: order_bars(s, d),
@@ -476,6 +529,9 @@ QUERIES: dict[str, Query] = {
     "unkeyed": lambda s, d: merge.unkeyed(raw_ticks(s, d)),
     "merge_keep_first": merge_keep_first,
     "cut_off": cut_off,
+    "cut_off_closed": cut_off_closed,
+    "merge_replace_open": merge_replace_open,
+    "bar_gaps": lambda s, d: quality.gaps(all_event_bars(s, d)),
     "ordered_bars": lambda s, d: merge.in_order(order_bars(s, d)),
     "last_bar": lambda s, d: merge.last_bar(all_event_bars(s, d)),
     "bar_span": lambda s, d: merge.span(all_event_bars(s, d)),
@@ -492,6 +548,8 @@ QUERIES: dict[str, Query] = {
     "pages_ingest": pages_ingest,
     "page_files": page_files,
     "initial_load": initial_loads,
+    "initial_load_rejects": initial_load_rejects,
+    "page_report": page_reports,
     "incremental_append": incremental_append,
     # O-01 O-02, O-06, O-04 O-10, O-05, O-09, O-08, O-57
     "csv_scan": csv_scan,
@@ -499,9 +557,11 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "published_copy": published,
+    "published_numbers": published_numbers,
     "rewritten_history": rewritten_history,
     "latest_file": latest_file_names,
     # O-61, O-53
     "stream_merge": stream_merge,
     "job_output": job_output,
+    "job_from_stream": job_from_stream,
 }

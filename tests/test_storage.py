@@ -6,13 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions.cleaning import candle_columns, with_display_date
-from barloom.plans.collect import append_arrived, merged
+from barloom.operators.merge import keep_first
+from barloom.plans.collect import append_arrived, merged, rejected
 from barloom.plans.features import feature_table
 from barloom.plans.job import load_bars, process, run_job
 from barloom.plans.updates import series_catalog
 from barloom.schema import CANDLE_COLUMNS, INDICATOR_COLUMNS, KEYS, SERIES
 from barloom.sinks.tables import (
+    PARTITIONS,
     candle_table,
+    folder_columns,
     publish,
     rewrite_partitions,
     save,
@@ -20,7 +23,7 @@ from barloom.sinks.tables import (
     save_verified,
 )
 from barloom.sources.candles import list_files, read_candle_csv
-from barloom.sources.pages import page_bars, read_pages
+from barloom.sources.pages import failed_pages, page_bars, page_report, parse_pages, read_pages
 from barloom.streaming.ingest import start_ingest
 from barloom.verify.queries import scratch
 from helpers import BAR, noise, rows
@@ -48,14 +51,71 @@ def test_csv_scan_nulls_cells_that_do_not_fit(spark, tmp_path):
 
 
 def test_csv_directory_finds_series_by_file_name(spark, tmp_path):
-    for name in ("BTC_USD_one_hour", "ETH_USD_one_day", "unrelated"):
+    for name in ("BTC_USD_one_hour", "ETH_USD_one_day"):
         (tmp_path / f"{name}.csv").write_text(f"{HEADER}\nd,0,1,2,3,4,5\n")
     got = read_candle_csv(spark, str(tmp_path), series_catalog(spark))
     assert sorted(tuple(r)[:2] for r in got.collect()) == [
         ("BTC-USD", "ONE_HOUR"),
         ("ETH-USD", "ONE_DAY"),
     ]
-    assert list_files(spark, str(tmp_path)).count() == 3
+    assert list_files(spark, str(tmp_path)).count() == 2
+    with pytest.raises(ValueError, match="2 candle files fit no series or several"):
+        read_candle_csv(spark, str(tmp_path), series_catalog(spark, ["BTC-USD", "BTC/USD"]).replace("BTC/USD", "BTC_USD"))
+    (tmp_path / "unrelated.csv").write_text(f"{HEADER}\nd,0,1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="1 candle files fit no series"):
+        read_candle_csv(spark, str(tmp_path), series_catalog(spark))
+
+
+def test_every_file_is_read_or_an_error(spark, tmp_path):
+    for name in ("BTC_USD_one_hour", "SOL_USD_one_day_2024"):
+        (tmp_path / f"{name}.csv").write_text(f"{HEADER}\nd,0,1,2,3,4,5\n")
+    got = load_bars(spark, str(tmp_path), input_format="csv")
+    assert sorted(tuple(r)[:2] for r in got.collect()) == [("BTC-USD", "ONE_HOUR"), ("SOL-USD", "ONE_DAY")]
+    # One product and one granularity choose among several files.
+    assert load_bars(spark, str(tmp_path), ["SOL-USD"], ["ONE_DAY"], "csv").count() == 1
+    assert load_bars(spark, str(tmp_path), ["SOL-USD"], ["ONE_HOUR"], "csv").count() == 0
+    (tmp_path / "prices.csv").write_text(f"{HEADER}\nd,0,1,2,3,4,5\n")
+    with pytest.raises(ValueError, match="1 of 3 candle files"):
+        load_bars(spark, str(tmp_path), ["SOL-USD"], ["ONE_DAY"], "csv")
+    with pytest.raises(ValueError, match="cannot read 'orc'"):
+        load_bars(spark, str(tmp_path), input_format="orc")
+
+
+def test_filters_hold_for_keyed_folders(spark):
+    path = scratch(spark)
+    bars = candle_columns(with_display_date(spark.createDataFrame(rows(noise(9), "BTC-USD") + rows(noise(5), "ETH-USD"), BAR)))
+    bars.write.partitionBy(*SERIES).option("header", True).csv(path)
+    assert load_bars(spark, path, ["BTC-USD"], input_format="csv").count() == 9
+    assert load_bars(spark, path, input_format="csv").count() == 14
+
+
+def test_product_names_stay_text(spark):
+    path, target = scratch(spark), scratch(spark)
+    named = lambda pairs: stored(spark, pairs).withColumn("product_id", F.lit("007"))
+    save_partitioned(named([(0, 1.0), (3600, 2.0)]), path)
+    new = arrived(spark, [(7200, 3.0)]).withColumn("product_id", F.lit("007"))
+    rewrite_partitions(spark, merged(candle_table(spark, path), new), path, scratch(spark))
+    append_arrived(spark, new.withColumn("start", F.lit("10800")), path)
+    assert {tuple(r) for r in candle_table(spark, path).select("product_id", "start").collect()} == {
+        ("007", s) for s in (0, 3600, 7200, 10800)
+    }
+    assert publish(spark, path, target)
+    copied = candle_table(spark, target)
+    assert contents(copied) == contents(candle_table(spark, path))
+    assert folder_columns(spark, target) == folder_columns(spark, path) == list(PARTITIONS)
+
+
+def test_bars_without_a_key_are_counted_and_kept_apart(spark, caplog):
+    path, rejects = scratch(spark), scratch(spark)
+    bars = arrived(spark, [(0, 1.0), (3600, 2.0)])
+    odd = bars.withColumn("start", F.lit("x")).unionByName(bars.withColumn("product_id", F.lit(None).cast("string")))
+    for _ in range(3):
+        assert append_arrived(spark, bars.unionByName(odd), path, rejects)
+    assert candle_table(spark, path).count() == 2
+    assert "4 bars without a series" in caplog.text
+    kept = spark.read.parquet(rejects)
+    assert kept.count() == 12 and kept.filter("start = 'x'").count() == 6
+    assert rejected(bars).count() == 0
 
 
 @pytest.mark.parametrize("output_format", ["parquet", "CSV"])
@@ -70,9 +130,9 @@ def test_round_trip(spark, output_format):
 
 def test_other_formats_are_refused(spark):
     bars = spark.createDataFrame(rows(noise(5)), BAR)
-    with pytest.raises(ValueError, match="Unsupported output format: orc"):
+    with pytest.raises(ValueError, match="cannot write 'orc'"):
         save(bars, scratch(spark), "orc")
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="cannot write"):
         process(bars, scratch(spark), "json")
 
 
@@ -126,21 +186,23 @@ def test_job_from_csv_files(spark, tmp_path):
         name = f"{product.replace('-', '_')}_fifteen_minute.csv"
         part.to_csv(tmp_path / name, index=False)
     output = scratch(spark)
-    assert run_job(spark, str(tmp_path), output) == 520
+    assert run_job(spark, str(tmp_path), output, input_format="csv") == 520
     names = [*KEYS, "close", *INDICATOR_COLUMNS]
     assert contents(spark.read.parquet(output).select(*names)) == contents(
         feature_table(bars).select(*names)
     )
     one = scratch(spark)
-    assert run_job(spark, str(tmp_path), one, ["ETH-USD"], partitioned=False) == 220
+    assert run_job(spark, str(tmp_path), one, ["ETH-USD"], partitioned=False, input_format="csv") == 220
     assert "rsi" in spark.read.parquet(one).columns
     csv = scratch(spark)
-    file = str(tmp_path / "ETH_USD_fifteen_minute.csv")
-    assert run_job(spark, file, csv, ["E"], ["FIFTEEN_MINUTE"], "csv") == 220
+    file = tmp_path / "prices" / "latest.csv"
+    file.parent.mkdir()
+    file.write_text((tmp_path / "ETH_USD_fifteen_minute.csv").read_text())
+    assert run_job(spark, str(file), csv, ["E"], ["FIFTEEN_MINUTE"], "csv", input_format="csv") == 220
 
 
 def test_job_from_stored_table(spark):
-    path = scratch(spark) + ".parquet"
+    path = scratch(spark)  # whatever its name
     save_partitioned(stored(spark, [(3600 * i, float(i)) for i in range(60)]), path)
     assert load_bars(spark, path, ["B"]).count() == 0
     assert load_bars(spark, path, ["A"], ["ONE_HOUR"]).count() == 60
@@ -148,9 +210,13 @@ def test_job_from_stored_table(spark):
 
 
 def test_job_stops_when_rows_vanish(spark, monkeypatch):
+    path = scratch(spark)
+    bars = spark.createDataFrame(rows(noise(5)), BAR)
+    assert process(bars, path) == process(bars, path) == 5
     monkeypatch.setattr("barloom.plans.job.feature_table", lambda bars: bars.limit(3))
     with pytest.raises(ValueError, match="5 rows in, 3 rows out"):
-        process(spark.createDataFrame(rows(noise(5)), BAR), scratch(spark))
+        process(bars, path, partitioned=False)
+    assert spark.read.parquet(path).filter("rsi_lag1 is null").count() == 5
 
 
 def test_read_pages(spark, tmp_path):
@@ -159,6 +225,40 @@ def test_read_pages(spark, tmp_path):
     assert [r["start"] for r in got.collect()] == ["7200", "3600", "10800", "7200"]
 
 
+def test_pages_of_any_number_and_length(spark):
+    page = json.loads(PAGES[0])
+    cells = page["candles"]
+    texts = [json.dumps(page | {"page": n, "candles": cells}) for n in (2**43, None, -5)]
+    long = json.dumps(page | {"page": 1, "candles": [{"start": "0", "close": "1"}] * 1_200_000})
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = keep_first(page_bars(parse_pages(frame)))
+    assert got.count() == 2
+    many = page_bars(parse_pages(spark.createDataFrame([(long,)], "value string")))
+    assert many.agg(F.max("arrival.place")).first()[0] == 1_199_999
+
+
+def test_page_report_and_strict_stream(spark, tmp_path, caplog):
+    lines = [*PAGES, '{"error":"busy","product_id":"A","granularity":"ONE_HOUR"}', '{"product_id":"A", "candl']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    for pages in (
+        read_pages(spark, str(tmp_path / "in")),
+        parse_pages(spark.createDataFrame([(x,) for x in lines], "value string")),
+    ):
+        found = {}
+        for r in page_report(pages).collect():
+            old = found.get(r.status, (0, 0))
+            found[r.status] = (old[0] + r.pages, old[1] + r.bars)
+        assert found == {"good": (2, 4), "empty": (1, 0), "failed": (2, 0), "unreadable": (1, 0)}
+        assert failed_pages(pages) == 3
+    table = scratch(spark)
+    with pytest.raises(Exception, match="3 pages are unreadable"):
+        start_ingest(spark, str(tmp_path / "in"), table, scratch(spark), strict=True).awaitTermination()
+    assert candle_table(spark, table) is None
+    start_ingest(spark, str(tmp_path / "in"), table, scratch(spark)).awaitTermination()
+    assert candle_table(spark, table).count() == 3 and "3 pages are unreadable" in caplog.text
+
+
 def test_stream_equals_batch(spark, tmp_path):
     landing, table, checkpoint = tmp_path / "in", scratch(spark), scratch(spark)
     landing.mkdir()

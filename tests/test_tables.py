@@ -1,6 +1,7 @@
 """Cleaning, merging, quality, planning."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.functions.cleaning import coerce
 from barloom.operators import merge, quality
@@ -178,3 +179,28 @@ def test_latest_files(spark):
     assert [(r["product_id"], r["path"]) for r in got] == [
         ("BTC-USD", "in/BTC_USD_one_day_2025.csv")
     ]
+
+
+def test_gaps(spark):
+    starts = [0, 3600, 10800, 14400, 50400, 50400, 3600 * 70_000]
+    bars = stored(spark, [(s, 1.0) for s in starts])
+    bars = bars.unionByName(bars.withColumn("start", F.lit(None).cast("long")))
+    want = [(7200, 7200, 1), (18000, 46800, 9), (54000, 3600 * 69_999, 69_985)]
+    for bucket in (2, 65_536):
+        found = quality.gaps(bars, bucket_bars=bucket).orderBy("gap_start").collect()
+        assert [tuple(r)[2:] for r in found] == want
+    assert quality.gaps(bars.limit(0)).count() == 0
+
+
+def test_newest_stored_bar_can_be_replaced(spark):
+    history = stored(spark, [(0, 1.0), (3600, 2.0), (7200, 3.0)])
+    new = arrived(spark, [(3600, 9.0), (7200, 8.0), (7200, 7.0), (10800, 6.0)])
+    assert prices(merged(history, new, replace_open=True)) == [(0, 1.0), (3600, 2.0), (7200, 8.0), (10800, 6.0)]
+    assert prices(merged(history, new)) == [(0, 1.0), (3600, 2.0), (7200, 3.0), (10800, 6.0)]
+    assert prices(merged(history, arrived(spark, []), replace_open=True)) == prices(history)
+
+
+def test_no_target_no_window(spark):
+    catalog = series_catalog(spark, ["A"], ["ONE_DAY"])
+    assert backfill_plan(catalog.withColumn("target_bars", F.lit(0)), 86400 * 100).count() == 0
+    assert backfill_plan(catalog, 86400 * 100).count() == 13
