@@ -3,11 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Texts turned into Python strings at once.
+SLICE = 256
+
+
+def by_text(make: Callable[[list[str | None]], pa.Array], kind: str):
+    """A column function of a text: make(texts) gives an array of as many values of a SQL type.
+
+    A batch of rows is worked through in slices, so that a worker holds few texts
+    as Python strings.
+    """
+
+    def batches(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            starts = range(0, max(len(texts), 1), SLICE)
+            yield pa.concat_arrays([make(texts.slice(at, SLICE).to_pylist()) for at in starts])
+
+    return F.arrow_udf(batches, kind)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

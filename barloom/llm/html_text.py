@@ -17,11 +17,12 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.boosting import Trees, fit
+from barloom.llm.common import by_text
 
 MARKUP = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<]*$", re.S
@@ -406,11 +407,9 @@ def extract(pages: DataFrame, trees: Trees) -> DataFrame:
     the added names are replaced.
     """
 
-    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for sources in parts:
-            listed = sources.tolist()
-            yield pd.Series([t for at in range(0, len(listed), 64) for t in main_texts(listed[at : at + 64], trees)], dtype=object)
+    def make(sources: list[str | None]) -> pa.Array:
+        return pa.array([t for at in range(0, len(sources), 64) for t in main_texts(sources[at : at + 64], trees)], pa.string())
 
     rest = [c for c in pages.columns if c not in ("text", "n_chars")]
-    out = pages.select(*rest, F.pandas_udf(batches, "string")("html").alias("text"))
+    out = pages.select(*rest, by_text(make, "string")("html").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import spread
+from barloom.llm.common import by_text, spread
 
 TABLE = 1 << 15
 #: Bytes looked at together; a longer text takes several turns.
@@ -113,8 +114,10 @@ def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model
 
 def judge(text: str | None, model: Model) -> tuple[str, float, bool]:
     """(language, score, ambiguous)."""
-    if text is None or not model.names or not LETTER.search(text):
+    if text is None or not LETTER.search(text):
         return "und", 0.0, True
+    if not model.names:
+        return "und", 0.0, False
     total, n = 0.0, 0
     for grams in _grams(text):
         total, n = total + model.weights[grams].sum(axis=0, dtype=np.float64), n + len(grams)
@@ -130,15 +133,17 @@ def judge(text: str | None, model: Model) -> tuple[str, float, bool]:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred, score (0 to 1) and ambiguous added, from the whole text alone.
 
-    A text that is null or has no letter is `und` with score 0 and ambiguous, as
-    is every text if nothing was learned. Existing columns of these names are replaced.
+    A text that is null or has no letter is `und` with score 0 and ambiguous. If
+    nothing was learned every other text is `und` too, but not called ambiguous.
+    Existing columns of these names are replaced.
     """
-    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in parts:
-            yield pd.DataFrame([judge(t, model) for t in texts], columns=["lang_pred", "score", "ambiguous"])
-
-    found = F.pandas_udf(batches, "lang_pred string, score double, ambiguous boolean")("text")
     names = ["lang_pred", "score", "ambiguous"]
+    shape = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
+
+    def make(texts: list[str | None]) -> pa.Array:
+        return pa.array([dict(zip(names, judge(t, model))) for t in texts], shape)
+
+    found = by_text(make, "lang_pred string, score double, ambiguous boolean")("text")
     rest = [c for c in docs.columns if c not in names]
     return docs.select(*rest, found.alias("_found")).select(*rest, *(F.col(f"_found.{n}") for n in names))
 

@@ -21,12 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 BLANK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of texts taken together, characters indexed together, stretches remembered.
-TEXTS, BLOCK, KNOWN = 1 << 22, 1 << 18, 400_000
+TEXTS, BLOCK, KNOWN = 1 << 20, 1 << 17, 250_000
 #: A separator or a character that no piece has.
 OTHER = 0
 FAR = np.iinfo(np.int32).max
@@ -250,15 +251,16 @@ def decode_ids(ids, model: Model) -> str:
     return text[1:] if model.prefix and text.startswith(" ") else text
 
 
-def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _groups(lengths) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have about TEXTS characters together."""
     at = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
+    for i, length in enumerate(lengths):
+        size += int(length)
         if size >= TEXTS:
             yield at, i + 1
             at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+    if at < len(lengths):
+        yield at, len(lengths)
 
 
 def _schema(frame: DataFrame, name: str, kind: str, without: str = "") -> str:
@@ -282,11 +284,12 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model)
         for whole in parts:
-            texts = whole.column("text").to_pylist()
-            for a, b in _groups(texts):
-                flat, sizes = encoder.encode(texts[a:b])
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                empty = pa.array([t is None for t in texts[a:b]] + [False])
+            sizes = pc.fill_null(pc.utf8_length(whole.column("text")), 0).to_numpy()
+            for a, b in _groups(sizes):
+                texts = whole.column("text").slice(a, b - a).to_pylist()
+                flat, counts = encoder.encode(texts)
+                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                empty = pa.array([t is None for t in texts] + [False])
                 places = pa.array(offsets, mask=empty.to_numpy(zero_copy_only=False))
                 yield _with(whole.slice(a, b - a), "ids", pa.ListArray.from_arrays(places, pa.array(flat, pa.int32())))
 

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import sampled
+from barloom.llm.common import by_text, sampled
 
 #: The patterns of the base scan and the least length of what they find.
 ASSIGN = re.compile(
@@ -94,7 +95,8 @@ def identifiers(docs: DataFrame, rows: int = 500) -> DataFrame:
                 ]
                 tokens += words + joined
                 secret += [False] * (len(tokens) - len(secret))
-            yield pd.DataFrame({"token": tokens, "secret": secret})
+            if tokens:
+                yield pd.DataFrame({"token": tokens, "secret": secret})
 
     return sampled(docs.select("doc_id", "text"), "doc_id", rows, "secret").mapInPandas(
         batches, "token string, secret boolean"
@@ -161,20 +163,21 @@ def scan(docs: DataFrame, ratio: np.ndarray, log_odds: float = 14.0) -> DataFram
     existing columns of these names are replaced.
     """
 
-    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in parts:
-            rows = []
-            for text in texts:
-                found = spans(text, ratio, log_odds)
-                kinds = [kind for _, kind, _ in found]
-                base = told([x for x in found if x[1] < 3])
-                digest = hashlib.sha256(base.encode()).hexdigest()
-                rows.append((*(kinds.count(k) for k in range(4)), digest, told(found)))
-            yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"])
-
     shape = "n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
-    found = F.pandas_udf(batches, shape)("text")
     names = [x.split()[0] for x in shape.split(", ")]
+    kind = pa.struct([(name, pa.int64() if name.startswith("n_") else pa.string()) for name in names])
+
+    def make(texts: list[str | None]) -> pa.Array:
+        rows = []
+        for text in texts:
+            found = spans(text, ratio, log_odds)
+            kinds = [kind for _, kind, _ in found]
+            base = told([x for x in found if x[1] < 3])
+            digest = hashlib.sha256(base.encode()).hexdigest()
+            rows.append(dict(zip(names, (*(kinds.count(k) for k in range(4)), digest, told(found)))))
+        return pa.array(rows, kind)
+
+    found = by_text(make, shape)("text")
     rest = [c for c in docs.columns if c not in names]
     return docs.select(*rest, found.alias("_found")).select(*rest, *(F.col(f"_found.{n}") for n in names))
 
@@ -186,18 +189,17 @@ def redacted(docs: DataFrame, ratio: np.ndarray, log_odds: float = 14.0, mark: s
     too, stay as they are.
     """
 
-    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            out = []
-            for text in texts:
-                found = spans(text, ratio, log_odds)
-                pieces, at = [], 0
-                for start, _, end in found:
-                    if start >= at:
-                        pieces += [text[at:start], mark]
-                    at = max(at, end)
-                out.append("".join([*pieces, text[at:]]) if found else text)
-            yield pd.Series(out, dtype=object)
-
-    clean = docs.withColumn("text", F.pandas_udf(batches, "string")("text"))
+    def make(texts: list[str | None]) -> pa.Array:
+        out = []
+        for text in texts:
+            found = spans(text, ratio, log_odds)
+            pieces, at = [], 0
+            for start, _, end in found:
+                if start >= at:
+                    pieces += [text[at:start], mark]
+                at = max(at, end)
+            out.append("".join([*pieces, text[at:]]) if found else text)
+        return pa.array(out, pa.string())
+
+    clean = docs.withColumn("text", by_text(make, "string")("text"))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

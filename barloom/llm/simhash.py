@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import settled, spread
+from barloom.llm.common import by_text, settled, spread
 
 DISTANCE = 3
 SEGMENTS = 4
@@ -57,12 +58,11 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def printed(shingle: int = 3):
     """The fingerprint of the text column as a signed long."""
 
-    def batches(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            out = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-            yield pd.Series(out.view(np.int64))
+    def make(texts: list[str | None]) -> pa.Array:
+        out = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        return pa.array(out.view(np.int64))
 
-    return F.pandas_udf(batches, "long")("text")
+    return by_text(make, "long")("text")
 
 
 def _segment(column, i: int):
