@@ -29,6 +29,16 @@ def by_text(make: Callable[[list[str | None]], pa.Array], kind: str):
     return F.arrow_udf(batches, kind)
 
 
+def with_small_batches(spark: SparkSession) -> None:
+    """Lets Python receive 1,000 rows at once instead of Spark's 10,000, unless the session says otherwise.
+
+    A row is a whole text here, and both sides hold a batch in memory.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from barloom.llm.common import by_text, spread
 
 TABLE = 1 << 15
 #: Bytes looked at together; a longer text takes several turns.
-TURN = 1 << 20
+TURN = 1 << 16
 LETTER = re.compile(r"[^\W\d_]")
 #: ASCII other than letters becomes a blank; bytes of other characters stay.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -83,18 +82,20 @@ def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model
         rate = F.when(F.col("lang") == name, per_language / sizes[name]).otherwise(rate)
     picked = rows.where(spread(F.col("doc_id"), "language") < rate)
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                n = np.zeros(TABLE)
-                for text in texts:
-                    if LETTER.search(text):
-                        of = sum(np.bincount(g, minlength=TABLE) for g in _grams(text))
-                        n += of / of.sum()  # a long text counts as much as a short one
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[str, np.ndarray] = {}
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+                if LETTER.search(text.as_py()):
+                    of = sum(np.bincount(g, minlength=TABLE) for g in _grams(text.as_py()))
+                    # A long text counts as much as a short one.
+                    counts[lang] = counts.get(lang, 0.0) + of / of.sum()
+            for lang, n in counts.items():
                 at = np.flatnonzero(n)
-                yield pd.DataFrame({"lang": lang, "gram": at, "n": n[at]})
+                columns = [pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
-    tallies = picked.mapInPandas(counted, "lang string, gram int, n double").groupBy("lang", "gram")
+    tallies = picked.mapInArrow(counted, "lang string, gram int, n double").groupBy("lang", "gram")
     share = np.full((len(names), TABLE), 1e-7)
     for row in tallies.agg(F.sum("n").alias("n")).collect():
         share[names.index(row["lang"]), row["gram"]] += row["n"]

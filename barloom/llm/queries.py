@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import exact_topk, html_text, language, license_scan, mixing, pieces, secret_scan, simhash, url_filter, vp_tree
-from barloom.llm.common import table
+from barloom.llm.common import table, with_small_batches
 
 
 def secret_ratio(spark: SparkSession, docs: DataFrame):
@@ -16,6 +16,7 @@ def secret_ratio(spark: SparkSession, docs: DataFrame):
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs.select("doc_id", "text"), secret_ratio(spark, docs))
     return found.drop("text")
@@ -26,6 +27,7 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs, language.held_out())
     found = language.identify(docs.select("doc_id", "text"), model)
@@ -53,16 +55,19 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
     return html_text.extract(table(spark, sf_dir, "pages"), html_text.train()).drop("html")
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
     model = pieces.load()
     back = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
     same = F.col("text").eqNullSafe(F.col("decoded"))

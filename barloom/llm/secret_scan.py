@@ -14,7 +14,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,16 +77,15 @@ def identifiers(docs: DataFrame, rows: int = 500) -> DataFrame:
     What the fixed patterns find is a secret and counts for the other side.
     """
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            tokens, secret = [], []
-            for text in frame["text"].dropna():
-                spans, at, plain = base_spans(text), 0, []
-                for start, _, end in spans:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for text in part.column("text"):
+                text, tokens, secret, plain, at = text.as_py() or "", [], [], [], 0
+                for start, _, end in base_spans(text):
                     plain.append(text[at:start])
                     tokens += [m.group() for m in TOKEN.finditer(text[start:end])]
                     at = max(at, end)
-                secret += [True] * (len(tokens) - len(secret))
+                secret += [True] * len(tokens)
                 words = [w for x in [*plain, text[at:]] for w in WORD.findall(x)]
                 joined = [
                     f"{a}_{b}" if i % 3 == 0 else f"{a}-{b}" if i % 3 == 1 else a + b.capitalize()
@@ -95,10 +93,10 @@ def identifiers(docs: DataFrame, rows: int = 500) -> DataFrame:
                 ]
                 tokens += words + joined
                 secret += [False] * (len(tokens) - len(secret))
-            if tokens:
-                yield pd.DataFrame({"token": tokens, "secret": secret})
+                columns = [pa.array(tokens, pa.string()), pa.array(secret, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "secret"])
 
-    return sampled(docs.select("doc_id", "text"), "doc_id", rows, "secret").mapInPandas(
+    return sampled(docs.select("doc_id", "text"), "doc_id", rows, "secret").mapInArrow(
         batches, "token string, secret boolean"
     )
 
@@ -110,20 +108,23 @@ def train(samples: DataFrame) -> np.ndarray:
     one more count than seen; a model without samples is uniform.
     """
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {}
+        for batch in batches:
+            told = list(zip(batch.column("token").to_pylist(), batch.column("secret").to_pylist()))
             for label in (False, True):
-                tokens = frame["token"][frame["secret"] == label].dropna()
-                usable = [t for t in tokens if t.isascii()]
+                usable = [t for t, secret in told if secret == label and t is not None and t.isascii()]
                 if usable:
-                    n = np.bincount(_steps(*usable), minlength=STATES**2)
-                    at = np.flatnonzero(n)
-                    yield pd.DataFrame({"secret": label, "step": at, "n": n[at]})
+                    total[label] = total.get(label, 0) + np.bincount(_steps(*usable), minlength=STATES**2)
+        for label, n in total.items():
+            at = np.flatnonzero(n)
+            columns = [pa.array([label] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["secret", "step", "n"])
 
     rows = (
         samples.select("token", "secret")
         .where("secret is not null")
-        .mapInPandas(counted, "secret boolean, step int, n long")
+        .mapInArrow(counted, "secret boolean, step int, n long")
         .groupBy("secret", "step")
         .agg(F.sum("n").alias("n"))
         .collect()

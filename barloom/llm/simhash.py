@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,8 +31,8 @@ BITS = 16
 LOOK = 16
 #: Members of a tile on either side.
 TILE = 2048
-#: Rows of a group compared at once.
-STRIP = 256
+#: Pairs of a group compared at once, and rows looked at together.
+STRIP, ROWS = 1 << 18, 1 << 15
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -89,12 +88,14 @@ def _tiled(keyed: DataFrame, fps: DataFrame) -> DataFrame:
     tiles larger or smaller and changes no link.
     """
     look = _keys(fps.where(spread(F.col("fp"), "look") < 1 / LOOK))
-    large = (
+    large = settled(
         look.groupBy("key")
         .count()
         .where(F.col("count") * LOOK > 2 * TILE)
         .select("key", F.ceil(F.col("count") * LOOK / TILE).cast("long").alias("cut"))
     )
+    if large.isEmpty():
+        return keyed  # nothing to cut, and no join to shuffle all keys for
     both = keyed.join(large, "key", "left")
     own = F.pmod(F.xxhash64("fp"), F.col("cut"))
     lane = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cut") - 1))
@@ -160,51 +161,52 @@ def _group_links(fp: np.ndarray, role: np.ndarray, starts: np.ndarray, ends: np.
         right.append(fp[mate[fits]])
     for s, e in zip(starts[size > 33], ends[size > 33]):
         members, stands = fp[s:e], fp[s:e][(role[s:e] & 1) > 0]
-        for at in range(0, len(stands), STRIP):
-            i, j = np.nonzero(_linked(stands[at : at + STRIP, None], members[None, :]))
+        rows = max(1, STRIP // len(members))
+        for at in range(0, len(stands), rows):
+            i, j = np.nonzero(_linked(stands[at : at + rows, None], members[None, :]))
             a, b = _forest(stands[at + i], members[j])
             left.append(a)
             right.append(b)
     return left, right
 
 
-def _meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Forests of the links of a partition whose rows come in order of their key."""
-    held: list[pd.DataFrame] = []
+    held: list[list[np.ndarray]] = []  # key, fp, role
     links: tuple[list, list] = ([], [])
 
-    def take(frame: pd.DataFrame) -> None:
-        key, fp = frame["key"].to_numpy(), frame["fp"].to_numpy().view(np.uint64)
+    def take(key: np.ndarray, fp: np.ndarray, role: np.ndarray) -> None:
         border = np.flatnonzero(key[1:] != key[:-1]) + 1
         starts, ends = np.concatenate([[0], border]), np.concatenate([border, [len(key)]])
         many = ends - starts > 1
-        for to, new in zip(links, _group_links(fp, frame["role"].to_numpy(), starts[many], ends[many])):
+        for to, new in zip(links, _group_links(fp.view(np.uint64), role, starts[many], ends[many])):
             to.extend(new)
 
-    for frame in batches:
-        if not len(frame):
-            continue
-        held.append(frame)
-        last = frame["key"].iloc[-1]
-        if held[0]["key"].iloc[0] == last:
-            continue  # one group so far
-        rows = pd.concat(held, ignore_index=True) if len(held) > 1 else frame
-        cut = int(np.searchsorted(rows["key"].to_numpy(), last))
-        take(rows.iloc[:cut])
-        held = [rows.iloc[cut:]]
+    def joined() -> list[np.ndarray]:
+        return [np.concatenate(x) for x in zip(*held)]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append([batch.column(name).to_numpy() for name in ("key", "fp", "role")])
+        if sum(len(x[0]) for x in held) < ROWS or held[0][0][0] == held[-1][0][-1]:
+            continue  # few rows, or one group so far
+        rows = joined()
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        take(*(x[:cut] for x in rows))
+        held = [[x[cut:] for x in rows]]
         if sum(map(len, links[0])) > 1 << 20:
             links = tuple([x] for x in _forest(*map(np.concatenate, links)))
     if held:
-        take(pd.concat(held, ignore_index=True))
+        take(*joined())
     if links[0]:
-        node, root = _forest(*map(np.concatenate, links))
-        yield pd.DataFrame({"a": node.view(np.int64), "b": root.view(np.int64)})
+        forest = [pa.array(x.view(np.int64)) for x in _forest(*map(np.concatenate, links))]
+        yield pa.RecordBatch.from_arrays(forest, ["a", "b"])
 
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links enough to connect what is within DISTANCE, of distinct fingerprints."""
     dealt = _tiled(_keys(fps), fps).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInPandas(_meet, "a long, b long")
+    return dealt.mapInArrow(_meet, "a long, b long")
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -8,22 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import language, mixing, pieces, secret_scan, simhash
-from barloom.llm.common import shared_folder, table
+from barloom.llm.common import shared_folder, table, with_small_batches
 from barloom.llm.queries import secret_ratio
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without letters or without a leading language go."""
+    with_small_batches(spark)
     return language.accepted(docs, language.train(docs, language.held_out()))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group."""
+    with_small_batches(spark)
     return simhash.kept(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by a mark."""
+    with_small_batches(spark)
     return secret_scan.redacted(docs, secret_ratio(spark, docs))
 
 
@@ -34,6 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, lang, ids, n_ids) of all documents."""
+    with_small_batches(spark)
     whole = pieces.encode(docs.select("doc_id", "source", "lang", "text"), pieces.load())
     return whole.withColumn("n_ids", F.coalesce(F.size("ids"), F.lit(0))).drop("text")
 
