@@ -8,7 +8,6 @@ classifier did on the training texts; a small lead flags ambiguity.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ from barloom.llm.common import by_text, spread
 TABLE = 1 << 15
 #: Bytes looked at together; a longer text takes several turns.
 TURN = 1 << 16
-LETTER = re.compile(r"[^\W\d_]")
 #: ASCII other than letters becomes a blank; bytes of other characters stay.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 #: A lead below this over the second language flags a text as ambiguous.
@@ -38,6 +36,11 @@ class Model:
     trust: np.ndarray  # weight of each bit's loss
 
 
+def lettered(text: str) -> bool:
+    """Whether any character is a letter."""
+    return any(map(str.isalpha, text))
+
+
 def codewords(n: int) -> np.ndarray:
     """n different rows of 1 and -1: every split of the languages, or random ones if they are many."""
     if n <= 1:
@@ -86,7 +89,7 @@ def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model
         for batch in batches:
             counts: dict[str, np.ndarray] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                if LETTER.search(text.as_py()):
+                if lettered(text.as_py()):
                     of = sum(np.bincount(g, minlength=TABLE) for g in _grams(text.as_py()))
                     # A long text counts as much as a short one.
                     counts[lang] = counts.get(lang, 0.0) + of / of.sum()
@@ -115,7 +118,7 @@ def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model
 
 def judge(text: str | None, model: Model) -> tuple[str, float, bool]:
     """(language, score, ambiguous)."""
-    if text is None or not LETTER.search(text):
+    if text is None or not lettered(text):
         return "und", 0.0, True
     if not model.names:
         return "und", 0.0, False
