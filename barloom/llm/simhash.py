@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm import shingles
 from barloom.llm.common import by_text, settled, spread
 
 DISTANCE = 3
@@ -241,11 +242,10 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _groups(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp, root, component_id); root is a fingerprint that stands for the component."""
-    rows = settled(docs.select("doc_id", printed(shingle).alias("fp")))
+def _named(rows: DataFrame, edges) -> DataFrame:
+    """(doc_id, fp, root, component_id) from rows (doc_id, fp, ...); root is a fingerprint that stands for the component."""
     fps = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(fps.select("fp"))).withColumnRenamed("node", "fp")
+    roots = components(edges(fps.select("fp"))).withColumnRenamed("node", "fp")
     known = fps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     known = settled(known)
     ids = settled(known.groupBy("root").agg(F.min("least").alias("component_id")))
@@ -261,22 +261,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     link like any other. Rows with a null doc_id take part; component_id is null
     only if no row of the component has an id. Repeated rows come back repeated.
     """
-    return _groups(docs, shingle).drop("root")
+    rows = settled(docs.select("doc_id", printed(shingle).alias("fp")))
+    return _named(rows, links).drop("root")
 
 
-def kept(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def kept(docs: DataFrame, shingle: int = 3, similar: bool = False) -> DataFrame:
     """The rows of docs, one of each near-duplicate group: that with the smallest doc_id.
 
-    Of rows that repeat this doc_id one stays, and one of a group without ids.
+    With `similar`, texts also link whose sets of five-word shingles have a
+    Jaccard similarity of 0.8 or more. Of rows of a group that repeat this doc_id
+    one stays, and one of a group without ids.
     """
-    groups = settled(_groups(docs, shingle))
-    stay = groups.where("doc_id = component_id").groupBy("doc_id").count()
-    out = docs.join(stay.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    if not stay.where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    bare = groups.where("component_id is null").groupBy("root").agg(F.min("fp").alias("_fp"))
-    if not bare.isEmpty():
-        nameless = docs.where("doc_id is null").withColumn("_fp", printed(shingle))
-        one = nameless.join(bare, "_fp", "left_semi").dropDuplicates(["_fp"])
-        out = out.unionByName(one.select(*docs.columns))
-    return out
+    if similar:
+        made = docs.select("doc_id", printed(shingle).alias("fp"), shingles.sketched().alias("_s"))
+        rows = settled(made.select("doc_id", "fp", "_s.same", "_s.keys"))
+        edges = lambda fps: shingles.links(docs, rows, settled(links(fps)), components)
+    else:
+        rows, edges = settled(docs.select("doc_id", printed(shingle).alias("fp"))), links
+    groups = settled(_named(rows, edges))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("_first")
+    stay = settled(groups.groupBy("root").agg(first).select("_first.doc_id", "_first.fp"))
+    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if stay.where("doc_id is null").isEmpty() and stay.join(again, "doc_id", "left_semi").isEmpty():
+        return docs.join(stay.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    own = docs.withColumn("_fp", printed(shingle))
+    one = stay.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
+    same = own["doc_id"].eqNullSafe(one["_id"]) & (own["_fp"] == one["_fp"])
+    return own.join(one, same, "left_semi").dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)

@@ -19,9 +19,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
+    """The document with the smallest id of each group of near SimHashes or of a shingle similarity of 0.8 or more."""
     with_small_batches(spark)
-    return simhash.kept(docs)
+    return simhash.kept(docs, similar=True)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

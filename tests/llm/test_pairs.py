@@ -239,3 +239,38 @@ def test_pieces_of_whole_texts(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     for row in pieces.encode(table, pieces.load()).collect():
         assert row.ids == library.encode(row.text)
+
+
+
+def test_kept_reaches_a_shingle_similarity(spark, monkeypatch):
+    from barloom.llm import shingles
+
+    monkeypatch.setattr(shingles, "TILE", 3)
+    draw = random.Random(4)
+    texts = []
+    for _ in range(20):
+        words = [f"w{draw.randrange(4000)}" for _ in range(draw.randint(60, 400))]
+        texts.append(" ".join(words))
+        for _ in range(draw.choice([0, 1, 2, 6])):  # chains of edits around the threshold
+            words = [f"n{draw.randrange(4000)}" if draw.random() < draw.choice([0.01, 0.02, 0.03]) else w for w in words]
+            texts.append(" ".join(words))
+    texts += [None, "", "a b", "A  b", "x y z x y z x y z x y z", "x y z x y z x y z x y z " * 9]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else {"blank"} for t in texts]
+    prints, group = [plain_print(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4 or (prints[i] ^ prints[j]).bit_count() <= 3:
+                group = [group[j] if g == group[i] else g for g in group]
+    least = {}
+    for i, g in enumerate(group):
+        least.setdefault(g, i)
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], TEXT)
+    assert sorted(r.doc_id for r in simhash.kept(table, similar=True).collect()) == sorted(least.values())
+    assert len(least) < len(set(plain_groups(prints)))
+
+
+def test_kept_goes_by_row_where_ids_repeat(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "uv")
+    rows = [(1, one), (2, one), (1, two), (3, two), (4, "alone it is"), (4, two)]
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], TEXT)
+    assert sorted((r.doc_id, r.text) for r in simhash.kept(table).collect()) == [(1, one), (1, two), (4, "alone it is")]
