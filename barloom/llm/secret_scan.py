@@ -29,7 +29,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 VALUE = 8
 
 KINDS = ("assign", "access", "hex", "random")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Runs that the models compare, and the longer ones of the fixed patterns' finds that they learn from.
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+LEARNT = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{5,}")
 ALPHABETS = (
     "0123456789abcdef",
@@ -71,6 +73,19 @@ def random_strings(spark: SparkSession, n: int = 20_000, seed: int = 7) -> DataF
     return spark.createDataFrame(made, "token string, secret boolean")
 
 
+def _joined(words: list[str]) -> list[str]:
+    """Pairs of words as identifiers are written; and a rule, a date and a number for every 100 words, as prose has them."""
+    made = []
+    for i, (a, b) in enumerate(zip(words, words[1:])):
+        forms = f"{a}_{b}", f"{a}-{b}", a + b.capitalize(), f"{a}_{b}".upper(), a.capitalize() + b.capitalize(), a.upper()
+        made.append(forms[i % len(forms)])
+        if i % 100 == 0:
+            k = i // 100 + len(a) * 7 + len(b)
+            made += ["-=_+/"[k % 5] * 24, f"{1990 + k % 40}-{1 + k % 12:02}-{1 + k % 28:02}T{k % 24:02}"]
+            made.append(str((k + 1) * 6364136223846793005 % 10**16))
+    return made
+
+
 def identifiers(docs: DataFrame, rows: int = 500) -> DataFrame:
     """(token, secret): words of about `rows` documents, alone and joined as identifiers are.
 
@@ -83,14 +98,11 @@ def identifiers(docs: DataFrame, rows: int = 500) -> DataFrame:
                 text, tokens, secret, plain, at = text.as_py() or "", [], [], [], 0
                 for start, _, end in base_spans(text):
                     plain.append(text[at:start])
-                    tokens += [m.group() for m in TOKEN.finditer(text[start:end])]
+                    tokens += [m.group() for m in LEARNT.finditer(text[start:end])]
                     at = max(at, end)
                 secret += [True] * len(tokens)
                 words = [w for x in [*plain, text[at:]] for w in WORD.findall(x)]
-                joined = [
-                    f"{a}_{b}" if i % 3 == 0 else f"{a}-{b}" if i % 3 == 1 else a + b.capitalize()
-                    for i, (a, b) in enumerate(zip(words, words[1:]))
-                ]
+                joined = _joined(words)
                 tokens += words + joined
                 secret += [False] * (len(tokens) - len(secret))
                 columns = [pa.array(tokens, pa.string()), pa.array(secret, pa.bool_())]

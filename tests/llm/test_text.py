@@ -1,6 +1,7 @@
 """Secret scan, language, HTML, licenses and URLs against plain versions and small odd inputs."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -66,6 +67,20 @@ def test_models_find_random_strings_and_leave_words_alone(spark, ratio):
     assert got == [1, 0, 0, 1]
 
 
+def test_short_random_strings_are_found_and_identifiers_are_not(spark, ratio):
+    draw = random.Random(12)
+    strings = ["".join(draw.choices(a, k=k)) for a in secret_scan.ALPHABETS for k in (16, 17, 18, 19) for _ in range(25)]
+    found = [r.n_random for r in secret_scan.scan(docs(spark, [f"see {s} here" for s in strings]), ratio).collect()]
+    assert sum(found) >= 0.97 * len(strings)
+    plain = (
+        "internationalization getElementById user_account_name 2024-01-01T12 2024-12-01/2025-01-31 20240131123000"
+        " MAX_RETRY_COUNT CONSTANT_VALUE_NAME NullPointerException HTTPServerRequest ---------------- ================"
+        " +49-170-1234567 978-3-16-148410-0 4737097684299439 Rindfleischetikettierung"
+    )
+    assert secret_scan.scan(docs(spark, [plain]), ratio).first().n_random == 0
+    assert secret_scan.spans("see kQ7vXz2LpW9s here", ratio, 14.0) == [(4, 3, 16)]
+
+
 def test_whole_table_keeps_rows_and_clean_texts(spark):
     found = QUERIES["op1_secrets"](spark, SF).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
