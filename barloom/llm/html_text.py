@@ -41,6 +41,7 @@ SILENT = frozenset(
     "script style noscript template title textarea iframe svg math select button object canvas audio video option"
     " datalist applet noframes noembed map".split()
 )
+CLOSING = {name: re.compile("</" + name, re.A | re.I) for name in SILENT}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"html", "body", "head", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"}
 #: What an opening tag ends if it is open, and where the search for it stops.
@@ -81,7 +82,6 @@ class Page:
     def _read(self, source: str) -> None:
         stack, buffer, at, link = [0], [], 0, 0
         size = len(source)
-        lower = None
 
         def flush() -> None:
             if buffer:
@@ -112,11 +112,10 @@ class Page:
             if name in SILENT:
                 if found.group(1) or found.group(3).endswith("/"):
                     continue
-                lower = lower if lower is not None else source.lower()
-                stop = lower.find("</" + name, at)
-                if stop < 0:
+                stop = CLOSING[name].search(source, at)
+                if stop is None:
                     continue
-                end = source.find(">", stop)
+                end = source.find(">", stop.start())
                 at = size if end < 0 else end + 1
                 self.tags[stack[-1]] += 1
                 buffer.append(" ")

@@ -151,6 +151,13 @@ def test_pages(spark):
     assert html_text.extract(table.limit(0), html_text.train()).count() == 0
 
 
+def test_letters_that_grow_when_lowered_move_no_end():
+    first = "It was a long day, and the boats came home late. " * 3
+    page = f"<article><p>{chr(0x130) * 40}</p><SCRIPT>x</Script><p>{first}</p><p>tail</p></article>"
+    texts = [text for _, text in html_text.Page(page).texts]
+    assert texts == [chr(0x130) * 40, first.strip(), "tail"]
+
+
 def test_held_out_pages_and_hierarchy():
     trees = html_text.train()
     good = 0
