@@ -2,7 +2,7 @@
 
 Everything is a column expression or Spark's own tree learner: lengths, depth,
 digit ratio, entropy of characters, numbers of labels, hyphens and parameters,
-and how often the ends of a host were blocked in the labelled sample.
+and how often the ends of a host were blocked among all labelled urls.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from barloom.llm.common import sampled, settled
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Labels of a host that end it in the two tables of suffixes.
 ENDS = (2, 3)
-#: A suffix counts as if it had been seen so often with the sample's share of blocked urls.
+#: A suffix counts as if it had been seen so often with the table's share of blocked urls.
 PRIOR = 4.0
 LEXICAL = [
     "url_length", "host_length", "path_length", "depth", "labels", "hyphens", "digit_ratio", "entropy", "parameters",
@@ -103,26 +103,31 @@ class Filter:
 
 
 def train(labelled: DataFrame, rows: int = 20_000, rounds: int = 20, depth: int = 4) -> Filter:
-    """Learns from about `rows` of labelled (url, block boolean), drawn by a hash of the url.
+    """Trees from about `rows` of labelled (url, block boolean), drawn by a hash of the url.
 
-    A row without a url or label is passed over. In its own row a label does not
+    The statistics of the suffixes count all labelled rows. A row without a url or label is passed over. In its own row a label does not
     count for the statistics of its suffixes. With one kind of label only, that is
     the verdict everywhere; without labels it is allow.
     """
     usable = labelled.where("url is not null and block is not null").select("url", F.col("block").cast("double").alias("label"))
-    known = settled(features(sampled(usable, "url", rows, "url")))
-    n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    n, blocked = usable.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     share = blocked / n if n else 0.0
+    host = parts(F.col("url"))[0]
+    hosts = settled(usable.groupBy(host.alias("host")).agg(F.count("*").alias("n"), F.sum("label").alias("sum")))
     ends = {
-        k: settled(known.groupBy(f"end_{k}").agg(F.count("*").alias(f"n_{k}"), F.sum("label").alias(f"sum_{k}")))
+        k: settled(
+            hosts.groupBy(_suffix(F.col("host"), k).alias(f"end_{k}")).agg(
+                F.sum("n").alias(f"n_{k}"), F.sum("sum").alias(f"sum_{k}")
+            )
+        )
         for k in ENDS
     }
     if not 0 < blocked < n:
         return Filter(None, "block" if n and blocked else "allow", ends, share)
-    rest = known
+    rest = features(sampled(usable, "url", rows, "url"))
     for k in ENDS:
         without = (F.col(f"sum_{k}") - F.col("label") + PRIOR * share) / (F.col(f"n_{k}") - 1 + PRIOR)
-        rest = rest.join(F.broadcast(ends[k]), f"end_{k}").withColumn(f"blocked_{k}", without)
+        rest = rest.join(ends[k], f"end_{k}").withColumn(f"blocked_{k}", without)
     inputs = VectorAssembler(inputCols=[*LEXICAL, *(f"blocked_{k}" for k in ENDS)], outputCol="_features")
     learner = GBTClassifier(
         featuresCol="_features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=3
@@ -145,8 +150,7 @@ def judge(urls: DataFrame, model: Filter, rules: list[tuple[str, str, str]]) ->
         out = out.withColumn("_method", F.lit(model.constant))
     else:
         for k in ENDS:
-            # At most one row for each url of the training sample, whose size is a parameter.
-            out = out.join(F.broadcast(model.suffixes[k]), f"end_{k}", "left")
+            out = out.join(model.suffixes[k], f"end_{k}", "left")
             seen = F.coalesce(F.col(f"n_{k}"), F.lit(0)), F.coalesce(F.col(f"sum_{k}"), F.lit(0.0))
             out = out.withColumn(f"blocked_{k}", (seen[1] + PRIOR * model.share) / (seen[0] + PRIOR))
         inputs = VectorAssembler(inputCols=[*LEXICAL, *(f"blocked_{k}" for k in ENDS)], outputCol="_features")

@@ -219,3 +219,15 @@ def test_url_trees_learn_the_labels(spark):
     got = QUERIES["op4_urls"](spark, "/root/testdata/sf0.01").where("rule is null").toPandas()
     listed = got.host.str.contains("casino|bets|pills|ads-track")
     assert ((got.verdict == "block") == listed).mean() > 0.97
+
+
+def test_suffix_statistics_cover_all_urls(spark):
+    rows = [(f"https://h{i}.site{i % 300}.org/a/{i}", i % 300 < 30) for i in range(3000)]
+    table = spark.createDataFrame([*rows, (None, True), ("https://x.org/", None)], "url string, block boolean")
+    model = url_filter.train(table, rows=200, rounds=3)
+    counts = {r.end_2: (r.n_2, r.sum_2) for r in model.suffixes[2].collect()}
+    assert counts == {f"site{k}.org": (10, 10.0 if k < 30 else 0.0) for k in range(300)}
+    assert model.share == 0.1
+    fresh = spark.createDataFrame([(f"https://new.site{k}.org/b", k) for k in range(300)], "url string, k int")
+    got = {r.k: r.verdict for r in url_filter.judge(fresh, model, []).collect()}
+    assert got == {k: "block" if k < 30 else "allow" for k in range(300)}
