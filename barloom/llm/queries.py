@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact_topk, html_text, language, license_scan, mixing, pieces, secret_scan, simhash, url_filter, vp_tree
+from barloom.llm import (
+    ball_search,
+    exact_topk,
+    html_text,
+    language,
+    license_scan,
+    mixing,
+    pieces,
+    prefix_trie,
+    secret_scan,
+    simhash,
+    token_counts,
+    url_filter,
+    vp_tree,
+)
 from barloom.llm.common import table, with_small_batches
 
 
@@ -74,6 +88,21 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).alias("n_ids"), same.alias("round_trip"))
 
 
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_counts(docs, token_counts.load(), limit=2048).drop("text")
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.paths(table(spark, sf_dir, "conversations"), shared=20))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_batches(spark)
+    return ball_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_neighbours": op2_neighbours,
@@ -85,6 +114,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_html": op9_html,
     "op10_pieces": op10_pieces,
+    "op11_tokens": op11_tokens,
+    "op12_trie": op12_trie,
+    "op13_search": op13_search,
 }
 
 ORACLES = {
@@ -108,4 +140,6 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """,
+    "op12_trie": prefix_trie.SQL,
+    "op13_search": ball_search.SQL,
 }
