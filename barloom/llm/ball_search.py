@@ -31,6 +31,8 @@ from barloom.llm.common import settled
 
 #: Documents of a leaf and of a tree; entries of a tree; query terms, with repeats, of a block.
 LEAF, SHARD, ENTRIES, BLOCK = 48, 8192, 4_000_000, 1_000_000
+#: A subtree gets at least one of so many rows of the one above.
+UNEVEN = 16
 EPS = 2.0**-52
 #: Separators become blanks and A to Z lower case; bytes above 7F are parts of terms.
 BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -164,8 +166,11 @@ class Tree:
                 continue
             one = self._row(rows[far.argmax()])
             other = self._row(rows[self._distances(rows, one, term, scaled, first).argmax()])
-            along = np.add.reduceat(scaled * (one - other)[term], first)
-            middle = (b - a) // 2
+            # Nearer to the one than to the other, as along this line; else halves.
+            along = np.add.reduceat(scaled * (one - other)[term], first) - (one @ one - other @ other) / 2
+            middle = int((along < 0).sum())
+            if min(middle, b - a - middle) * UNEVEN < b - a:
+                middle = (b - a) // 2
             self.order[a:b] = rows[np.argpartition(along, middle)]
             todo += [(a, a + middle, node, 0), (a + middle, b, node, 1)]
 

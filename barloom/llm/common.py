@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -64,6 +65,30 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+class Scratch:
+    """Written tables in the shared folder, which can go as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self.places: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """The frame, computed once and read from its table."""
+        place = f"{self.root}/{len(self.places)}"
+        frame.write.parquet(place)
+        read = self.spark.read.schema(frame.schema).parquet(place)
+        self.places[id(read)] = (read, place)
+        return read
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes tables that keep() gave. What was made of them must have been kept before."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for frame in frames:
+            target = path(self.places[id(frame)][1])
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(column: Column, kind: str) -> Column:
     """A hash of a key in [0, 1), to draw a sample that depends on nothing else.
 

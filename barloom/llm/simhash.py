@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import shingles
-from barloom.llm.common import by_text, settled, spread
+from barloom.llm.common import Scratch, by_text, settled, spread
 
 DISTANCE = 3
 SEGMENTS = 4
@@ -210,34 +210,53 @@ def links(fps: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_meet, "a long, b long")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forest of a partition's edges: each node with the smallest one that it reaches there."""
+    held, size = [], 0
+
+    def forest() -> tuple[np.ndarray, np.ndarray]:
+        return _forest(*(np.concatenate(x) for x in zip(*held)))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(tuple(batch.column(n).to_numpy() for n in ("a", "b")))
+            size += batch.num_rows
+        if size > 1 << 20:
+            held = [forest()]
+            size = len(held[0][0]) // 2
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in forest()], ["a", "b"])
+
+
+def _folded(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), a > b, that connect the same nodes: the forests of parts dealt by the greater end."""
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    return down.repartition("a").mapInArrow(_fold, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for each node of the edges, by large and small stars in turn.
+    """(node, root) for each node of the edges.
 
-    Each step is a grouped minimum and a join; both sides of a join are read from
-    the checkpoint, so a hot centre can be split.
+    Forests of parts of the edges come first and often leave stars alone. Then large and
+    small stars in turn until every node has one edge to a root; a small star is folded
+    into the forest of its part. Sides of a join are written tables, so a hot centre can
+    be split; those of a round are deleted when the next one stands.
     """
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = settled(edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
-    before = _state(edges)
-    while before[0]:
-        both = edges.union(edges.select("b", "a"))
-        least = settled(both.groupBy("a").agg(F.min("b").alias("m")))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
-        edges = settled(large.where("a <> b").distinct())
-        down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = settled(down.groupBy("a").agg(F.min("b").alias("m")))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = settled(small)
-        after = _state(edges)
-        if after == before:
+    scratch = Scratch(edges.sparkSession)
+    edges = scratch.keep(_folded(_folded(edges)))
+    while True:
+        ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        ends = ends.unionAll(edges.select("b", F.lit(0), F.lit(1)))
+        roles = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        if roles.where("below > 1 or below = 1 and above = 1").isEmpty():
             break
-        before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        both = edges.unionAll(edges.select("b", "a"))
+        least = scratch.keep(both.groupBy("a").agg(F.min("b").alias("m")))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+        done = scratch.keep(_folded(large))
+        scratch.drop(edges, least)
+        edges = done
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
@@ -273,9 +292,10 @@ def kept(docs: DataFrame, shingle: int = 3, similar: bool = False) -> DataFrame:
     one stays, and one of a group without ids.
     """
     if similar:
+        scratch = Scratch(docs.sparkSession)
         made = docs.select("doc_id", printed(shingle).alias("fp"), shingles.sketched().alias("_s"))
-        rows = settled(made.select("doc_id", "fp", "_s.same", "_s.keys"))
-        edges = lambda fps: shingles.links(docs, rows, settled(links(fps)), components)
+        rows = scratch.keep(made.select("doc_id", "fp", "_s.same", "_s.size", "_s.keys", "_s.sketch"))
+        edges = lambda fps: shingles.links(docs, rows, links(fps), components, scratch)
     else:
         rows, edges = settled(docs.select("doc_id", printed(shingle).alias("fp"))), links
     groups = settled(_named(rows, edges))

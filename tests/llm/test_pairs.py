@@ -242,6 +242,19 @@ def test_pieces_of_whole_texts(spark):
 
 
 
+def plain_near(texts):
+    """Groups of texts by either rule: three bits, or a similarity of 0.8 of the sets of five words."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else {"blank"} for t in texts]
+    prints, group = [plain_print(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            near = len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4 or (prints[i] ^ prints[j]).bit_count() <= 3
+            if near and group[i] != group[j]:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
 def test_kept_reaches_a_shingle_similarity(spark, monkeypatch):
     from barloom.llm import shingles
 
@@ -255,12 +268,7 @@ def test_kept_reaches_a_shingle_similarity(spark, monkeypatch):
             words = [f"n{draw.randrange(4000)}" if draw.random() < draw.choice([0.01, 0.02, 0.03]) else w for w in words]
             texts.append(" ".join(words))
     texts += [None, "", "a b", "A  b", "x y z x y z x y z x y z", "x y z x y z x y z x y z " * 9]
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else {"blank"} for t in texts]
-    prints, group = [plain_print(t) for t in texts], list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4 or (prints[i] ^ prints[j]).bit_count() <= 3:
-                group = [group[j] if g == group[i] else g for g in group]
+    group, prints = plain_near(texts), [plain_print(t) for t in texts]
     least = {}
     for i, g in enumerate(group):
         least.setdefault(g, i)
@@ -274,3 +282,44 @@ def test_kept_goes_by_row_where_ids_repeat(spark):
     rows = [(1, one), (2, one), (1, two), (3, two), (4, "alone it is"), (4, two)]
     table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], TEXT)
     assert sorted((r.doc_id, r.text) for r in simhash.kept(table).collect()) == [(1, one), (1, two), (4, "alone it is")]
+
+
+def test_unlinked_texts_of_one_boilerplate_do_not_meet_in_pairs(spark):
+    """5,000 texts with 70 % in common: none links, and rare shingles let none of them meet."""
+    from barloom.llm import shingles
+    from barloom.llm.common import Scratch
+
+    plate = [f"b{i}" for i in range(280)]
+    texts = [" ".join(plate + [f"t{i}x{j}" for j in range(60)]) for i in range(5000)]
+    texts[4321] = texts[1234] + " end"  # one true pair among them
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], TEXT).repartition(8).cache()
+    kept = simhash.kept(table, similar=True)
+    gone = {r.doc_id for r in table.select("doc_id").subtract(kept.select("doc_id")).collect()}
+    prints = [simhash.fingerprint(t) for t in texts]
+    near = plain_groups(prints)
+    assert 4321 in gone and all(near[i] != i or i == 4321 for i in gone)
+
+    sets = table.select(shingles._whole().alias("s")).select("s.*").limit(2000)
+    large = sets.select(F.lit(1).cast("long").alias("key"), F.lit(2000).cast("long").alias("n"), "same", F.col("same").alias("root"))
+    met = shingles._rarely_shared(large, sets, Scratch(spark))
+    assert met.count() <= 4
+    table.unpersist()
+
+
+def test_components_of_paths_and_hubs(spark):
+    draw = random.Random(8)
+    edges = [(i, i + 1) for i in range(0, 400)] + [(1000, j) for j in range(1001, 1500)]
+    edges += [(draw.randrange(2000, 2300), draw.randrange(2000, 2300)) for _ in range(250)] + [(-5, 7), (9, 9)]
+    draw.shuffle(edges)
+    names = list(range(-5, 2300))
+    draw.shuffle(names)
+    edges = [(names[a], names[b]) for a, b in edges]
+    group = {x: x for e in edges for x in e}
+    for a, b in edges:
+        old, new = max(group[a], group[b]), min(group[a], group[b])
+        if old != new:
+            group = {k: new if v == old else v for k, v in group.items()}
+    got = simhash.components(spark.createDataFrame(edges, "a long, b long").repartition(8)).collect()
+    linked = {x for a, b in edges if a != b for x in (a, b)}
+    assert {r.node: r.root for r in got} == {k: v for k, v in group.items() if k in linked}
+    assert len(got) == len(linked)

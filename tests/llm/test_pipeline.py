@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 from barloom.llm import pieces, simhash
-from test_pairs import TEXT, plain_groups, plain_print
+from test_pairs import TEXT, plain_groups, plain_near
 from test_text import plain_base
 
 SF = "/root/testdata/sf0.001"
@@ -42,7 +42,7 @@ def test_stages_on_a_whole_table(spark):
     kept = STAGES["language"](spark, docs, SF)
     assert kept.count() >= 0.98 * len(texts)
     ids = sorted(texts)
-    groups = plain_groups([plain_print(texts[i]) for i in ids])
+    groups = plain_near([texts[i] for i in ids])
     least = {}
     for i, g in zip(ids, groups):
         least.setdefault(g, i)
