@@ -65,6 +65,14 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def inner(frame: DataFrame, name: str) -> str:
+    """The name, with underscores before it until the frame has no such column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Written tables in the shared folder, which can go as soon as nothing reads them any more."""
 

@@ -24,10 +24,14 @@ from pyspark.sql import functions as F
 from barloom.llm.boosting import Trees, fit
 from barloom.llm.common import by_text
 
+#: A quote opens a value only after an equals sign; one that is never closed ends with its tag. A tag without end
+#: reaches to the end of the page.
 MARKUP = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^<]*$", re.S
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|[\"'][^>]*+)?)*+)(>|\Z)",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.I)
 WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
 
@@ -38,8 +42,7 @@ BLOCKS = frozenset(
     " center head menu search hgroup legend".split()
 )
 SILENT = frozenset(
-    "script style noscript template title textarea iframe svg math select button object canvas audio video option"
-    " datalist applet noframes noembed map".split()
+    "script style noscript template title textarea iframe select button option datalist noframes noembed".split()
 )
 CLOSING = {name: re.compile("</" + name, re.A | re.I) for name in SILENT}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -87,6 +90,13 @@ class Page:
             if buffer:
                 text = SPACE.sub(" ", html.unescape("".join(buffer))).strip()
                 if text:
+                    if self.tag[stack[-1]] in ("#page", "html"):
+                        # Text outside all blocks lies in a body, as if that had been opened.
+                        links, self.links[stack[-1]] = self.links[stack[-1]], 0
+                        tags, self.tags[stack[-1]] = self.tags[stack[-1]], min(self.tags[stack[-1]], len(stack) - 1)
+                        self._open(stack, "body")
+                        self.links[-1] += links
+                        self.tags[-1] += tags - self.tags[stack[-2]]
                     self.texts.append((stack[-1], text))
                 buffer.clear()
 
@@ -106,7 +116,7 @@ class Page:
                     self.links[stack[-1]] += start - at
             at = end
             name = found.group(2)
-            if name is None:
+            if name is None or not found.group(4):
                 continue
             name = name.lower()
             if name in SILENT:
@@ -164,16 +174,19 @@ class Page:
                         words = {w.lower() for w in WORD.findall(value)}
                         good += len(words & GOOD)
                         bad += len(words & BAD)
-            stack.append(len(self.tag))
-            self.tag.append(name)
-            self.parent.append(stack[-2])
-            self.good.append(good)
-            self.bad.append(bad)
-            self.hidden.append(hidden)
-            self.tags.append(1)
-            self.links.append(0)
+            self._open(stack, name, good, bad, hidden)
         flush()
 
+    def _open(self, stack: list[int], name: str, good: int = 0, bad: int = 0, hidden: int = 0) -> None:
+        stack.append(len(self.tag))
+        self.tag.append(name)
+        self.parent.append(stack[-2])
+        self.good.append(good)
+        self.bad.append(bad)
+        self.hidden.append(hidden)
+        self.tags.append(1)
+        self.links.append(0)
+
     def features(self) -> np.ndarray:
         """A row for each node."""
         n = len(self.tag)
@@ -401,9 +414,10 @@ def extract(pages: DataFrame, trees: Trees) -> DataFrame:
     """pages with the article's `text` and its length `n_chars` added, from the whole html.
 
     Character references are decoded, white space inside a block becomes one blank,
-    blocks are joined by an empty line in page order. A null or empty page, and one
-    without an article, has an empty text. Every row is kept; existing columns of
-    the added names are replaced.
+    blocks are joined by an empty line in page order. Text outside all blocks counts
+    as text of a body; formulas, drawings and what stands in for media are text like any
+    other. A null or empty page, and one without an article, has an empty text. Every row
+    is kept; existing columns of the added names are replaced.
     """
 
     def make(sources: list[str | None]) -> pa.Array:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import by_text, spread
+from barloom.llm.common import by_text, inner, spread
 
 TABLE = 1 << 15
 #: Bytes looked at together; a longer text takes several turns.
@@ -149,7 +149,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     found = by_text(make, "lang_pred string, score double, ambiguous boolean")("text")
     rest = [c for c in docs.columns if c not in names]
-    return docs.select(*rest, found.alias("_found")).select(*rest, *(F.col(f"_found.{n}") for n in names))
+    own = inner(docs, "_found")
+    return docs.select(*rest, found.alias(own)).select(*rest, *(F.col(f"{own}.{n}") for n in names))
 
 
 def held_out() -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import settled
+from barloom.llm.common import inner, settled
 
 CAP = 3
 #: Size classes per doubling, and parts of a class.
@@ -83,29 +83,30 @@ def mix(docs: DataFrame) -> DataFrame:
     """
     names = ["size", "source_size", "target", "copies"]
     docs = docs.select(*[c for c in docs.columns if c not in names])
+    words, salt, key, step, at, first = (inner(docs, f"_{n}") for n in ("size", "salt", "key", "class", "at", "first"))
     sized = docs.select(
         *docs.columns,
-        size(F.col("text")).alias("_size"),
-        _digits(F.col("doc_id"), 1, 2).alias("_salt"),
-        _named(F.col("source")).alias("_key"),
-    ).withColumn("_class", F.floor(F.log2(F.col("_size") + F.lit(1.0)) * FINE + 1e-9).cast("int"))
-    part = ["_key", "_class", "_salt"]
-    sums = [F.count("*").alias("n"), F.sum("_size").alias("words"), F.first("source").alias("source")]
+        size(F.col("text")).alias(words),
+        _digits(F.col("doc_id"), 1, 2).alias(salt),
+        _named(F.col("source")).alias(key),
+    ).withColumn(step, F.floor(F.log2(F.col(words) + F.lit(1.0)) * FINE + 1e-9).cast("int"))
+    part = [key, step, salt]
+    sums = [F.count("*").alias("n"), F.sum(words).alias("words"), F.first("source").alias("source")]
     parts = settled(sized.groupBy(*part).agg(*sums))
     aims = targets(parts.groupBy("source").agg(F.sum("words").cast("long").alias("source_size")))
-    running = Window.partitionBy("_key").orderBy("_class", "_salt").rowsBetween(Window.unboundedPreceding, -1)
-    first = parts.withColumn("first", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    named = aims.select(_named(F.col("source")).alias("_key"), "source_size", "target")
-    starts = settled(first.join(named, "_key").select(*part, "first", "source_size", "target"))
-    own = Window.partitionBy(*part).orderBy("_size", "doc_id")
-    joined = sized.withColumn("_at", F.row_number().over(own)).join(starts, part)
-    place = F.col("first") + F.col("_at")
+    running = Window.partitionBy(key).orderBy(step, salt).rowsBetween(Window.unboundedPreceding, -1)
+    begun = parts.withColumn(first, F.coalesce(F.sum("n").over(running), F.lit(0)))
+    named = aims.select(_named(F.col("source")).alias(key), "source_size", "target")
+    starts = settled(begun.join(named, key).select(*part, first, "source_size", "target"))
+    own = Window.partitionBy(*part).orderBy(words, "doc_id")
+    joined = sized.withColumn(at, F.row_number().over(own)).join(starts, part)
+    place = F.col(first) + F.col(at)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = _digits(F.col("source"), 1, 5) / F.lit(float(GRAIN))
     crossed = F.floor(place * rate + offset) - F.floor((place - 1) * rate + offset)
     return joined.select(
         *docs.columns,
-        F.col("_size").alias("size"),
+        F.col(words).alias("size"),
         "source_size",
         "target",
         crossed.cast("long").alias("copies"),

@@ -18,6 +18,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ TEXTS, BLOCK, KNOWN = 1 << 20, 1 << 17, 250_000
 #: A separator or a character that no piece has.
 OTHER = 0
 FAR = np.iinfo(np.int32).max
+#: Characters from which a stretch is merged by a heap instead of in step with the others.
+LONG = 256
 
 
 @dataclass(frozen=True)
@@ -151,6 +154,13 @@ class Index:
         ends = symbols + 1
         unit = np.searchsorted(begins, symbols, "right") - 1
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        long = np.flatnonzero(lone - begins >= LONG)
+        for i in long.tolist():
+            done.append((*self._by_heap(at, int(begins[i]), int(lone[i])), i))
+        if len(long):
+            done = [(s, e, np.full(len(s), i)) for s, e, i in done]
+            short = ~np.isin(unit, long)
+            symbols, ends, unit = symbols[short], ends[short], unit[short]
         rank = np.append(self.model.rank, FAR)  # the last stands for no piece
         while len(symbols):
             joined = ends[1:] - symbols[:-1]
@@ -173,6 +183,41 @@ class Index:
         symbols, ends, unit = symbols[order], ends[order], unit[order]
         return symbols, at[symbols, ends - symbols], unit
 
+    def _by_heap(self, at: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the symbols left of one stretch: the same merges in n log n steps."""
+        size, longest, rank = last - first, self.longest, self.model.rank
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        edge, heap, here = at.item, [], (1 << 40) - 1
+
+        def cost(i: int) -> int:
+            """The rank of the symbol at i joined with the next one, -1 if they make no piece."""
+            j = after[i]
+            if j >= size or after[j] - i > longest:
+                return -1
+            piece = edge(first + i, after[j] - i)
+            return int(rank[piece]) if piece >= 0 else -1
+
+        for i in range(size):
+            if (lowest := cost(i)) >= 0:
+                heap.append(lowest << 40 | i)
+        heapify(heap)
+        gone = bytearray(size)
+        while heap:
+            lowest = heappop(heap)
+            i = lowest & here
+            if gone[i] or cost(i) != lowest >> 40:
+                continue
+            j = after[i]
+            k, h = after[j], before[i]
+            after[i], gone[j] = k, 1
+            if k < size:
+                before[k] = i
+            for x in (i, h):
+                if x >= 0 and (new := cost(x)) >= 0:
+                    heappush(heap, new << 40 | x)
+        starts = np.flatnonzero(np.frombuffer(gone, np.uint8) == 0)
+        return first + starts, first + np.array(after)[starts]
+
     def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all stretches, number of ids of each)."""
         text = "\0".join([*stretches, ""])
@@ -244,6 +289,25 @@ class Encoder:
         return np.concatenate(flat) if flat else self.ids[:0], np.array(sizes, np.int64)
 
 
+class Decoder:
+    """The bytes of all pieces end to end, gathered by ids."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.raw = np.frombuffer(b"".join(model.raw), np.uint8)
+        self.size = np.array([len(r) for r in model.raw])
+        self.begin = np.cumsum(self.size) - self.size
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of rows of ids that lie end to end; broken UTF-8 gives replacement characters."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        whole = self.raw[np.arange(int(size.sum())) + np.repeat(self.begin[ids] - (ends - size), size)].tobytes()
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        own = [whole[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in own] if self.model.prefix else own
+
+
 def decode_ids(ids, model: Model) -> str:
     """The text of ids; a run of byte pieces that is no UTF-8 gives replacement characters."""
     raw = model.raw
@@ -252,7 +316,7 @@ def decode_ids(ids, model: Model) -> str:
 
 
 def _groups(lengths) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose texts have about TEXTS characters together."""
+    """Ranges of rows whose texts have about TEXTS characters, or ids, together."""
     at = size = 0
     for i, length in enumerate(lengths):
         size += int(length)
@@ -277,6 +341,8 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
 def encode(docs: DataFrame, model: Model) -> DataFrame:
     """docs with `ids`, the piece ids of the whole text, added.
 
+    A stretch without blanks may have any length; it takes some 100 bytes a character for a while.
+
     The ids are those of the model's own library. A null text has null ids, an
     empty one none. Every row is kept; an existing column `ids` is replaced.
     """
@@ -300,10 +366,14 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
     """rows with `decoded`, the text of the column ids, added; null for null ids."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(model)
         for whole in parts:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                texts = [None if ids is None else decode_ids(ids, model) for ids in batch.column("ids").to_pylist()]
-                yield _with(batch, "decoded", pa.array(texts, pa.string()))
+            sizes = pc.fill_null(pc.list_value_length(whole.column("ids")), 0).to_numpy()
+            for a, b in _groups(sizes):
+                batch = whole.slice(a, b - a)
+                ids = batch.column("ids")
+                texts = decoder.texts(ids.flatten().to_numpy(), sizes[a:b])
+                missing = ids.is_null().to_numpy(zero_copy_only=False)
+                yield _with(batch, "decoded", pa.array(texts, pa.string(), mask=missing))
 
     return rows.mapInArrow(batches, _schema(rows, "decoded", "string"))

@@ -11,14 +11,16 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import by_text, sampled
+from barloom.llm.common import by_text, inner, sampled
 
 #: The patterns of the base scan and the least length of what they find.
 ASSIGN = re.compile(
@@ -30,7 +32,7 @@ VALUE = 8
 
 KINDS = ("assign", "access", "hex", "random")
 #: Runs that the models compare, and the longer ones of the fixed patterns' finds that they learn from.
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 LEARNT = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{5,}")
 ALPHABETS = (
@@ -153,15 +155,23 @@ def spans(text: str | None, ratio: np.ndarray, log_odds: float) -> list[tuple[in
     """(start, kind, end) of everything found; what the models add overlaps no base span."""
     text = text or ""
     base = base_spans(text)
-    extra, at = [], 0
-    for m in TOKEN.finditer(text):
-        while at < len(base) and base[at][2] <= m.start():
-            at += 1
-        if any(start < m.end() and end > m.start() for start, _, end in base[at : at + 8]):
-            continue
-        if ratio[_steps(m.group())].sum() >= log_odds:
-            extra.append((m.start(), 3, m.end()))
-    return sorted(base + extra) if extra else base
+    places = [m.span() for m in TOKEN.finditer(text)]
+    if not places:
+        return base
+    # All tokens lie end to end; each has a transition more than characters.
+    gains = ratio[_steps(*(text[a:b] for a, b in places))]
+    sizes = np.array([b - a + 1 for a, b in places])
+    likely = np.flatnonzero(np.add.reduceat(gains, np.cumsum(sizes) - sizes) >= log_odds)
+    if not len(likely):
+        return base
+    starts, reach = [s for s, _, _ in base], list(accumulate((end for _, _, end in base), max))
+    extra = []
+    for i in likely.tolist():
+        a, b = places[i]
+        before = bisect_left(starts, b)
+        if not before or reach[before - 1] <= a:
+            extra.append((a, 3, b))
+    return sorted(base + extra)
 
 
 def told(found: list[tuple[int, int, int]]) -> str:
@@ -169,14 +179,14 @@ def told(found: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, ratio: np.ndarray, log_odds: float = 14.0) -> DataFrame:
-    """docs with n_assign, n_access, n_hex, n_random, base_sha256 and spans added.
+    """docs with n_assign, n_access, n_hex, base_sha256, spans and n_random added.
 
     Offsets count code points, ends exclusive. A null text counts as empty: no
     counts, the digest of the empty string, empty spans. Every row is kept, and
     existing columns of these names are replaced.
     """
 
-    shape = "n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
+    shape = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long"
     names = [x.split()[0] for x in shape.split(", ")]
     kind = pa.struct([(name, pa.int64() if name.startswith("n_") else pa.string()) for name in names])
 
@@ -187,12 +197,14 @@ def scan(docs: DataFrame, ratio: np.ndarray, log_odds: float = 14.0) -> DataFram
             kinds = [kind for _, kind, _ in found]
             base = told([x for x in found if x[1] < 3])
             digest = hashlib.sha256(base.encode()).hexdigest()
-            rows.append(dict(zip(names, (*(kinds.count(k) for k in range(4)), digest, told(found)))))
+            counts = [kinds.count(k) for k in range(4)]
+            rows.append(dict(zip(names, (*counts[:3], digest, told(found), counts[3]))))
         return pa.array(rows, kind)
 
     found = by_text(make, shape)("text")
     rest = [c for c in docs.columns if c not in names]
-    return docs.select(*rest, found.alias("_found")).select(*rest, *(F.col(f"_found.{n}") for n in names))
+    own = inner(docs, "_found")
+    return docs.select(*rest, found.alias(own)).select(*rest, *(F.col(f"{own}.{n}") for n in names))
 
 
 def redacted(docs: DataFrame, ratio: np.ndarray, log_odds: float = 14.0, mark: str = "[SECRET]") -> DataFrame:

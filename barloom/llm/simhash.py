@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import shingles
-from barloom.llm.common import Scratch, by_text, settled, spread
+from barloom.llm.common import Scratch, by_text, inner, settled, spread
 
 DISTANCE = 3
 SEGMENTS = 4
@@ -304,7 +304,8 @@ def kept(docs: DataFrame, shingle: int = 3, similar: bool = False) -> DataFrame:
     again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if stay.where("doc_id is null").isEmpty() and stay.join(again, "doc_id", "left_semi").isEmpty():
         return docs.join(stay.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    own = docs.withColumn("_fp", printed(shingle))
-    one = stay.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
-    same = own["doc_id"].eqNullSafe(one["_id"]) & (own["_fp"] == one["_fp"])
-    return own.join(one, same, "left_semi").dropDuplicates(["doc_id", "_fp"]).select(*docs.columns)
+    name = inner(docs, "_fp")
+    own = docs.withColumn(name, printed(shingle))
+    one = stay.select(F.col("doc_id").alias("_id"), F.col("fp").alias(name))
+    same = own["doc_id"].eqNullSafe(one["_id"]) & (own[name] == one[name])
+    return own.join(one, same, "left_semi").dropDuplicates(["doc_id", name]).select(*docs.columns)

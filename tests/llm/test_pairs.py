@@ -233,6 +233,23 @@ def test_pieces_are_the_librarys(spark):
     assert pieces.encode(table.limit(0), model).count() == 0
 
 
+def test_long_stretches_are_merged_as_the_library_does():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    model, draw = pieces.load(), random.Random(3)
+    encoder, decoder = pieces.Encoder(model), pieces.Decoder(model)
+    texts = [None, "short one", ""]
+    for letters in ("abcdefgh", "aé一x\0", "abcABC0123+/", "the andingtion"):
+        texts += ["".join(draw.choice(letters) for _ in range(n)) for n in (pieces.LONG - 1, pieces.LONG, 3000, 50_000)]
+    texts += [t + " end" for t in texts[3:6]]
+    ids, counts = encoder.encode(texts)
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == [library.encode(t or "") for t in texts]
+    assert decoder.texts(ids, counts) == [t or "" for t in texts]
+    broken = np.array([*model.byte_ids[0xC3:0xC5], ids[0]])
+    assert decoder.texts(broken, np.array([1, 2])) == [pieces.decode_ids(broken[:1], model), pieces.decode_ids(broken[1:], model)]
+
+
 def test_pieces_of_whole_texts(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
