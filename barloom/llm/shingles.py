@@ -7,11 +7,11 @@ probability below 4e-9. Every link is held to the exact similarity of both sets,
 sets travel only for texts that have such a candidate.
 
 Members of a band's group meet a hub first. Groups that this leaves in several
-components are compared pair by pair if they are small. A large one, such as many
-texts of one boilerplate, is cut by prefix filtering: shingles are ordered by how
-common they are in the group. Similar sets share one that is among the rarest
-|y| - ceil(0.8 |y|) + 1 of the larger and |x| - ceil(8 |x| / 9) + 1 of the smaller, and
-only members with such a shingle in common meet.
+components are compared pair by pair if they are small. The members of large ones, such
+as many texts of one boilerplate, are pooled and met by prefix filtering: shingles are
+ordered by how common they are in the pool. Similar sets share one that is among the
+rarest |y| - ceil(0.8 |y|) + 1 of the larger and |x| - ceil(8 |x| / 9) + 1 of the smaller,
+and only members with such a shingle in common meet.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from barloom.llm.common import Scratch, by_text
 
 WORDS = 5
 BANDS, DEEP = 24, 3
-#: MinHash values that agree at least; members of a tile on either side; members that tell a group's common shingles.
-AGREE, TILE, TELL = 36, 512, 64
+#: MinHash values that agree at least; members of a tile on either side.
+AGREE, TILE = 36, 512
 _DRAW = np.random.default_rng(11)
 _TIMES = _DRAW.integers(0, 1 << 63, BANDS * DEEP, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _DRAW.integers(0, 1 << 63, BANDS * DEEP, np.uint64)
@@ -202,20 +202,21 @@ def _apart(members: DataFrame) -> DataFrame:
     return members.join(roots.where("low <> high").select("key"), "key", "left_semi")
 
 
-def _rarely_shared(large: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """(tile, same, root): members of large groups (key, n, same, root) by the rare shingles that they share."""
-    each = scratch.keep(large.join(sets, "same").select("key", "n", "same", F.size("set").alias("size"), F.explode("set").alias("s")))
-    told = each.where(F.pmod(F.xxhash64("same"), F.ceil(F.col("n") / TELL)) == 0)
-    common = told.groupBy("key", "s").agg(F.count("*").alias("times")).where("times > 1")
-    order = Window.partitionBy("key", "same").orderBy(F.coalesce("times", F.lit(0)), "s")
-    ranked = each.join(common, ["key", "s"], "left").withColumn("at", F.row_number().over(order))
-    prefix = ranked.where("at <= size - (4 * size + 4) div 5 + 1")
+def _rarely_shared(pool: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(tile, same, root): of a pool of sets (same, root), those that meet, by the rare shingles that they share."""
+    each = scratch.keep(pool.join(sets, "same").select("same", F.size("set").alias("size"), F.explode("set").alias("key")))
+    common = each.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    order = Window.partitionBy("same").orderBy(F.coalesce("times", F.lit(1)), "key")
+    ranked = each.join(common, "key", "left").withColumn("at", F.row_number().over(order))
+    # A shingle of its own meets nothing, but has its place in the order.
+    prefix = ranked.where("at <= size - (4 * size + 4) div 5 + 1 and times > 1")
     smaller = F.expr("at <= size - (8 * size + 8) div 9 + 1").alias("smaller")
-    rare = scratch.keep(prefix.select(F.xxhash64("key", "s").alias("key"), "same", smaller))
+    rare = scratch.keep(prefix.select("key", "same", smaller))
     useful = rare.where("smaller").select("key").distinct()
     groups = _grouped(rare.join(useful, "key", "left_semi"))
-    met = rare.join(groups.select("key", "n"), "key").join(large.select("same", "root").distinct(), "same")
+    met = rare.join(groups.select("key", "n"), "key").join(pool, "same")
     left = scratch.keep(_apart(met.select("key", "n", "same", "root")))
+    scratch.drop(each, rare)
     # A shingle that very many still share is cut into blocks that meet two by two.
     cut = F.ceil(F.col("n") / TILE).cast("long")
     left = left.withColumn("own", F.pmod(F.xxhash64("same"), cut))
@@ -265,10 +266,10 @@ def links(docs: DataFrame, rows: DataFrame, first: DataFrame, components: Callab
     small = left.where(F.col("n") <= TILE).join(sets.select("same", "size", "sketch"), "same")
     small = small.repartition("key").sortWithinPartitions("key")
     tiles = scratch.keep(small.mapInArrow(_promising, "tile long, same long, root long"))
-    large = left.where(F.col("n") > TILE).select("key", "n", "same", "root")
-    if not large.isEmpty():
-        mass = sets.select("same", "least").join(large.select("same").distinct(), "same", "left_semi")
-        cut = _rarely_shared(large, scratch.keep(_sets(docs, mass)), scratch)
+    pool = scratch.keep(left.where(F.col("n") > TILE).select("same", "root").distinct())
+    if not pool.isEmpty():
+        mass = sets.select("same", "least").join(pool.select("same"), "same", "left_semi")
+        cut = _rarely_shared(pool, scratch.keep(_sets(docs, mass)), scratch)
         tiles = scratch.keep(tiles.unionByName(cut))
     if tiles.isEmpty():
         return stars

@@ -317,8 +317,7 @@ def test_unlinked_texts_of_one_boilerplate_do_not_meet_in_pairs(spark):
     assert 4321 in gone and all(near[i] != i or i == 4321 for i in gone)
 
     sets = table.select(shingles._whole().alias("s")).select("s.*").limit(2000)
-    large = sets.select(F.lit(1).cast("long").alias("key"), F.lit(2000).cast("long").alias("n"), "same", F.col("same").alias("root"))
-    met = shingles._rarely_shared(large, sets, Scratch(spark))
+    met = shingles._rarely_shared(sets.select("same", F.col("same").alias("root")), sets, Scratch(spark))
     assert met.count() <= 4
     table.unpersist()
 
