@@ -12,6 +12,10 @@ their own, so each chunk is first aggregated to one row (plain ``groupBy``),
 and that row is added, scaled, to the chunks after it. ``a**(core*k)`` is zero
 in double precision after a few chunks, which bounds how far a row is sent.
 
+A run may also begin where an earlier one ended, from a ``State``: the last bars of
+each series, and what the recursions hold before them. The chunks are then
+counted from those bars, and that state is what enters the first one.
+
 Expressions are SQL text: one ``selectExpr`` per step keeps the number of
 driver calls small however many indicators are asked for.
 """
@@ -54,12 +58,58 @@ class Decay:
     """The recursion ``y = a*y_before + term`` with ``y = 0`` before the first bar.
 
     ``term`` is SQL over the bar's columns, ``pos`` and ``prev_close``; where it
-    is null it adds nothing.
+    is null it adds nothing. With an ``angle`` the multiplier is the complex number of
+    size ``a`` and that angle, so the state is a point of the plane, which each bar
+    shrinks and turns: a filter of two poles. Its value is then
+    ``sum(term * a**q * sin((q + 1) * angle))`` over the bars q back.
     """
 
     name: str
     a: float
     term: str
+    angle: float = 0.0
+
+    @property
+    def held(self) -> tuple[str, ...]:
+        """The numbers of its state."""
+        return (f"{self.name}_cos", f"{self.name}_sin") if self.angle else (self.name,)
+
+    def left_behind(self, bars: str) -> dict[str, str]:
+        """What a bar's term comes to after so many further bars."""
+        value = f"{self.term} * power({number(self.a)}, {bars})"
+        if not self.angle:
+            return {self.name: value}
+        cos, sin = self.held
+        turned = f"(({bars}) * {number(self.angle)})"
+        return {cos: f"{value} * cos{turned}", sin: f"{value} * sin{turned}"}
+
+    def carried(self, bars: str, prefix: str = "") -> dict[str, str]:
+        """The state in the columns ``prefix`` + ``held`` after so many further bars."""
+        scale = f"power({number(self.a)}, {bars})"
+        if not self.angle:
+            return {self.name: f"{prefix}{self.name} * {scale}"}
+        cos, sin = self.held
+        turned = f"(({bars}) * {number(self.angle)})"
+        x, y = f"{prefix}{cos}", f"{prefix}{sin}"
+        return {
+            cos: f"{scale} * ({x} * cos{turned} - {y} * sin{turned})",
+            sin: f"{scale} * ({x} * sin{turned} + {y} * cos{turned})",
+        }
+
+
+@dataclass(frozen=True)
+class State:
+    """Where the computation of a table of series stands.
+
+    ``tail`` has the last bars of each series, as many as the indicators look back on.
+    ``sums`` has a row per series: ``_until`` (last start), ``_stored`` and ``_past`` (bars of the
+    series, and those before the tail), ``_past_close`` (the close before the tail),
+    ``_past_null_close`` and ``_past_null_range`` (first starts without a close, or a high or
+    low), and ``_y_`` + the numbers of every recursion just before the tail.
+    """
+
+    tail: DataFrame
+    sums: DataFrame
 
 
 def number(value: float) -> str:
@@ -110,6 +160,7 @@ def index_bars(
     bars: DataFrame,
     bucket_bars: int = BUCKET_BARS,
     ties: Sequence[str] = ("close", "high", "low"),
+    before: State | None = None,
 ) -> DataFrame:
     """Add each bar's 0-based position in its series, and its neighbourhood.
 
@@ -124,7 +175,13 @@ def index_bars(
     numbered inside their bucket. The running totals are the one place that
     orders a whole series, and the calendar bounds it: a century of any series
     has at most 48,000 buckets.
+
+    With a state ``before``, the bars follow those of its series (none is older than the
+    last stored one), the tail comes along, and ``_stored`` and ``_past`` are added.
     """
+    columns = bars.columns
+    if before is not None:
+        bars = bars.unionByName(before.tail, allowMissingColumns=True)
     bucket = floor_div_sql("start", f"({grid_sql('granularity')} * {bucket_bars}L)")
     keyed = bars.filter(PLACED).selectExpr("*", f"{bucket} AS _bucket")
     until = f"PARTITION BY {_KEYS} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND"
@@ -146,59 +203,132 @@ def index_bars(
             f"min(_no_range) OVER ({until} CURRENT ROW) AS _null_range_at",
         )
     )
+    if before is not None:
+        known = ["_stored", "_past", "_past_close", "_past_null_close", "_past_null_range"]
+        seams = seams.join(before.sums.select(*SERIES, *known), [*SERIES], "left").selectExpr(
+            *SERIES,
+            "_bucket",
+            "_base + coalesce(_past, 0L) AS _base",
+            "_total + coalesce(_past, 0L) AS _total",
+            "if(_base = 0, _past_close, _seam) AS _seam",
+            "least(_null_close_at, _past_null_close) AS _null_close_at",
+            "least(_null_range_at, _past_null_range) AS _null_range_at",
+            "coalesce(_stored, 0L) AS _stored",
+            "coalesce(_past, 0L) AS _past",
+        )
     order = ", ".join(["start", *ties])
     numbered = f"OVER (PARTITION BY {_KEYS}, _bucket ORDER BY {order})"
     return (
         keyed.join(seams, [*SERIES, "_bucket"], "left")
         .selectExpr("*", f"row_number() {numbered} AS _nth", f"lag(close) {numbered} AS _before")
         .selectExpr(
-            *bars.columns,
+            *columns,
             "_base + _nth - 1 AS _pos",
             "if(_nth = 1, _seam, _before) AS _prev_close",
             "_total",
             "_null_close_at",
             "_null_range_at",
+            *(["_stored", "_past"] if before is not None else []),
         )
     )
 
 
+def _on_grid(position: str, core: int, before: State | None) -> str:
+    """Where a position lies on the grid of chunks.
+
+    After a state the first new bar begins chunk 1, so the tail is all of chunk 1's halo.
+    """
+    return position if before is None else f"({position} - _stored + {core}L)"
+
+
+def series_state(
+    bars: DataFrame,
+    decays: Sequence[Decay],
+    lookback: int,
+    bucket_bars: int = BUCKET_BARS,
+    ties: Sequence[str] = ("close", "high", "low"),
+    before: State | None = None,
+) -> State:
+    """The state after ``bars``, which follow the state ``before`` if there is one.
+
+    Sums per series with partial aggregation; nothing is ordered but time buckets.
+    """
+    lookback = max(lookback, 1)
+    indexed = index_bars(bars, bucket_bars, ties, before)
+    if before is None:
+        indexed = indexed.selectExpr("*", "0L AS _past")
+    tail = indexed.filter(f"_pos >= _total - {lookback}")
+    past = f"greatest(_total - {lookback}, 0L)"
+    lasting = [decay for decay in decays if decay.a > 0]
+    left = {k: v for d in lasting for k, v in d.left_behind(f"({past} - 1 - _pos)").items()}
+    sums = indexed.groupBy(*SERIES).agg(
+        F.expr("max(start) AS _until"),
+        F.expr("max(_total) AS _stored"),
+        F.expr(f"max({past}) AS _now_past"),
+        F.expr("max(_past) AS _was_past"),
+        F.expr(f"max(if(_pos = {past}, _prev_close, null)) AS _past_close"),
+        F.expr("min(_null_close_at) AS _past_null_close"),
+        F.expr("min(_null_range_at) AS _past_null_range"),
+        *[F.expr(f"coalesce(sum(if(_pos < {past}, {v}, 0D)), 0D) AS _new_{k}") for k, v in left.items()],
+    )
+    names = ["_until", "_stored", "_now_past AS _past", "_past_close", "_past_null_close", "_past_null_range"]
+    if before is None:
+        added = [f"_new_{k} AS _y_{k}" for k in left]
+    else:
+        states = [f"_y_{k}" for k in left]
+        sums = sums.join(before.sums.select(*SERIES, *states), [*SERIES], "left")
+        kept = {k: v for d in lasting for k, v in d.carried("(_now_past - _was_past)", "_y_").items()}
+        added = [f"_new_{k} + coalesce({v}, 0D) AS _y_{k}" for k, v in kept.items()]
+    return State(tail.select(*bars.columns), sums.selectExpr(*SERIES, *names, *added))
+
+
 def _chunk_states(
-    indexed: DataFrame, decays: Sequence[Decay], lookback: int, core: int
+    indexed: DataFrame,
+    decays: Sequence[Decay],
+    lookback: int,
+    core: int,
+    before: State | None = None,
 ) -> DataFrame:
     """State of every recursion just before each chunk's first row (halo included).
 
     Chunk k starts at bar ``k*core - lookback``; the bars from there up to the
     start of chunk k+1 are summed to what they leave behind at their end. A sum
-    goes only to chunks that the series has.
+    goes only to chunks that the series has. A state ``before`` enters chunk 1 as it is,
+    and later ones by what chunk 1 leaves of it.
     """
     slowest = min(-math.log(d.a) for d in decays)
     reach = math.ceil(_VANISHED / (core * slowest)) + 1
-    owner = f"(_pos + {lookback}) div {core}L"
-    left = f"({owner} + 1) * {core}L - {lookback + 1} - _pos"
-    ahead = f"(max(_total) - 1) div {core}L - _owner"
+    place, total = _on_grid("_pos", core, before), _on_grid("_total", core, before)
+    owner = f"({place} + {lookback}) div {core}L"
+    left = f"(({owner} + 1) * {core}L - {lookback + 1} - {place})"
+    ahead = f"(max({total}) - 1) div {core}L - _owner"
+    terms = {k: v for d in decays for k, v in d.left_behind(left).items()}
     own = (
         indexed.groupBy(*SERIES, F.expr(f"{owner} AS _owner"))
         .agg(
             F.expr(f"least({reach}L, {ahead}) AS _ahead"),
-            *[
-                F.expr(f"sum({d.term} * power({number(d.a)}, {left})) AS {d.name}")
-                for d in decays
-            ],
+            *[F.expr(f"coalesce(sum({v}), 0D) AS {k}") for k, v in terms.items()],
         )
         .filter("_ahead > 0")
     )
-    return (
+    if before is not None:
+        kept = {k: v for d in decays for k, v in d.carried(f"{core}L", "_y_").items()}
+        own = own.join(before.sums.select(*SERIES, *[f"_y_{k}" for k in kept]), [*SERIES], "left").selectExpr(
+            *SERIES,
+            "_owner",
+            "_ahead",
+            *[f"{k} + if(_owner = 1, coalesce({v}, 0D), 0D) AS {k}" for k, v in kept.items()],
+        )
+    steps = {k: v for d in decays for k, v in d.carried(f"((_step - 1) * {core}L)").items()}
+    states = (
         own.selectExpr("*", "explode(sequence(1L, _ahead)) AS _step")
         .groupBy(*SERIES, F.expr("_owner + _step AS _chunk"))
-        .agg(
-            *[
-                F.expr(
-                    f"sum({d.name} * power({number(d.a)}, (_step - 1) * {core}L)) AS _in_{d.name}"
-                )
-                for d in decays
-            ]
-        )
+        .agg(*[F.expr(f"sum({v}) AS _in_{k}") for k, v in steps.items()])
     )
+    if before is None:
+        return states
+    entering = [f"_y_{k} AS _in_{k}" for k in steps]
+    return states.unionByName(before.sums.selectExpr(*SERIES, "1L AS _chunk", *entering))
 
 
 def chunk_bars(
@@ -208,26 +338,37 @@ def chunk_bars(
     core: int = CHUNK_BARS,
     bucket_bars: int = BUCKET_BARS,
     ties: Sequence[str] = ("close", "high", "low"),
+    before: State | None = None,
 ) -> DataFrame:
     """Bars with ``_chunk`` and ``_age`` (bars since the middle of the chunk).
 
-    Halo rows are copies: keep only ``core_bars`` of the result at the end.
+    ``_opens`` tells whether the chunk has the first bar of its series. Halo rows are copies: keep
+    only ``core_bars`` of the result at the end, which also drops the tail of a state ``before``.
     """
-    indexed = index_bars(bars, bucket_bars, ties)
-    first, last = f"_pos div {core}L", f"(_pos + {lookback}) div {core}L"
+    if before is not None:
+        lookback = max(lookback, 1)
+    indexed = index_bars(bars, bucket_bars, ties, before)
+    place, total = _on_grid("_pos", core, before), _on_grid("_total", core, before)
+    first, last = f"{place} div {core}L", f"({place} + {lookback}) div {core}L"
     # A halo belongs to a chunk that has bars of its own.
-    last = f"least({last}, (_total - 1) div {core}L)"
-    chunked = indexed.selectExpr("*", f"explode(sequence({first}, {last})) AS _chunk")
+    last = f"least({last}, ({total} - 1) div {core}L)"
+    opens = "_chunk = 0"
+    if before is not None:
+        indexed = indexed.filter("_total > _stored")
+        opens = "_chunk = 1 and _past = 0"
+    begin = first if before is None else f"greatest({first}, 1L)"
+    chunked = indexed.selectExpr("*", f"explode(sequence({begin}, {last})) AS _chunk")
     lasting = [decay for decay in decays if decay.a > 0]
     if lasting:
-        states = _chunk_states(indexed, lasting, lookback, core)
+        states = _chunk_states(indexed, lasting, lookback, core, before)
         chunked = chunked.join(states, [*SERIES, "_chunk"], "left")
     half = (core + lookback) // 2
     return chunked.selectExpr(
         "*",
-        f"_pos - (_chunk * {core}L - {lookback}) - {half} AS _age",
+        f"{place} - (_chunk * {core}L - {lookback}) - {half} AS _age",
         f"{half + 1} AS _half",
         f"_chunk = {first} AS _core",
+        f"{opens} AS _opens",
     )
 
 
@@ -245,6 +386,8 @@ def decay_phases(decay: Decay, rows: int, out: str) -> list[dict[str, str]]:
     does not build up with the chunk length. A decay too fast for the chunk sums
     up blocks of it, each with what the block before leaves.
     """
+    if decay.angle:
+        return _turning_phases(decay, rows, out)
     if decay.a == 0:
         return [{out: f"coalesce({decay.term}, 0D)"}]
     a = number(decay.a)
@@ -262,3 +405,29 @@ def decay_phases(decay: Decay, rows: int, out: str) -> list[dict[str, str]]:
         {before: block_before(own, length)},
         {out: f"{own} + power({a}, {off} + 1) * coalesce({before}, 0D) + {state}"},
     ]
+
+
+def _turning_phases(decay: Decay, rows: int, out: str) -> list[dict[str, str]]:
+    """The value of a recursion with an angle: running sums of both parts of its state."""
+    a, turn = number(decay.a), number(decay.angle)
+    cos_in, sin_in = (f"coalesce(_in_{name}, 0D)" for name in decay.held)
+    ahead = f"((_age + _half + 1) * {turn})"
+    state = f"power({a}, _age + _half) * (sin{ahead} * {cos_in} + cos{ahead} * {sin_in})"
+    sums = (f"{out}_cos", f"{out}_sin")
+
+    def wave(age: str, cos_part: str, sin_part: str) -> str:
+        turned = f"(({age} + 1) * {turn})"
+        return f"power({a}, {age}) * (sin{turned} * {cos_part} - cos{turned} * {sin_part})"
+
+    def fed(call: str, age: str) -> str:
+        return f"sum({decay.term} * power({a}, -{age}) * {call}({age} * {turn}))"
+
+    length = block_length(decay.a, rows)
+    if length is None:
+        running = {name: f"coalesce({over_so_far(fed(call, '_age'))}, 0D)" for name, call in zip(sums, ("cos", "sin"))}
+        return [running, {out: f"{wave('_age', *sums)} + {state}"}]
+    age = f"({OFFSET} % {length} - {length // 2})"
+    running = {name: f"coalesce({over_block(fed(call, age), length)}, 0D)" for name, call in zip(sums, ("cos", "sin"))}
+    ended = {f"{name}_before": block_before(name, length) for name in sums}
+    earlier = wave(f"({age} + {length})", *ended)
+    return [running, ended, {out: f"{wave(age, *sums)} + coalesce({earlier}, 0D) + {state}"}]

@@ -7,7 +7,7 @@ one pass: one shuffle to chunks and one sort, shared by every window.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ from barloom.operators.chunks import (
     PLACED,
     Decay,
     OFFSET,
+    State,
     bars_ago,
     block_before,
     block_length,
@@ -29,6 +30,7 @@ from barloom.operators.chunks import (
     over_block,
     over_last,
     over_so_far,
+    series_state,
 )
 from barloom.operators.rolling import (
     Phases,
@@ -93,23 +95,20 @@ def add_indicators(
     *indicators: Indicator,
     core: int | None = None,
     bucket_bars: int = BUCKET_BARS,
+    before: State | None = None,
 ) -> DataFrame:
     """All input columns and rows, plus the outputs of the indicators in order.
 
     An indicator listed twice is computed once; two different ones for the same
     column are an error. Names of further input columns must not begin with an
     underscore. ``core`` is the number of bars per chunk; by default it grows with
-    the longest look-back.
+    the longest look-back. With a state ``before``, made by ``state_after`` for the same
+    indicators, the bars go on where it ends.
     """
     reserved = [name for name in bars.columns if name.startswith("_")]
     if reserved:
         raise ValueError(f"columns that begin with an underscore are reserved: {reserved}")
-    # What a column sees in all: its own frame on top of what its inputs see.
-    seen: dict[str, int] = {}
-    for item in indicators:
-        total = item.lookback + max((seen.get(name, 0) for name in item.needs), default=0)
-        seen.update(dict.fromkeys(item.outputs, total))
-    lookback = max(seen.values(), default=0)
+    lookback = whole_lookback(indicators)
     core = core or max(CHUNK_BARS, 2 * lookback)
     steps: dict[int, dict[str, str]] = {}
     made: dict[str, tuple[int, str]] = {}
@@ -134,9 +133,10 @@ def add_indicators(
     ties = ["close", *(name for name in ("high", "low") if any(name in sql for sql in used))]
     windows = bool(decays) or any(" OVER (" in sql for sql in used)
     if windows:
-        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties)
+        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties, before)
     elif any(place in sql for sql in used for place in _PLACES):
-        frame = index_bars(bars, bucket_bars, ties)
+        frame = index_bars(bars, bucket_bars, ties, before)
+        frame = frame if before is None else frame.filter("_pos >= _stored")
     else:
         frame = bars
     for _, step in sorted(steps.items()):
@@ -150,6 +150,23 @@ def add_indicators(
     return measured.unionByName(bars.filter(f"not ({PLACED})").selectExpr("*", *blank))
 
 
+def whole_lookback(indicators: Sequence[Indicator]) -> int:
+    """How many earlier bars the indicators see, their own frames on top of what their inputs see."""
+    seen: dict[str, int] = {}
+    for item in indicators:
+        total = item.lookback + max((seen.get(name, 0) for name in item.needs), default=0)
+        seen.update(dict.fromkeys(item.outputs, total))
+    return max(seen.values(), default=0)
+
+
+def state_after(
+    bars: DataFrame, *indicators: Indicator, bucket_bars: int = BUCKET_BARS, before: State | None = None
+) -> State:
+    """What ``add_indicators`` needs to go on after ``bars``, which follow ``before`` if given."""
+    decays = {d.name: d for item in indicators for d in item.decays}
+    return series_state(bars, list(decays.values()), whole_lookback(indicators), bucket_bars, before=before)
+
+
 def _named(name: str, given: tuple[int, ...], usual: tuple[int, ...]) -> str:
     """A column's name; other periods than the usual ones are part of it."""
     return name if given == usual else "_".join([name, *map(str, given)])
@@ -352,6 +369,10 @@ def super_smoother(
 ) -> Indicator:
     """Two-pole low-pass filter of the mean of the source and the source before.
 
+    Of the close it is a recursion whose state, two numbers, is carried from chunk to
+    chunk exactly, so no period copies bars. Another source may itself need windows,
+    so there is nothing to carry before the chunks are made:
+
     The filter weighs an input q bars back by ``r**q * sin((q+1)*theta)/sin(theta)``,
     so its output is made of two running sums, and so is its output for the bar
     before. The weights shrink by r per bar: what lies further back than the
@@ -364,6 +385,10 @@ def super_smoother(
     theta = math.sqrt(2) * SMOOTHER_PI / n
     r = math.exp(-SMOOTHER_PI * math.sqrt(2) / n)
     share = (1 - 2 * r * math.cos(theta) + r * r) / 2
+    if source == "close":
+        fresh = f"{number(share)} * (coalesce(close, 0D) + coalesce(_prev_close, 0D))"
+        poles = Decay(f"smooth{n}", r, f"if(_pos = 0, coalesce(close, 0D), {fresh})", theta)
+        return _recursive(out, (poles,), f"if({_CLOSE_KNOWN}, _{poles.name} / {number(math.sin(theta))}, null)")
     memory = math.ceil(72 / -math.log(r))
     cos_sum, sin_sum, opening = f"_{out}_cos", f"_{out}_sin", f"_{out}_opening"
     turn = number(theta)
@@ -380,8 +405,7 @@ def super_smoother(
         return f"sum(coalesce({source}, 0D) / power({number(r)}, {age}) * {call}({age} * {turn}))"
 
     rest = f"power({number(r)}, _pos) * sin((_pos + 1) * {turn}) * {opening}"
-    start = f"if(_chunk = 0, {number(1 - share)} * {rest}, 0D)"
-    known = _CLOSE_KNOWN if source == "close" else "true"
+    start = f"if(_opens, {number(1 - share)} * {rest}, 0D)"
 
     def phases(rows: int) -> Phases:
         length = block_length(r, rows)
@@ -400,7 +424,7 @@ def super_smoother(
             between = [ends]
             earlier = f"coalesce({wave(f'({age} + {length})', *ends)}, 0D)"
         value = f"({wave(age, cos_sum, sin_sum)} + {earlier} + {start}) / {number(math.sin(theta))}"
-        return [first | sums, *between, {out: f"if({known}, {value}, null)"}]
+        return [first | sums, *between, {out: value}]
 
     return Indicator((out,), phases, lookback=memory, needs=(source,))
 

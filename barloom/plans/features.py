@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import calendar_columns
-from barloom.operators.chunks import BUCKET_BARS
+from barloom.operators.chunks import BUCKET_BARS, State
 from barloom.operators.indicators import add_indicators, standard_indicators
 from barloom.schema import CALENDAR_COLUMNS, INDICATOR_COLUMNS
 
@@ -17,14 +17,19 @@ def with_calendar(bars: DataFrame) -> DataFrame:
 
 
 def feature_table(
-    bars: DataFrame, core: int | None = None, bucket_bars: int = BUCKET_BARS
+    bars: DataFrame,
+    core: int | None = None,
+    bucket_bars: int = BUCKET_BARS,
+    before: State | None = None,
 ) -> DataFrame:
     """All series at once; as many rows as ``bars``, which has unique keys.
 
+    With a state ``before`` the bars go on where it ends, and no earlier bar is read.
+
     The calendar is added after the shuffles, from ``start``, so that it does
     not travel through them.
     """
-    measured = add_indicators(bars, *standard_indicators(), core=core, bucket_bars=bucket_bars)
+    measured = add_indicators(bars, *standard_indicators(), core=core, bucket_bars=bucket_bars, before=before)
     calendar = calendar_columns()
     return measured.select(
         *bars.columns,

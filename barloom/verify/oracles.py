@@ -412,7 +412,14 @@ ORACLES: dict[str, str] = {
         "measured",
         WALK,
     ),
+    "super_smoother_1000": _show(
+        MINUTE_BARS,
+        _rounded(super_smoother_1000=("f", 4)),
+        "smooth JOIN idx USING (product_id, pos)",
+        _smooth("close", "idx", 1000),
+    ),
     "features_1d": _features(ORDER_BARS),
+    "features_resumed": _features(ORDER_BARS),
     "features_15m": _features(EVENT_BARS),
     "features_short_chunks": _features(ORDER_BARS),
     "row_count": f"WITH {TICKS} SELECT product_id, granularity, count(*) AS total FROM ticks GROUP BY ALL",

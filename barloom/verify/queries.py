@@ -21,6 +21,7 @@ from barloom.operators import merge, quality
 from barloom.plans.collect import append_arrived, initial_load, merged, rejected
 from barloom.plans.features import feature_table
 from barloom.plans.job import process, run_job
+from barloom.plans.resume import top_up_features
 from barloom.plans.updates import (
     backfill_plan,
     load_mode,
@@ -440,6 +441,18 @@ def job_output(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(*names), 6, atr=4)
 
 
+def features_resumed(spark, sf_dir):
+    """The feature table in four top-ups, each from the state that the one before has left."""
+    state, path = scratch(spark), scratch(spark)
+    bars = order_bars(spark, sf_dir)
+    low, high = bars.agg(F.min("start"), F.max("start")).first()
+    ends = [low + (high - low) * part // 20 for part in (1, 7, 18)]
+    for begin, end in zip([low, *ends], [*ends, high + 1]):
+        top_up_features(spark, bars.filter((F.col("start") >= begin) & (F.col("start") < end)), state, path)
+    names = [*KEYS, *OHLCV, "year", "month", "day", "hour", "minute", *INDICATOR_COLUMNS]
+    return rounded(spark.read.parquet(path).select(*names), 6, atr=4)
+
+
 def job_from_stream(spark, sf_dir):
     """The job over the table that the stream has written, in a folder of any name."""
     landing, table, output = scratch(spark), scratch(spark), scratch(spark)
@@ -514,7 +527,9 @@ QUERIES: dict[str, Query] = {
         ind.rsi, ind.atr, ind.ema, lambda: ind.sma(138), source=minute_bars
     ),
     # O-52; the last one with chunks short enough to be carried across
+    "super_smoother_1000": _indicators(lambda: ind.super_smoother(n=1000), source=minute_bars, places=4),
     "features_1d": _features(order_bars),
+    "features_resumed": features_resumed,
     "features_15m": _features(event_bars),
     "features_short_chunks": _features(order_bars, core=SHORT_CHUNK, bucket_bars=300),
     # O-29, O-20 O-33, O-32, O-34, O-35
