@@ -1,18 +1,29 @@
-"""Row counts, missing cells and repeated keys, per series."""
+"""Row counts, missing cells and repeated keys, per series.
+
+Starts on the grid of a known granularity are told by the slots of time buckets: a
+bitmap has a bit for each of the 32,768 slots of a bucket, so what is shuffled is a row
+a bucket, not a row a key. More rows than bits in a bucket mean repeated keys; only the
+rows of such buckets are then grouped by key. Other starts are grouped by key at once.
+"""
 
 from __future__ import annotations
 
 import logging
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import floor_div_sql, grid_sql, period_sql
 from barloom.operators.chunks import BUCKET_BARS, PLACED
-from barloom.schema import CANDLE_COLUMNS, KEYS, SERIES
+from barloom.schema import CANDLE_COLUMNS, KEYS, PERIOD_SECONDS, SERIES
 
 log = logging.getLogger(__name__)
 
+#: Bits of a bitmap aggregate, fixed by Spark.
+SLOTS = 32_768
+
 
 def _series(df: DataFrame) -> list[str]:
     return [name for name in SERIES if name in df.columns]
@@ -39,37 +50,100 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def duplicate_keys(df: DataFrame) -> DataFrame:
     """How many distinct ``start`` values occur more than once; null is a value too."""
+    return _counted(df, []).drop("total")
+
+
+def quality_report(df: DataFrame, stage: str) -> DataFrame:
+    """Total, null cells and repeated keys of every series.
+
+    Without repeated keys the table is scanned once. Every aggregation
+    pre-aggregates before its shuffle, so a heavily repeated key costs no more than any other.
+    """
+    names = _checked(df)
+    nulls = [f"null_{name}" for name in names]
+    report = _counted(df, names).withColumn("stage", F.lit(stage))
+    return report.select(*_series(df), "stage", "total", *nulls, "duplicate_starts")
+
+
+def slotted(df: DataFrame) -> DataFrame:
+    """df with ``_bucket`` and ``_slot`` of starts on the grid, and ``_off``, the others; the rest is null.
+
+    A start is off the grid too if its granularity is unknown or its series is missing.
+    """
+    if not set(SERIES) <= set(df.columns):
+        return df.selectExpr("*", "cast(null as bigint) AS _bucket", "cast(null as bigint) AS _slot", "start AS _off")
+    known = ", ".join(f"'{name}'" for name in PERIOD_SECONDS)
+    period = grid_sql("granularity")
+    fits = f"product_id is not null and granularity in ({known}) and pmod(start, {period}) = 0"
+    wide = f"({period} * {SLOTS}L)"
+    return df.selectExpr(
+        "*",
+        f"if({fits}, {floor_div_sql('start', wide)}, null) AS _bucket",
+        f"if({fits}, pmod(start, {wide}) div {period}, null) AS _slot",
+        f"if({fits}, null, start) AS _off",
+    )
+
+
+def bucket_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """Rows, null cells and different starts of every bucket, or of every start off the grid."""
     return (
-        df.groupBy(*_series(df), "start")
+        slotted(df)
+        .groupBy(*_series(df), "_bucket", "_off")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.bitmap_construct_agg(F.col("_slot")).alias("_bits"),
+            *[missing(name) for name in names],
+        )
+        .withColumn("_starts", F.when(F.col("_bucket").isNull(), 1).otherwise(F.bitmap_count("_bits")))
+        .drop("_bits")
+    )
+
+
+def _counted(df: DataFrame, names: list[str]) -> DataFrame:
+    """Per series total, null cells of the columns, and how many starts occur more than once."""
+    keys = _series(df)
+    buckets = bucket_counts(df, names)
+    # Asks for every column and nothing of the keys, so that both uses read the same exchange.
+    every = " + ".join(["_starts", *[f"null_{name}" for name in names]])
+    full = buckets.filter(f"_n > _starts and {every} >= 0").select(*keys, "_bucket")
+    # Known before any key is shuffled: in a table without repeats none is.
+    some = full.agg(F.count(F.lit(1))).scalar() > 0
+    rows = slotted(df.select(*keys, "start")).filter(F.col("_bucket").isNotNull() & some)
+    same = reduce(and_, [rows[name].eqNullSafe(full[name]) for name in [*keys, "_bucket"]])
+    again = (
+        rows.join(full, same, "left_semi")
+        .groupBy(*keys, "start")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(*_series(df))
-        .agg(F.count_if(F.col("_n") > 1).alias("duplicate_starts"))
+        .groupBy(*keys)
+        .agg(F.count_if(F.col("_n") > 1).alias("_again"))
+    )
+    totals = buckets.groupBy(*keys).agg(
+        F.sum("_n").alias("total"),
+        *[F.sum(f"null_{name}").alias(f"null_{name}") for name in names],
+        F.count_if(F.col("_bucket").isNull() & (F.col("_n") > 1)).alias("_beside"),
     )
+    # Only series that are known have repeats on the grid, so a plain equality is enough.
+    joined = totals.join(again, keys, "left") if keys else totals.withColumn("_again", F.lit(0))
+    both = (F.col("_beside") + F.coalesce("_again", F.lit(0))).alias("duplicate_starts")
+    return joined.select(*keys, "total", *[f"null_{name}" for name in names], both)
 
 
-def quality_report(df: DataFrame, stage: str) -> DataFrame:
-    """Total, null cells and repeated keys of every series, from a single scan.
+def missing_bars(bars: DataFrame) -> DataFrame:
+    """Per series its first and last start, bars, and starts of the grid between them that have none.
 
-    The first aggregation is per key and pre-aggregates before its shuffle, so a
-    heavily repeated key costs no more than any other.
+    From bucket bitmaps alone; only starts on the grid count.
     """
-    keys, names = _series(df), _checked(df)
-    per_key = df.groupBy(*keys, "start").agg(
-        F.count(F.lit(1)).alias("_n"), *[missing(name) for name in names if name != "start"]
+    marked = slotted(bars).filter("_bucket is not null")
+    buckets = marked.groupBy(*SERIES, "_bucket").agg(
+        F.min("start").alias("_first"),
+        F.max("start").alias("_last"),
+        F.bitmap_count(F.bitmap_construct_agg(F.col("_slot"))).alias("_bars"),
     )
-    return per_key.groupBy(*keys).agg(
-        F.lit(stage).alias("stage"),
-        F.sum("_n").alias("total"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("start").isNull(), F.col("_n"))), F.lit(0)).alias(
-                "null_start"
-            )
-            if name == "start"
-            else F.sum(f"null_{name}").alias(f"null_{name}")
-            for name in names
-        ],
-        F.count_if(F.col("_n") > 1).alias("duplicate_starts"),
+    spans = buckets.groupBy(*SERIES).agg(
+        F.min("_first").alias("first_start"), F.max("_last").alias("last_start"), F.sum("_bars").alias("bars")
     )
+    grid = f"(last_start - first_start) div {period_sql('granularity')} + 1"
+    return spans.withColumn("missing_bars", F.expr(f"{grid} - bars"))
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions.calendar import initial_bars, period_seconds, period_sql
 from barloom.functions.clock import has_new_bars, last_closed
-from barloom.schema import BARS_PER_PAGE, PERIOD_SECONDS, PRODUCTS, SERIES
+from barloom.operators.quality import gaps
+from barloom.schema import BARS_PER_PAGE, KEYS, PERIOD_SECONDS, PRODUCTS, SERIES
 
 
 def with_granularities(
@@ -106,24 +107,71 @@ def backfill_plan(catalog: DataFrame, now: str | int) -> DataFrame:
     )
 
 
+def holes(catalog: DataFrame, history: DataFrame, now: str | int) -> DataFrame:
+    """What a series lacks of the span that a first load would have given it.
+
+    The span ends with the last boundary and has ``target_bars`` periods before it. Of the
+    stretches without stored bars, ``hole`` says which it is: ``all``, ``start``, ``inside`` or
+    ``end``; ``first_missing`` and ``last_missing`` are the first and last start that it lacks.
+    Stored bars before the span do not matter.
+    """
+    period = period_sql("granularity")
+    spans = (
+        catalog.filter("target_bars > 0")
+        .withColumn("cutoff", last_closed(now=now))
+        .selectExpr(*SERIES, f"cutoff - target_bars * {period} AS _from", "cutoff AS _to")
+    )
+    # Of the history only the spans' bars; the spans are a row a series.
+    kept = history.select(*KEYS).join(spans, list(SERIES)).filter("start between _from and _to")
+    stored = kept.groupBy(*SERIES).agg(F.min("start").alias("_first"), F.max("start").alias("_last"))
+    edges = spans.join(stored, list(SERIES), "left").selectExpr(
+        *SERIES,
+        "inline(array("
+        f"named_struct('hole', 'all', 'a', if(_first is null, _from, null), 'b', _to),"
+        f"named_struct('hole', 'start', 'a', if(_first > _from, _from, null), 'b', _first - {period}),"
+        f"named_struct('hole', 'end', 'a', if(_last + {period} <= _to, _last + {period}, null), 'b', _to)))",
+    )
+    inside = gaps(kept).selectExpr(*SERIES, "'inside' AS hole", "gap_start AS a", "gap_end AS b")
+    return (
+        edges.filter("a is not null and a <= b")
+        .unionByName(inside)
+        .selectExpr(*SERIES, "hole", "a AS first_missing", "b AS last_missing")
+    )
+
+
+def repair_plan(catalog: DataFrame, history: DataFrame, now: str | int) -> DataFrame:
+    """Page windows that fetch every hole of every series, newest first within a hole.
+
+    A page that failed leaves a hole, which later top-ups never ask for again; this does.
+    """
+    found = holes(catalog, history, now)
+    return _windows(found, "first_missing", "last_missing", "hole", "first_missing")
+
+
 def update_pages(plan: DataFrame) -> DataFrame:
     """Page windows of every ``fetch`` row of an update plan, newest first.
 
     A gap longer than a page needs several; the oldest begins with the request.
     """
-    width = f"{BARS_PER_PAGE}L * {period_sql('granularity')}"
     first, last = "cast(request_start as bigint)", "cast(request_end as bigint)"
-    pages = f"cast(ceil(({last} - {first}) / ({width})) as int)"
+    return _windows(plan.filter("status = 'fetch'"), first, last)
+
+
+def _windows(stretches: DataFrame, first: str, last: str, *names: str) -> DataFrame:
+    """Windows of a page's width back from the end of each stretch; a single start needs one."""
+    width = f"{BARS_PER_PAGE}L * {period_sql('granularity')}"
+    pages = f"greatest(1, cast(ceil(({last} - {first}) / ({width})) as int))"
     return (
-        plan.filter("status = 'fetch'")
-        .selectExpr(
+        stretches.selectExpr(
             *SERIES,
+            *names,
             f"{first} AS _first",
             f"{last} AS _last",
             f"explode(sequence(0, {pages} - 1)) AS request",
         )
         .selectExpr(
             *SERIES,
+            *names,
             "request",
             f"greatest(_first, _last - (request + 1) * {width}) AS request_start",
             f"_last - request * {width} AS request_end",

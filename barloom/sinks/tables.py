@@ -134,6 +134,45 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _digest(df: DataFrame) -> list:
+    """Rows, and the sum and the exclusive or of their hashes: the same in any order of rows and columns."""
+    row = F.xxhash64(*[F.col(f"`{name}`") for name in sorted(df.columns)])
+    total = F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+    return [F.count(F.lit(1)).alias("rows"), total.alias("total"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("mix")]
+
+
+def content_digest(df: DataFrame) -> dict:
+    """What two frames with the same rows have in common, whatever the order."""
+    return df.agg(*_digest(df)).first().asDict()
+
+
+def digested(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame, and its digest, filled in by the job that writes it."""
+    seen = Observation()
+    return df.observe(seen, *_digest(df)), seen
+
+
+def _found(spark: SparkSession, path: str, output_format: str, columns: list[str]) -> dict:
+    """The digest of what is stored; of a CSV file, whose cells have lost their types, the row count."""
+    stored = read_back(spark, path, output_format)
+    if checked_format(output_format) == "csv":
+        return {"rows": stored.count()}
+    return content_digest(stored.select(*[F.col(f"`{name}`") for name in columns]))
+
+
+def same_content(spark: SparkSession, source: str, target: str, output_format: str = "parquet") -> bool:
+    """Whether two stored datasets have the same rows (CSV: as many)."""
+    columns = read_back(spark, source, output_format).columns
+    try:
+        copy = read_back(spark, target, output_format)
+    except AnalysisException:
+        return False
+    if sorted(copy.columns) != sorted(columns):
+        return False
+    one, other = (_found(spark, path, output_format, columns) for path in (source, target))
+    return one == other
+
+
 def folder_columns(spark: SparkSession, path: str) -> list[str]:
     """Partition columns of a dataset, outermost first, from the path of one of its files."""
     row = spark.read.format("binaryFile").load(path).select("path").first()
@@ -152,38 +191,42 @@ def read_back(spark: SparkSession, path: str, output_format: str = "parquet") ->
 def save_verified(
     df: DataFrame, path: str, output_format: str = "parquet", partitioned: bool = False
 ) -> int:
-    """Save, then compare the stored row count with the rows that were written."""
-    frame, seen = counted(df)
+    """Save, then compare what is stored with the rows that were written, value by value but for CSV."""
+    whole = with_partition_columns(df) if partitioned else df
+    frame, seen = digested(whole)
     if partitioned:
         save_partitioned(frame, path, whole=True)
     else:
         save(frame, path, output_format)
-    written = seen.get["rows"]
-    stored = read_back(df.sparkSession, path, output_format).count()
-    if stored != written:
-        raise ValueError(f"{path}: wrote {written} rows, found {stored}")
-    return written
+    written = seen.get
+    stored = _found(df.sparkSession, path, output_format, whole.columns)
+    if stored["rows"] != written["rows"]:
+        raise ValueError(f"{path}: wrote {written['rows']} rows, found {stored['rows']}")
+    if any(stored[name] != written[name] for name in stored):
+        raise ValueError(f"{path}: the {written['rows']} rows found are not those that were written")
+    return written["rows"]
 
 
 def publish(spark: SparkSession, source: str, target: str, output_format: str = "parquet") -> bool:
     """Copy a dataset with its folders to another location (any file system Spark can write).
 
-    A failing copy raises. A target that is missing or short afterwards is
-    reported and answered with False.
+    A failing copy raises. A target that is missing, short or (Parquet) has other values
+    afterwards is reported and answered with False.
     """
     data = read_back(spark, source, output_format)
-    frame, seen = counted(data)
+    frame, seen = digested(data)
     folders = [name for name in folder_columns(spark, source) if name in data.columns]
     if folders:
         save_partitioned(frame, target, folders, whole=True)
     else:
         save(frame, target, output_format)
     try:
-        found = read_back(spark, target, output_format).count()
+        found = _found(spark, target, output_format, data.columns)
     except AnalysisException:
-        found = -1
-    if found != seen.get["rows"]:
-        log.warning("%s: %d rows were copied, %d found", target, seen.get["rows"], found)
+        found = {"rows": -1}
+    copied = seen.get
+    if any(found[name] != copied[name] for name in found):
+        log.warning("%s: %d rows were copied, %d found, or with other values", target, copied["rows"], found["rows"])
         return False
     return True
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.calendar import series_name
 from barloom.functions.cleaning import nan_to_null
@@ -82,6 +83,47 @@ def read_candle_files(
     )
 
 
+def csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The records of candle CSV with a cell that does not fit, as they stand in the files.
+
+    ``failed`` names the columns that the scan makes null for it; ``file``, ``record``, and the
+    series if folders tell it. A record with too few or too many cells has the column ``cells``
+    among them. An empty cell is missing, not unfit. One pass over the files.
+    """
+    corrupt = "_record"
+    schema = T.StructType([*CANDLE_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
+    options = {"header": True, "columnNameOfCorruptRecord": corrupt, "mode": "PERMISSIVE"}
+    bars = spark.read.schema(schema).options(**options).csv(path)
+    series = [F.col(name).cast("string").alias(name) for name in SERIES if name in bars.columns]
+    text = T.StructType([T.StructField(name, T.StringType()) for name in CANDLE_COLUMNS])
+    cells = F.from_csv(corrupt, text.simpleString()[len("struct<") : -1].replace(":", " "))
+    # The reader looks for unfit cells only in the columns that are asked for, so all are.
+    every = F.xxhash64(*CANDLE_COLUMNS) >= F.lit(-(1 << 63))
+    rows = bars.filter(F.col(corrupt).isNotNull() & every)
+    found = rows.select(
+        *series,
+        F.col("_metadata.file_path").alias("file"),
+        F.col(corrupt).alias("record"),
+        cells.alias("_cell"),
+        *[F.col(name).alias(f"_{name}") for name in CANDLE_COLUMNS],
+    )
+    unfit = [
+        F.when((F.col(f"_cell.{name}") != "") & F.col(f"_{name}").isNull(), F.lit(name))
+        for name in CANDLE_COLUMNS
+    ]
+    named = F.array_compact(F.array(*unfit))
+    failed = F.when(F.size(named) > 0, named).otherwise(F.array(F.lit("cells")))
+    kept = [name for name in SERIES if name in bars.columns]
+    return found.select(*kept, "file", "record", "_cell.start", failed.alias("failed"))
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """How many records failed in each column, per series if it is known."""
+    keys = [name for name in SERIES if name in rejects.columns]
+    each = rejects.select(*keys, F.explode("failed").alias("column"))
+    return each.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("records"))
+
+
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
     """``path`` and ``name`` of every file; contents are not read."""
     return (

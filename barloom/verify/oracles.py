@@ -281,6 +281,9 @@ STORED = f"""bars AS ({ALL_EVENT_BARS}),
   stored AS (SELECT product_id, granularity, max(start) AS last_start FROM bars
     WHERE granularity <> 'FOUR_HOUR'
       AND start <= {HISTORY_END} + length(product_id) * 200000 GROUP BY ALL)"""
+STORED_BARS = f"""bars AS ({ALL_EVENT_BARS}),
+  stored_bars AS (SELECT * FROM bars WHERE granularity <> 'FOUR_HOUR'
+    AND start <= {HISTORY_END} + length(product_id) * 200000)"""
 PLAN = f"""planned AS (SELECT product_id, granularity, period_s, last_start,
     {_last_closed("granularity", str(NOW))} AS cutoff FROM catalog
     LEFT JOIN stored USING (product_id, granularity)),
@@ -450,6 +453,11 @@ ORACLES: dict[str, str] = {
         {", ".join(f"CASE WHEN start >= newest THEN 2 ELSE 1 END * {c} AS {c}" for c in OHLCV.split(", "))}
         FROM bars JOIN newest USING (product_id) WHERE start <= {HISTORY_END} OR start >= {OVERLAP_START})
       {DATED} FROM topped""",
+    "missing_bars": f"""WITH bars AS ({ALL_EVENT_BARS}), spans AS (
+        SELECT product_id, granularity, min(start) AS first_start, max(start) AS last_start,
+          count(DISTINCT start) AS bars, any_value({_period()}) AS period FROM bars GROUP BY ALL)
+      SELECT product_id, granularity, first_start, last_start, bars,
+        (last_start - first_start) // period + 1 - bars AS missing_bars FROM spans""",
     "bar_gaps": f"""WITH bars AS ({ALL_EVENT_BARS}), stepped AS (
         SELECT product_id, granularity, start, {_period()} AS period,
           lag(start) OVER (PARTITION BY product_id, granularity ORDER BY start) AS before FROM bars)
@@ -494,6 +502,27 @@ ORACLES: dict[str, str] = {
       SELECT product_id, granularity, CAST(request AS INTEGER) AS request,
         cutoff - (request + 1) * 340 * period_s AS request_start,
         cutoff - request * 340 * period_s AS request_end FROM paged""",
+    "repair_plan": f"""WITH {CATALOG}, {STORED_BARS},
+      spans AS (SELECT product_id, granularity, period_s, cutoff AS till,
+          cutoff - least(target_bars, 1500) * period_s AS since
+        FROM (SELECT *, {_last_closed("granularity", str(NOW))} AS cutoff FROM catalog)),
+      kept AS (SELECT s.*, start FROM spans s JOIN stored_bars b
+          ON s.product_id = b.product_id AND s.granularity = b.granularity AND start BETWEEN since AND till
+        WHERE NOT (s.granularity = 'FIFTEEN_MINUTE' AND start BETWEEN {HISTORY_END} - 400000 AND {HISTORY_END} - 20000)),
+      stepped AS (SELECT *, lag(start) OVER (PARTITION BY product_id, granularity ORDER BY start) AS before FROM kept),
+      ends AS (SELECT s.product_id, s.granularity, s.period_s, s.since, s.till, min(start) AS first, max(start) AS last
+        FROM spans s LEFT JOIN kept k ON s.product_id = k.product_id AND s.granularity = k.granularity GROUP BY ALL),
+      holes AS (
+        SELECT product_id, granularity, period_s, 'all' AS hole, since AS a, till AS b FROM ends WHERE first IS NULL
+        UNION ALL SELECT product_id, granularity, period_s, 'start', since, first - period_s FROM ends WHERE first > since
+        UNION ALL SELECT product_id, granularity, period_s, 'end', last + period_s, till FROM ends WHERE last + period_s <= till
+        UNION ALL SELECT product_id, granularity, period_s, 'inside', before + period_s, start - period_s
+          FROM stepped WHERE start - before > period_s),
+      paged AS (SELECT *, unnest(range(greatest(1, CAST(ceil((b - a) / (340.0 * period_s)) AS BIGINT)))) AS request
+        FROM holes WHERE a <= b)
+      SELECT product_id, granularity, hole, a AS first_missing, CAST(request AS INTEGER) AS request,
+        greatest(a, b - (request + 1) * 340 * period_s) AS request_start, b - request * 340 * period_s AS request_end
+      FROM paged""",
     "series_catalog": f"WITH {CATALOG} SELECT * FROM catalog",
     "load_mode": f"""WITH {CATALOG}, {STORED} SELECT product_id, granularity, period_s,
       target_bars, CASE WHEN last_start IS NULL THEN 'initial' ELSE 'incremental' END AS load_mode
@@ -514,6 +543,11 @@ ORACLES: dict[str, str] = {
     + f" WHERE start <= {_last_closed('granularity', str(CUTOFF))}",
     "incremental_append": MERGED,
     "csv_scan": _csv_scan(),
+    "csv_rejects": f"""WITH bars AS ({ORDER_BARS})
+      SELECT product_id, granularity, start, 'high' AS failed FROM bars WHERE volume = 2""",
+    "csv_reject_counts": f"""WITH bars AS ({ORDER_BARS})
+      SELECT product_id, granularity, 'high' AS column, count(*) AS records FROM bars
+      WHERE volume = 2 GROUP BY 1, 2""",
     "csv_roundtrip": _dated(ORDER_BARS),
     "parquet_roundtrip": _plain(ORDER_BARS),
     "partitioned_roundtrip": f"""WITH bars AS ({ORDER_BARS}) SELECT product_id, granularity,

@@ -24,6 +24,7 @@ from barloom.plans.job import process, run_job
 from barloom.plans.resume import top_up_features
 from barloom.plans.updates import (
     backfill_plan,
+    repair_plan,
     load_mode,
     update_pages,
     update_plan,
@@ -39,7 +40,7 @@ from barloom.sinks.tables import (
     save_partitioned,
     save_verified,
 )
-from barloom.sources.candles import latest_files, read_candle_csv
+from barloom.sources.candles import csv_rejects, latest_files, read_candle_csv, reject_counts
 from barloom.sources.pages import page_bars, page_report, parse_pages, read_pages
 from barloom.streaming.ingest import start_ingest
 
@@ -275,6 +276,15 @@ def update_page_windows(spark, sf_dir):
     return update_pages(update_plans(spark, sf_dir))
 
 
+def repairs(spark, sf_dir):
+    """Holes at the start, inside and at the end of series, and series without any bar."""
+    catalog = _catalog(spark, sf_dir).withColumn("target_bars", F.expr("least(target_bars, 1500)"))
+    history = _some_history(spark, sf_dir).filter(
+        f"not (granularity = 'FIFTEEN_MINUTE' and start between {HISTORY_END} - 400000 and {HISTORY_END} - 20000)"
+    )
+    return repair_plan(catalog, history, NOW)
+
+
 def backfill_windows(spark, sf_dir):
     ends = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(
         F.col("event_type").alias("product_id")
@@ -342,7 +352,7 @@ def initial_loads(spark, sf_dir):
 # --- sinks, job, stream ------------------------------------------------------
 
 
-def csv_scan(spark, sf_dir):
+def _dirty_csv(spark, sf_dir):
     path = scratch(spark)
     dirty = candle_columns(with_display_date(order_bars(spark, sf_dir))).selectExpr(
         *SERIES,
@@ -355,7 +365,21 @@ def csv_scan(spark, sf_dir):
         "volume",
     )
     dirty.write.partitionBy(*SERIES).option("header", True).csv(path)
-    return read_candle_csv(spark, path)
+    return path
+
+
+def csv_scan(spark, sf_dir):
+    return read_candle_csv(spark, _dirty_csv(spark, sf_dir))
+
+
+def unfit_cells(spark, sf_dir):
+    return csv_rejects(spark, _dirty_csv(spark, sf_dir)).selectExpr(
+        *SERIES, "cast(start as bigint) AS start", "concat_ws(',', failed) AS failed"
+    )
+
+
+def unfit_counts(spark, sf_dir):
+    return reject_counts(csv_rejects(spark, _dirty_csv(spark, sf_dir)))
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -546,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "cut_off": cut_off,
     "cut_off_closed": cut_off_closed,
     "merge_replace_open": merge_replace_open,
+    "missing_bars": lambda s, d: quality.missing_bars(all_event_bars(s, d)),
     "bar_gaps": lambda s, d: quality.gaps(all_event_bars(s, d)),
     "ordered_bars": lambda s, d: merge.in_order(order_bars(s, d)),
     "last_bar": lambda s, d: merge.last_bar(all_event_bars(s, d)),
@@ -557,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "update_plan": update_plans,
     "update_pages": update_page_windows,
     "backfill_plan": backfill_windows,
+    "repair_plan": repairs,
     "series_catalog": _catalog,
     "load_mode": load_modes,
     # O-03, O-58, O-59
@@ -568,6 +594,8 @@ QUERIES: dict[str, Query] = {
     "incremental_append": incremental_append,
     # O-01 O-02, O-06, O-04 O-10, O-05, O-09, O-08, O-57
     "csv_scan": csv_scan,
+    "csv_rejects": unfit_cells,
+    "csv_reject_counts": unfit_counts,
     "csv_roundtrip": csv_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
