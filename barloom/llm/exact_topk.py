@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from barloom.llm.vectors import NONE, best, packs, search, usable
+from barloom.llm.vectors import best, lowest, packs, search, usable
 
 SCALE = 1024
 #: Rows of a shard and of a pack of queries; a tile is at most their product.
@@ -16,35 +15,32 @@ EXACT = float(1 << 53)
 
 
 def to_steps(mat: np.ndarray) -> np.ndarray:
-    return np.floor(SCALE * mat)
+    most = np.finfo(np.float64).max
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(SCALE * mat), -most, most)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers; beyond a long they end at its limits."""
-    if np.abs(a).max() * np.abs(b).max() * a.shape[1] < EXACT:
-        return a @ b.T
+    """Exact inner products of rows of whole numbers, as longs; beyond a long they end at its limits."""
+    with np.errstate(over="ignore"):
+        small = np.abs(a).max() * np.abs(b).max() * a.shape[1] < EXACT
+    if small:
+        return (a @ b.T).astype(np.int64)
     whole = np.vectorize(int, otypes=[object])
     full = whole(a) @ whole(b).T
     limit = (1 << 63) - 1
-    return np.vectorize(lambda x: min(max(x, -limit - 1), limit), otypes=[object])(full)
+    return np.vectorize(lambda x: min(max(x, -limit - 1), limit), otypes=[object])(full).astype(np.int64)
 
 
 def tile(k: int):
     def meet(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, mat: np.ndarray):
         scores = products(q, mat)
         own = q_ids[:, None] == ids[None, :]
-        if scores.dtype == object:
-            ranked = sorted((r, -s, i, s) for (r, c), s in np.ndenumerate(scores) if not own[r, c] for i in [ids[c]])
-            out, out_ids, at = np.full((len(q_ids), k), -np.inf), np.full((len(q_ids), k), NONE), [0] * len(q_ids)
-            for r, _, i, s in ranked:
-                if at[r] < k:
-                    out_ids[r, at[r]], out[r, at[r]], at[r] = i, float(s), at[r] + 1
-            return out_ids, out
-        scores[own] = -np.inf
+        scores[own] = lowest(scores.dtype)
         if scores.shape[1] > k:
             least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
         else:
-            least = np.full((len(scores), 1), -np.inf)
+            least = np.full((len(scores), 1), lowest(scores.dtype))
         rows, columns = np.nonzero((scores >= least) & ~own)
         return best(rows, ids[columns], scores[rows, columns], len(q_ids), k)
 
@@ -59,11 +55,11 @@ def top_k(rows: DataFrame, chosen, k: int = 10) -> DataFrame:
     query's own vec_id; ties go to the smaller vec_id. Rows without an id, with a
     null or empty vector or with a null or non-finite component take no part, and
     only vectors of equal length meet. A query id that repeats gets its list for
-    each of its rows; candidate ids that repeat keep all their rows. Scores are
-    exact to 2^53 and close to it beyond.
+    each of its rows; candidate ids that repeat keep all their rows. Scores are exact
+    longs; one beyond a long counts as its limit, and a component whose 1024-fold is beyond
+    a double as the largest double.
     """
     good = usable(rows, nonzero=False)
     shards, n = packs(good, SHARD, to_steps)
     queries, _ = packs(good.where(chosen), QUERIES, to_steps)
-    found = search(queries, shards, n, k, tile(k))
-    return found.withColumn("score", F.col("score").cast("long"))
+    return search(queries, shards, n, k, tile(k), np.int64)

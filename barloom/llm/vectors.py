@@ -65,23 +65,33 @@ def matrix(ids: bytes, mat: bytes) -> tuple[np.ndarray, np.ndarray]:
     return own, np.frombuffer(mat, np.float64).reshape(len(own), -1)
 
 
+def lowest(kind) -> float | int:
+    """The score of an empty place, for scores that are doubles or longs."""
+    return np.iinfo(np.int64).min if np.dtype(kind) == np.int64 else -np.inf
+
+
+def _falling(scores: np.ndarray) -> np.ndarray:
+    """Numbers that grow as the scores fall; exact for every long."""
+    return ~scores if scores.dtype == np.int64 else -scores
+
+
 def best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Of entries (row, id, score) the best k of each row: highest score, then smallest id."""
-    order = np.lexsort((ids, -scores, rows))
+    order = np.lexsort((ids, _falling(scores), rows))
     rows, ids, scores = rows[order], ids[order], scores[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
     fits = place < k
-    out_ids, out = np.full((n, k), NONE), np.full((n, k), -np.inf)
+    out_ids, out = np.full((n, k), NONE), np.full((n, k), lowest(scores.dtype))
     out_ids[rows[fits], place[fits]] = ids[fits]
     out[rows[fits], place[fits]] = scores[fits]
     return out_ids, out
 
 
-def search(queries: DataFrame, table: DataFrame, n: int, k: int, meet: Callable) -> DataFrame:
+def search(queries: DataFrame, table: DataFrame, n: int, k: int, meet: Callable, kind=np.float64) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's best k over all packs.
 
-    meet(query ids, queries, ids, matrix) returns ids and scores, k to a row, empty
-    places with the id NONE.
+    meet(query ids, queries, ids, matrix) returns ids and scores of the kind, k to a row,
+    empty places with the id NONE.
     """
     q = queries.select(F.col("pack").alias("q"), "dim", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"))
     lanes = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -97,7 +107,7 @@ def search(queries: DataFrame, table: DataFrame, n: int, k: int, meet: Callable)
                 yield _list(row["q"], row["dim"], row["pack"], q_ids, ids, scores)
 
     lists = pairs.select("q", "dim", "pack", "q_ids", "q_mat", "ids", "mat").mapInArrow(met, LIST)
-    return _rows(_merged(lists, n, k))
+    return _rows(_merged(lists, n, k, kind), kind)
 
 
 def _list(q: int, dim: int, node: int, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
@@ -107,13 +117,13 @@ def _list(q: int, dim: int, node: int, queries: np.ndarray, ids: np.ndarray, sco
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
-def _merged(lists: DataFrame, n: int, k: int) -> DataFrame:
+def _merged(lists: DataFrame, n: int, k: int, kind) -> DataFrame:
     def merge(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         queries = np.frombuffer(rows[0]["queries"], np.int64)
         ids = np.concatenate([np.frombuffer(r["ids"], np.int64).reshape(len(queries), k) for r in rows], axis=1)
-        scores = np.concatenate([np.frombuffer(r["scores"]).reshape(len(queries), k) for r in rows], axis=1)
-        order = np.lexsort((ids, -scores), axis=1)[:, :k]
+        scores = np.concatenate([np.frombuffer(r["scores"], kind).reshape(len(queries), k) for r in rows], axis=1)
+        order = np.lexsort((ids, _falling(scores)), axis=1)[:, :k]
         pick = [np.ascontiguousarray(np.take_along_axis(x, order, axis=1)) for x in (ids, scores)]
         return pa.Table.from_batches([_list(rows[0]["q"], rows[0]["dim"], rows[0]["node"] // FAN, queries, *pick)])
 
@@ -124,15 +134,16 @@ def _merged(lists: DataFrame, n: int, k: int) -> DataFrame:
     return lists
 
 
-def _rows(lists: DataFrame) -> DataFrame:
+def _rows(lists: DataFrame, kind) -> DataFrame:
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 queries, ids = np.frombuffer(row["queries"], np.int64), np.frombuffer(row["ids"], np.int64)
                 ids = ids.reshape(len(queries), -1)
                 at, rank = np.nonzero(ids != NONE)
-                scores = np.frombuffer(row["scores"]).reshape(ids.shape)
+                scores = np.frombuffer(row["scores"], kind).reshape(ids.shape)
                 columns = [queries[at], (rank + 1).astype(np.int32), ids[at, rank], scores[at, rank]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "rank", "vec_id", "score"])
 
-    return lists.mapInArrow(unpacked, "query_id long, rank int, vec_id long, score double")
+    told = "long" if np.dtype(kind) == np.int64 else "double"
+    return lists.mapInArrow(unpacked, f"query_id long, rank int, vec_id long, score {told}")

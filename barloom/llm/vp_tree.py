@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from barloom.llm.vectors import best, packs, search, usable
+from barloom.llm.vectors import NONE, best, packs, search, usable
 
 SHARD, QUERIES = 8192, 1024
 LEAF = 128
@@ -49,8 +49,10 @@ def build(points: np.ndarray, members: np.ndarray, draw: np.random.Generator) ->
 class Search:
     """A block of queries in one tree; keeps the best `k` vectors of each query."""
 
-    def __init__(self, queries: np.ndarray, vectors: np.ndarray, k: int, factor: float):
+    def __init__(self, queries: np.ndarray, vectors: np.ndarray, k: int, factor: float, first: np.ndarray | None = None):
         self.q, self.x, self.factor = queries, vectors, factor
+        #: The smallest id of each vector, which decides between equal scores; the last stands for no vector.
+        self.first = np.append(np.arange(len(vectors)) if first is None else first, NONE)
         norms = (vectors**2).sum(axis=1)
         self.most = norms.max()
         self.points = np.column_stack([vectors, np.sqrt(np.maximum(self.most - norms, 0))])
@@ -70,6 +72,13 @@ class Search:
         scores = np.concatenate([self.scores[qs], self.q[qs] @ self.x[members].T], axis=1)
         at = np.concatenate([self.at[qs], np.broadcast_to(members, (len(qs), len(members)))], axis=1)
         keep = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]  # the smallest of the kept comes first
+        kept = np.take_along_axis(scores, keep, axis=1)
+        # Where more are equal to the least kept than there is room for, the smallest ids stay.
+        edge = kept[:, :1]
+        crowd = np.flatnonzero(((scores == edge).sum(axis=1) > (kept == edge).sum(axis=1)) & np.isfinite(edge[:, 0]))
+        if len(crowd):
+            order = np.lexsort((self.first[at[crowd]], -scores[crowd]), axis=1)
+            keep[crowd] = order[:, :k][:, ::-1]
         self.scores[qs] = np.take_along_axis(scores, keep, axis=1)
         self.at[qs] = np.take_along_axis(at, keep, axis=1)
 
@@ -95,7 +104,7 @@ def meeting(k: int, factor: float):
         which = which.reshape(-1)
         order = np.lexsort((ids, which))
         starts = np.searchsorted(which[order], np.arange(len(vectors) + 1))
-        done = Search(q, vectors, min(k + 1, len(vectors)), factor)
+        done = Search(q, vectors, min(k + 1, len(vectors)), factor, ids[order[starts[:-1]]])
         # One of the k + 1 may be the query itself; of its copies k + 1 are enough.
         rows, columns = np.nonzero(done.at >= 0)
         points = done.at[rows, columns]

@@ -339,3 +339,36 @@ def test_components_of_paths_and_hubs(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.root for r in got} == {k: v for k, v in group.items() if k in linked}
     assert len(got) == len(linked)
+
+
+def test_crowds_of_tied_neighbours_go_by_the_smallest_ids(spark, monkeypatch):
+    monkeypatch.setattr(vp_tree, "SHARD", 300)
+    draw = np.random.default_rng(3)
+    vectors = draw.choice([-1.0, 1.0], (1024, 12))
+    ids = draw.permutation(1024)
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    got = vp_tree.nearest(table, F.col("vec_id") % 50 == 0, k=20, factor=1.0).collect()
+    by_id = dict(zip(ids.tolist(), vectors))
+    for q in range(0, 1024, 50):
+        want = sorted((-float(by_id[q] @ v), i) for i, v in by_id.items() if i != q)[:20]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(i, -s) for s, i in want]
+
+
+def test_top_k_is_exact_beyond_doubles(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "SHARD", 20)
+    draw = random.Random(5)
+    vectors = [[draw.choice([1e9, -1e9, 0.5, 2.0**40 + 0.25, 1 / 1024]) + draw.randrange(1000) / 1024 for _ in range(3)] for _ in range(90)]
+    vectors += [[1e306, 0.0, 1.0], [-1e306, 0.0, 1.0], [1.7e308, 1.7e308, 1.7e308], [0.0, 0.0, 0.0]]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    most, limit = int(np.finfo(float).max), (1 << 63) - 1
+    whole = [[max(-most, min(most, int(np.floor(x * 1024)) if abs(x) < 1e305 else int(np.sign(x)) * most)) for x in v] for v in vectors]
+    got = exact_topk.top_k(table, F.col("vec_id") % 10 == 0, k=10).collect()
+    assert dict(exact_topk.top_k(table, F.lit(True)).dtypes)["score"] == "bigint"
+    seen = 0
+    for q in range(0, len(vectors), 10):
+        scores = [max(-limit - 1, min(limit, sum(a * b for a, b in zip(whole[q], v)))) for v in whole]
+        want = sorted((-s, i) for i, s in enumerate(scores) if i != q)[:10]
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [(r.vec_id, r.score) for r in own] == [(i, -s) for s, i in want]
+        seen += sum(abs(r.score) > 1 << 53 for r in own)
+    assert seen > 20
