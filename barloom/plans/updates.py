@@ -11,6 +11,7 @@ from barloom.functions.calendar import initial_bars, period_seconds, period_sql
 from barloom.functions.clock import has_new_bars, last_closed
 from barloom.operators.quality import gaps
 from barloom.schema import BARS_PER_PAGE, KEYS, PERIOD_SECONDS, PRODUCTS, SERIES
+from barloom.sinks.tables import newest_starts, stored_folders
 
 
 def with_granularities(
@@ -44,11 +45,22 @@ def stored_until(history: DataFrame) -> DataFrame:
 
 def load_mode(catalog: DataFrame, history: DataFrame | None) -> DataFrame:
     """``incremental`` for series with stored bars, else ``initial``."""
-    if history is None:
+    return _mode(catalog, None if history is None else stored_until(history).drop("last_start"))
+
+
+def stored_load_mode(catalog: DataFrame, table_path: str) -> DataFrame:
+    """``load_mode`` by the folders of a stored table; no bar is read."""
+    folders = stored_folders(catalog.sparkSession, table_path)
+    return _mode(catalog, None if folders is None else folders.select(*SERIES).distinct())
+
+
+def _mode(catalog: DataFrame, stored: DataFrame | None) -> DataFrame:
+    if stored is None:
         return catalog.withColumn("load_mode", F.lit("initial"))
-    return catalog.join(stored_until(history), list(SERIES), "left").select(
+    known = stored.withColumn("_stored", F.lit(True))
+    return catalog.join(known, list(SERIES), "left").select(
         *catalog.columns,
-        F.expr("if(last_start is null, 'initial', 'incremental') AS load_mode"),
+        F.expr("if(_stored is null, 'initial', 'incremental') AS load_mode"),
     )
 
 
@@ -59,9 +71,21 @@ def update_plan(catalog: DataFrame, history: DataFrame, now: str | int) -> DataF
     the request runs from the bar after the last stored one to the last boundary.
     ``now`` is epoch seconds, or the name of a catalog column.
     """
+    return _plan(catalog, stored_until(history), now)
+
+
+def stored_update_plan(catalog: DataFrame, table_path: str, now: str | int) -> DataFrame:
+    """``update_plan`` of a stored table, which reads the newest year of each series alone."""
+    until = newest_starts(catalog.sparkSession, table_path)
+    if until is None:
+        until = catalog.select(*SERIES, F.lit(None).cast("long").alias("last_start")).limit(0)
+    return _plan(catalog, until, now)
+
+
+def _plan(catalog: DataFrame, until: DataFrame, now: str | int) -> DataFrame:
     request = "if(status = 'fetch', cast({} as string), null)"
     return (
-        catalog.join(stored_until(history), list(SERIES), "left")
+        catalog.join(until, list(SERIES), "left")
         .withColumn("cutoff", last_closed(now=now))
         .withColumn(
             "status",

@@ -106,6 +106,43 @@ def candle_table(
     return table.select(*TABLE_SCHEMA.names)
 
 
+def stored_folders(spark: SparkSession, path: str) -> DataFrame | None:
+    """(series, year, folder) of every folder of a table with the default layout; None while there is no table.
+
+    From the listing of its files: none is opened. Folder names are read as text.
+    """
+    try:
+        files = spark.read.format("binaryFile").load(path).select("path")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    # Folders have %XX for what a path cannot hold; a plus sign stands for itself.
+    name = "url_decode(replace(regexp_extract(path, '/{0}=([^/]*)/', 1), '+', '%2B')) AS {0}"
+    year = "try_cast(regexp_extract(path, '/year=([^/]*)/', 1) as int) AS year"
+    folder = "regexp_extract(path, '^(.*/year=[^/]*)/', 1) AS folder"
+    return files.selectExpr(*[name.format(column) for column in SERIES], year, folder).distinct()
+
+
+def newest_starts(spark: SparkSession, path: str) -> DataFrame | None:
+    """Last bar start of every stored series, from the folders of its newest year alone.
+
+    As ``start`` decides the year, the last bar lies there. The driver gets a path per series, of
+    the folders that its file index lists anyway, and only these are read. A table that is not laid out
+    by series and year is read as a whole.
+    """
+    folders = stored_folders(spark, path)
+    if folders is None:
+        return None
+    table = spark.read.schema(TABLE_SCHEMA).parquet(path)
+    if not set(PARTITIONS) <= set(table.columns):
+        return table.groupBy(*SERIES).agg(F.max("start").alias("last_start"))
+    newest = folders.filter("year is not null").groupBy(*SERIES).agg(F.max_by("folder", "year").alias("folder"))
+    paths = [row["folder"] for row in newest.select("folder").collect()]
+    table = spark.read.schema(TABLE_SCHEMA).option("basePath", path).parquet(*paths) if paths else table.limit(0)
+    return table.groupBy(*SERIES).agg(F.max("start").alias("last_start"))
+
+
 def _utc_year(epoch: int) -> int:
     return (datetime(1970, 1, 1) + timedelta(seconds=epoch)).year
 

@@ -572,3 +572,4 @@ ORACLES: dict[str, str] = {
         WALK,
     ),
 }
+ORACLES |= {f"stored_{name}": ORACLES[name] for name in ("update_plan", "load_mode")}

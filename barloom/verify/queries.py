@@ -25,6 +25,8 @@ from barloom.plans.resume import top_up_features
 from barloom.plans.updates import (
     backfill_plan,
     repair_plan,
+    stored_load_mode,
+    stored_update_plan,
     load_mode,
     update_pages,
     update_plan,
@@ -292,6 +294,23 @@ def backfill_windows(spark, sf_dir):
     return backfill_plan(with_granularities(ends).join(ends, "product_id"), "now")
 
 
+def _stored_history(spark, sf_dir):
+    """The bars of some series as a stored table that begins a year before the sample."""
+    path = scratch(spark)
+    recent = with_display_date(_some_history(spark, sf_dir))
+    older = with_display_date(_some_history(spark, sf_dir).withColumn("start", F.col("start") - 365 * 86400))
+    save_partitioned(recent.unionByName(older), path)
+    return path
+
+
+def stored_update_plans(spark, sf_dir):
+    return stored_update_plan(_catalog(spark, sf_dir), _stored_history(spark, sf_dir), NOW)
+
+
+def stored_load_modes(spark, sf_dir):
+    return stored_load_mode(_catalog(spark, sf_dir), _stored_history(spark, sf_dir))
+
+
 def load_modes(spark, sf_dir):
     return load_mode(_catalog(spark, sf_dir), _some_history(spark, sf_dir))
 
@@ -585,6 +604,8 @@ QUERIES: dict[str, Query] = {
     "repair_plan": repairs,
     "series_catalog": _catalog,
     "load_mode": load_modes,
+    "stored_update_plan": stored_update_plans,
+    "stored_load_mode": stored_load_modes,
     # O-03, O-58, O-59
     "pages_ingest": pages_ingest,
     "page_files": page_files,

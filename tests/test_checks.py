@@ -8,7 +8,8 @@ from helpers import BAR, noise, rows
 from pyspark.sql import functions as F
 
 from barloom.operators import quality
-from barloom.plans.updates import holes, repair_plan
+from barloom.functions.cleaning import with_display_date
+from barloom.plans.updates import holes, load_mode, repair_plan, stored_load_mode, stored_update_plan, update_plan
 from barloom.schema import PERIOD_SECONDS
 from barloom.sinks import tables
 from barloom.sources.candles import csv_rejects, read_candle_csv, reject_counts
@@ -154,3 +155,38 @@ def test_rejects_of_a_csv_scan(spark, tmp_path):
     assert read_candle_csv(spark, str(folder)).count() == 7
     single = csv_rejects(spark, str(folder / "product_id=A" / "granularity=ONE_DAY" / "part.csv"))
     assert single.count() == 4 and "product_id" not in single.columns
+
+
+def test_plans_of_a_stored_table_read_no_older_year(spark, tmp_path):
+    day, names = 86_400, ["007", "A+B", "x y%z", "late"]
+    made = [
+        (p, "ONE_DAY", day * (19_000 + 40 * i - (700 if p == "late" else 0)), 1.0, 1.0, 1.0, 1.0, 1.0)
+        for p in names
+        for i in range(30)
+    ]
+    bars = with_display_date(spark.createDataFrame(made, BAR))
+    path, now = str(tmp_path / "table"), day * 20_400
+    catalog = catalog_of(spark, [(p, "ONE_DAY", 100) for p in [*names, "new"]])
+    assert {r.load_mode for r in stored_load_mode(catalog, path).collect()} == {"initial"}
+    assert {r.status for r in stored_update_plan(catalog, path, now).collect()} == {"no_history"}
+    tables.save_partitioned(bars, path)
+    assert sorted(stored_load_mode(catalog, path).collect()) == sorted(load_mode(catalog, bars).collect())
+    found = stored_update_plan(catalog, path, now)
+    assert sorted(map(str, found.collect())) == sorted(map(str, update_plan(catalog, bars, now).collect()))
+    assert len(found.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+    folders = tables.stored_folders(spark, path)
+    assert sorted({r.product_id for r in folders.collect()}) == sorted(names)
+    # What lies in older years is not looked at: broken files there go unnoticed.
+    newest = {(r.product_id, r.year) for r in folders.groupBy("product_id").agg(F.max("year").alias("year")).collect()}
+    for file in (tmp_path / "table").rglob("year=*/*.parquet"):
+        product = file.parts[-4].split("=")[1].replace("%25", "%")
+        if (product, int(file.parts[-2].split("=")[1])) not in newest:
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+            file.write_bytes(b"broken")
+    again = stored_update_plan(catalog, path, now)
+    assert sorted(map(str, again.collect())) == sorted(map(str, update_plan(catalog, bars, now).collect()))
+    flat = str(tmp_path / "flat")
+    bars.write.parquet(flat)
+    assert {r.last_start for r in tables.newest_starts(spark, flat).collect()} == {
+        r[0] for r in bars.groupBy("product_id").agg(F.max("start")).select("max(start)").collect()
+    }
