@@ -69,14 +69,17 @@ def _grams(text: str) -> Iterator[np.ndarray]:
         yield (mixed ^ (mixed >> np.uint32(15))) & np.uint32(TABLE - 1)
 
 
-def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model:
+def train(docs: DataFrame, held_out: Column, per_language: int = 1_000, most: int = 256) -> Model:
     """Learns from about `per_language` documents of each lang that are not held out.
 
     The bound holds in expectation: rows are drawn by a hash of their doc_id, at
-    the same rate for a whole language. A language with fewer rows gives all.
+    the same rate for a whole language. A language with fewer rows gives all. At most
+    `most` languages are learned, those with the most rows (of equals the first by name), so
+    that a column of dirty names makes neither the model nor the plan grow.
     """
     rows = docs.where(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most)
+    sizes = {r["lang"]: r["count"] for r in counts.collect()}
     names = sorted(sizes)
     if not names:
         return Model([], np.ones((0, 1)), np.zeros((TABLE, 1)), np.ones(1), np.ones(1))
@@ -100,8 +103,9 @@ def train(docs: DataFrame, held_out: Column, per_language: int = 1_000) -> Model
 
     tallies = picked.mapInArrow(counted, "lang string, gram int, n double").groupBy("lang", "gram")
     share = np.full((len(names), TABLE), 1e-7)
+    place = {name: i for i, name in enumerate(names)}
     for row in tallies.agg(F.sum("n").alias("n")).collect():
-        share[names.index(row["lang"]), row["gram"]] += row["n"]
+        share[place[row["lang"]], row["gram"]] += row["n"]
     share /= share.sum(axis=1, keepdims=True)
     codes = codewords(len(names))
     weights = np.stack(

@@ -311,3 +311,22 @@ def test_suffix_statistics_cover_all_urls(spark):
     fresh = spark.createDataFrame([(f"https://new.site{k}.org/b", k) for k in range(300)], "url string, k int")
     got = {r.k: r.verdict for r in url_filter.judge(fresh, model, []).collect()}
     assert got == {k: "block" if k < 30 else "allow" for k in range(300)}
+
+
+def test_languages_are_the_most_frequent_ones_and_decoding_is_the_plain_sum(spark):
+    words = {"aa": "alpha beta gamma", "bb": "uno dos tres", "cc": "wir sind hier", "dd": "seldom seen"}
+    rows = [(i, words[k], k, "s", 1) for i, k in enumerate(["aa"] * 9 + ["bb"] * 7 + ["cc"] * 7 + ["dd"])]
+    rows += [(900 + i, "noise of names", f"x{i}", "s", 1) for i in range(40)]
+    model = language.train(spark.createDataFrame(rows, TEXT), F.lit(False), most=3)
+    assert model.names == ["aa", "bb", "cc"]
+    for text in (*words.values(), "alpha uno", "Hier sind TRES", "q"):
+        grams = [int(g) for part in language._grams(text) for g in part]
+        sums = [sum(float(model.weights[g][b]) for g in grams) / len(grams) for b in range(model.codes.shape[1])]
+        losses = []
+        for code in model.codes:
+            margins = [c * s / scale for c, s, scale in zip(code, sums, model.scale)]
+            losses.append(sum(t * np.log1p(np.exp(-4 * m)) for t, m in zip(model.trust, margins)))
+        chances = [np.exp(-4 * (x - min(losses))) for x in losses]
+        best = max(range(3), key=lambda i: chances[i])
+        name, score, _ = language.judge(text, model)
+        assert name == model.names[best] and abs(score - chances[best] / sum(chances)) < 1e-6
