@@ -33,7 +33,8 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def tile(k: int):
-    def meet(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, mat: np.ndarray):
+    def meet(q_ids: np.ndarray, q: np.ndarray, shard: tuple[np.ndarray, np.ndarray]):
+        ids, mat = shard
         scores = products(q, mat)
         own = q_ids[:, None] == ids[None, :]
         scores[own] = lowest(scores.dtype)
@@ -60,6 +61,6 @@ def top_k(rows: DataFrame, chosen, k: int = 10) -> DataFrame:
     a double as the largest double.
     """
     good = usable(rows, nonzero=False)
-    shards, n = packs(good, SHARD, to_steps)
-    queries, _ = packs(good.where(chosen), QUERIES, to_steps)
-    return search(queries, shards, n, k, tile(k), np.int64)
+    shards = packs(good, SHARD, to_steps)
+    queries = packs(good.where(chosen), QUERIES, to_steps)
+    return search(queries, shards, k, lambda ids, mat: (ids, mat), tile(k), np.int64)

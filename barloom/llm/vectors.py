@@ -1,13 +1,16 @@
 """Vectors in packs: a pack is a matrix with its ids, one row of a table.
 
-A query set is searched pack by pack: every query pack meets every pack of the
-table once, each meeting keeps the best k of each query, and the lists are merged
-in a tree of bounded fan-in.
+Packs of the table are dealt to lanes, and the packs of queries to sections. A task
+holds one lane, indexed once, and a section of the queries streams by it pack by pack.
+So the table crosses the network once for each section and the queries once for each
+lane, not once for each pack of the other side. A task keeps the best k of each
+query, and the lists of the lanes are merged in a tree of bounded fan-in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +23,20 @@ from barloom.llm.common import settled
 PACK = "pack int, dim int, ids binary, mat binary"
 LIST = "q int, dim int, node int, queries binary, ids binary, scores binary"
 FAN = 8
+#: Bytes of vectors that a task holds (its indexes are a few times that), and of queries that go by it.
+HELD, ASKED = 32 << 20, 256 << 20
 #: The id of an empty place in a list.
 NONE = np.iinfo(np.int64).max
 
 
+class Packs(NamedTuple):
+    frame: DataFrame
+    #: How many packs there are of each length of vectors, at most.
+    n: int
+    #: Bytes of all vectors.
+    size: int
+
+
 def usable(rows: DataFrame, nonzero: bool) -> DataFrame:
     """Rows (vec_id, embedding) with an id and a vector of finite numbers (not all zero, if asked)."""
     v = F.col("embedding")
@@ -33,12 +46,10 @@ def usable(rows: DataFrame, nonzero: bool) -> DataFrame:
     return rows.where(good).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"))
 
 
-def packs(rows: DataFrame, size: int, prepare: Callable[[np.ndarray], np.ndarray] = lambda x: x) -> tuple[DataFrame, int]:
-    """Packs of about `size` rows each, dealt evenly, and the number of packs.
-
-    Vectors of different lengths go to packs of their own.
-    """
-    n = max(1, -(-rows.count() // size))
+def packs(rows: DataFrame, size: int, prepare: Callable[[np.ndarray], np.ndarray] = lambda x: x) -> Packs:
+    """Packs of about `size` rows each, dealt evenly. Vectors of different lengths go to packs of their own."""
+    total, numbers = rows.agg(F.count(F.lit(1)), F.sum(F.size("embedding"))).first()
+    n = max(1, -(-total // size))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -57,7 +68,7 @@ def packs(rows: DataFrame, size: int, prepare: Callable[[np.ndarray], np.ndarray
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["pack", "dim", "ids", "mat"])
 
-    return settled(rows.repartition(n).mapInArrow(packed, PACK)), n
+    return Packs(settled(rows.repartition(n).mapInArrow(packed, PACK)), n, 8 * (numbers or 0))
 
 
 def matrix(ids: bytes, mat: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -87,27 +98,57 @@ def best(rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int)
     return out_ids, out
 
 
-def search(queries: DataFrame, table: DataFrame, n: int, k: int, meet: Callable, kind=np.float64) -> DataFrame:
+def search(queries: Packs, table: Packs, k: int, index: Callable, meet: Callable, kind=np.float64) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's best k over all packs.
 
-    meet(query ids, queries, ids, matrix) returns ids and scores of the kind, k to a row,
-    empty places with the id NONE.
+    index(ids, matrix) is made once of each pack that a task holds; meet(query ids, queries,
+    index) returns ids and scores of the kind, k to a row, empty places with the id NONE.
     """
-    q = queries.select(F.col("pack").alias("q"), "dim", F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"))
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    named = [r["q"] for r in q.select("q").distinct().collect()]  # a number for each pack of queries
-    each = F.explode(F.array(*[F.lit(x) for x in named]).cast("array<int>"))
-    pairs = q.withColumn("pack", lanes).join(table.withColumn("q", each), ["q", "pack", "dim"])
+    lanes = min(table.n, max(-(-table.size // HELD), table.frame.sparkSession.sparkContext.defaultParallelism))
+    sections = min(queries.n, max(1, -(-queries.size // ASKED)))
+    cells = laid_out(queries.frame, table.frame, lanes, sections)
+    return _rows(_merged(cells.mapInArrow(meetings(k, sections, index, meet), LIST), lanes, k, kind), kind)
+
+
+def laid_out(queries: DataFrame, table: DataFrame, lanes: int, sections: int) -> DataFrame:
+    """One partition for each lane and section: the packs of the lane, then those of the section's queries."""
+    lane = F.expr(f"explode(sequence(0, {lanes - 1}))").alias("lane")
+    section = F.expr(f"explode(sequence(0, {sections - 1}))").alias("section")
+    own, asked = (F.col("pack") % lanes).alias("lane"), (F.col("pack") % sections).alias("section")
+    vectors = ["dim", "ids", "mat"]
+    held = table.select(own, section, F.lit(None).cast("int").alias("q"), *vectors)
+    rows = held.unionAll(queries.select(lane, asked, F.col("pack").alias("q"), *vectors))
+    cell = (F.col("lane") * sections + F.col("section")).alias("cell")
+    parted = rows.select(cell, "q", *vectors).repartitionById(lanes * sections, F.col("cell"))
+    return parted.sortWithinPartitions("cell", F.asc_nulls_first("q"))
+
+
+def meetings(k: int, sections: int, index: Callable, meet: Callable) -> Callable:
+    """The work of a task on its rows of laid_out()."""
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, q_mat = matrix(row["q_ids"], row["q_mat"])
-                ids, scores = meet(q_ids, q_mat, *matrix(row["ids"], row["mat"]))
-                yield _list(row["q"], row["dim"], row["pack"], q_ids, ids, scores)
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                if row["cell"] != cell:
+                    cell, held = row["cell"], {}
+                ids, mat = matrix(row["ids"], row["mat"])
+                here: list[Any] = held.setdefault(row["dim"], [])
+                if row["q"] is None:
+                    here.append(index(ids, mat))
+                elif here:
+                    found = [np.concatenate(x, axis=1) for x in zip(*[meet(ids, mat, one) for one in here])]
+                    yield _list(row["q"], row["dim"], cell // sections, ids, *_top(*found, k))
+
+    return met
+
 
-    lists = pairs.select("q", "dim", "pack", "q_ids", "q_mat", "ids", "mat").mapInArrow(met, LIST)
-    return _rows(_merged(lists, n, k, kind), kind)
+def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The best k of each row of lists side by side."""
+    order = np.lexsort((ids, _falling(scores)), axis=1)[:, :k]
+    ids, scores = (np.ascontiguousarray(np.take_along_axis(x, order, axis=1)) for x in (ids, scores))
+    return ids, scores
 
 
 def _list(q: int, dim: int, node: int, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
@@ -123,9 +164,8 @@ def _merged(lists: DataFrame, n: int, k: int, kind) -> DataFrame:
         queries = np.frombuffer(rows[0]["queries"], np.int64)
         ids = np.concatenate([np.frombuffer(r["ids"], np.int64).reshape(len(queries), k) for r in rows], axis=1)
         scores = np.concatenate([np.frombuffer(r["scores"], kind).reshape(len(queries), k) for r in rows], axis=1)
-        order = np.lexsort((ids, _falling(scores)), axis=1)[:, :k]
-        pick = [np.ascontiguousarray(np.take_along_axis(x, order, axis=1)) for x in (ids, scores)]
-        return pa.Table.from_batches([_list(rows[0]["q"], rows[0]["dim"], rows[0]["node"] // FAN, queries, *pick)])
+        picked = _top(ids, scores, k)
+        return pa.Table.from_batches([_list(rows[0]["q"], rows[0]["dim"], rows[0]["node"] // FAN, queries, *picked)])
 
     while n > 1:
         branch = F.expr(f"node div {FAN}").alias("branch")

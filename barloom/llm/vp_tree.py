@@ -46,21 +46,33 @@ def build(points: np.ndarray, members: np.ndarray, draw: np.random.Generator) ->
     return Node(None, vantage, build(points, members[near], draw), build(points, members[~near], draw), *sides)
 
 
-class Search:
-    """A block of queries in one tree; keeps the best `k` vectors of each query."""
+class Shard:
+    """A pack of vectors and its tree. Copies of a vector are one point with the list of their ids."""
 
-    def __init__(self, queries: np.ndarray, vectors: np.ndarray, k: int, factor: float, first: np.ndarray | None = None):
-        self.q, self.x, self.factor = queries, vectors, factor
-        #: The smallest id of each vector, which decides between equal scores; the last stands for no vector.
-        self.first = np.append(np.arange(len(vectors)) if first is None else first, NONE)
+    def __init__(self, ids: np.ndarray, mat: np.ndarray):
+        vectors, which = np.unique(mat, axis=0, return_inverse=True)
+        which = which.reshape(-1)
+        order = np.lexsort((ids, which))
+        #: The ids of point i are ids[starts[i]:starts[i + 1]], smallest first.
+        self.ids, self.starts = ids[order], np.searchsorted(which[order], np.arange(len(vectors) + 1))
+        #: The smallest id of each point, which decides between equal scores; the last stands for no point.
+        self.first = np.append(self.ids[self.starts[:-1]], NONE)
         norms = (vectors**2).sum(axis=1)
         self.most = norms.max()
-        self.points = np.column_stack([vectors, np.sqrt(np.maximum(self.most - norms, 0))])
+        points = np.column_stack([vectors, np.sqrt(np.maximum(self.most - norms, 0))])
+        self.vectors = points[:, :-1]
+        self.root = build(points, np.arange(len(points)), np.random.default_rng(5))
+
+
+class Search:
+    """A block of queries in one tree; keeps the best `k` vectors of each query."""
+
+    def __init__(self, queries: np.ndarray, shard: Shard, k: int, factor: float):
+        self.q, self.x, self.first, self.most, self.factor = queries, shard.vectors, shard.first, shard.most, factor
         self.q_norms = (queries**2).sum(axis=1)
         self.at = np.full((len(queries), k), -1)
         self.scores = np.full((len(queries), k), -np.inf)
-        root = build(self.points, np.arange(len(vectors)), np.random.default_rng(5))
-        self.visit(root, np.arange(len(queries)))
+        self.visit(shard.root, np.arange(len(queries)))
 
     def reach(self, qs: np.ndarray) -> np.ndarray:
         """Distance within which a vector can still be among the best."""
@@ -98,13 +110,9 @@ class Search:
 
 
 def meeting(k: int, factor: float):
-    def meet(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, mat: np.ndarray):
-        # Copies of a vector are one point of the tree with the list of their ids, smallest first.
-        vectors, which = np.unique(mat, axis=0, return_inverse=True)
-        which = which.reshape(-1)
-        order = np.lexsort((ids, which))
-        starts = np.searchsorted(which[order], np.arange(len(vectors) + 1))
-        done = Search(q, vectors, min(k + 1, len(vectors)), factor, ids[order[starts[:-1]]])
+    def meet(q_ids: np.ndarray, q: np.ndarray, shard: Shard):
+        vectors, starts = shard.vectors, shard.starts
+        done = Search(q, shard, min(k + 1, len(vectors)), factor)
         # One of the k + 1 may be the query itself; of its copies k + 1 are enough.
         rows, columns = np.nonzero(done.at >= 0)
         points = done.at[rows, columns]
@@ -112,7 +120,7 @@ def meeting(k: int, factor: float):
         copies = np.minimum(starts[points + 1] - starts[points], k + 1)
         rows, exact, points = (np.repeat(a, copies) for a in (rows, exact, points))
         step = np.arange(len(rows)) - np.repeat(np.cumsum(copies) - copies, copies)
-        found = ids[order[starts[points] + step]]
+        found = shard.ids[starts[points] + step]
         other = found != q_ids[rows]
         return best(rows[other], found[other], exact[other], len(q_ids), k)
 
@@ -130,6 +138,4 @@ def nearest(rows: DataFrame, chosen, k: int = 20, factor: float = 4.0) -> DataFr
     repeats gets its list for each of its rows. With factor 1 the result is exact.
     """
     good = usable(rows, nonzero=True)
-    shards, n = packs(good, SHARD)
-    queries, _ = packs(good.where(chosen), QUERIES)
-    return search(queries, shards, n, k, meeting(k, factor))
+    return search(packs(good.where(chosen), QUERIES), packs(good, SHARD), k, Shard, meeting(k, factor))

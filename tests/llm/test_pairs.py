@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from barloom.llm import exact_topk, mixing, pieces, simhash, vp_tree
+from barloom.llm import vectors as vector_packs
 
 TEXT = "doc_id long, text string, lang string, source string, n_chars long"
 VECTOR = "vec_id long, embedding array<double>, label int"
@@ -372,3 +373,41 @@ def test_top_k_is_exact_beyond_doubles(spark, monkeypatch):
         assert [(r.vec_id, r.score) for r in own] == [(i, -s) for s, i in want]
         seen += sum(abs(r.score) > 1 << 53 for r in own)
     assert seen > 20
+
+
+def test_a_pack_is_indexed_once_for_all_queries_of_its_task(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(400)]
+    good = vector_packs.usable(vectors(spark, rows), True)
+    table, queries = vector_packs.packs(good, 50), vector_packs.packs(good.where("vec_id % 5 = 0"), 10)
+    assert (table.n, table.size, queries.n) == (8, 400 * 4 * 8, 8)
+    cells = vector_packs.laid_out(queries.frame, table.frame, 4, 2)
+    parts = cells.withColumn("part", F.spark_partition_id()).groupBy("part").agg(F.count("*").alias("n"), F.count("q").alias("q"), F.countDistinct("cell").alias("cells"))
+    assert [(r.n, r.q, r.cells) for r in parts.collect()] == [(2 + 4, 4, 1)] * 8  # two packs of the table, four of queries
+    made = []
+
+    def index(ids, mat):
+        made.append(len(ids))
+        return vp_tree.Shard(ids, mat)
+
+    work = vector_packs.meetings(3, 2, index, vp_tree.meeting(3, 1.0))
+    lists = list(work(iter(cells.toArrow().to_batches(max_chunksize=5))))
+    assert len(made) == 8 * 2 and sum(made) == 400 * 2  # once for each section
+    assert len(lists) == 8 * 4  # a list for each pack of queries and lane
+
+
+@pytest.mark.parametrize("held, asked", [(1 << 30, 1 << 30), (2000, 700)])
+def test_lanes_and_sections_change_no_result(spark, monkeypatch, held, asked):
+    monkeypatch.setattr(vector_packs, "HELD", held)
+    monkeypatch.setattr(vector_packs, "ASKED", asked)
+    for module in (vp_tree, exact_topk):
+        monkeypatch.setattr(module, "SHARD", 11)
+        monkeypatch.setattr(module, "QUERIES", 3)
+    rows = odd_rows(4)
+    steps = lambda a, b: int(sum(np.floor(1024 * np.array(a)) * np.floor(1024 * np.array(b))))
+    want = plain_top(rows, 10, 5, steps, usable)
+    got = listed(exact_topk.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=5))
+    assert got == {q: v for q, v in want.items() if v}
+    want = plain_top(rows, 20, 7, lambda a, b: round(float(np.dot(a, b)), 9), lambda i, v: usable(i, v) and any(v))
+    got = listed(vp_tree.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=7, factor=1.0))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items() if v}
