@@ -81,7 +81,12 @@ class Search:
 
     def leaf(self, members: np.ndarray, qs: np.ndarray) -> None:
         k = self.at.shape[1]
-        scores = np.concatenate([self.scores[qs], self.q[qs] @ self.x[members].T], axis=1)
+        products = self.q[qs] @ self.x[members].T
+        reached = products.max(axis=1) >= self.scores[qs, 0]  # the lists of the others stay as they are
+        qs, products = qs[reached], products[reached]
+        if not len(qs):
+            return
+        scores = np.concatenate([self.scores[qs], products], axis=1)
         at = np.concatenate([self.at[qs], np.broadcast_to(members, (len(qs), len(members)))], axis=1)
         keep = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]  # the smallest of the kept comes first
         kept = np.take_along_axis(scores, keep, axis=1)
