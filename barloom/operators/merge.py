@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.calendar import period_sql
@@ -19,20 +19,20 @@ def keep_first(arrived: DataFrame, arrival: str = "arrival") -> DataFrame:
     """
     others = [name for name in arrived.columns if name not in (*KEYS, arrival)]
     return (
-        arrived.filter(_keyed())
+        arrived.filter(keyed())
         .groupBy(*KEYS)
         .agg(*[F.min_by(name, arrival).alias(name) for name in others])
     )
 
 
-def _keyed():
+def keyed() -> Column:
     """Whether a row has a whole key."""
     return F.expr(" and ".join(f"{name} is not null" for name in KEYS))
 
 
 def unkeyed(arrived: DataFrame) -> DataFrame:
     """Arrived rows without a series or with a ``start`` that could not be read."""
-    return arrived.filter(~_keyed())
+    return arrived.filter(~keyed())
 
 
 def merge_replace_open(history: DataFrame, arrived: DataFrame) -> DataFrame:

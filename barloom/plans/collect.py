@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from barloom.operators.merge import (
     keep_first,
     merge_keep_first,
     merge_replace_open,
+    keyed,
     new_keys,
     unkeyed,
 )
@@ -22,6 +25,16 @@ from barloom.sinks.tables import candle_table, save_partitioned
 
 
 log = logging.getLogger(__name__)
+_CELLS = "cells"
+
+
+@dataclass(frozen=True)
+class TopUp:
+    """What a top-up has met: bars that arrived, those of them without a key, and bars added."""
+
+    arrived: int
+    rejected: int
+    added: int
 
 
 def initial_load(arrived: DataFrame, now: str | int, closed_only: bool = False) -> DataFrame:
@@ -38,8 +51,16 @@ def initial_load(arrived: DataFrame, now: str | int, closed_only: bool = False)
 
 def rejected(arrived: DataFrame) -> DataFrame:
     """Arrived text bars that cannot be stored: no series, or an unreadable start."""
-    cells = F.struct(*[c for c in arrived.columns if c not in SERIES]).alias("cells")
-    return unkeyed(coerce(arrived.select("*", cells))).select(*SERIES, "cells.*")
+    return _cells(unkeyed(coerce(_with_cells(arrived))))
+
+
+def _with_cells(arrived: DataFrame) -> DataFrame:
+    """Arrived bars with a struct of all cells as they came."""
+    return arrived.select("*", F.struct(*[c for c in arrived.columns if c not in SERIES]).alias(_CELLS))
+
+
+def _cells(bars: DataFrame) -> DataFrame:
+    return bars.select(*SERIES, f"{_CELLS}.*")
 
 
 def _warn_of_rejects(arrived: DataFrame, rejects_path: str | None) -> int:
@@ -78,26 +99,50 @@ def merged(history: DataFrame, arrived: DataFrame, replace_open: bool = False) -
     return merge(history, with_display_date(coerce(arrived)))
 
 
-def append_arrived(
-    spark: SparkSession, arrived: DataFrame, table_path: str, rejects_path: str | None = None
-) -> bool:
-    """Top up a stored table in place; False if there was nothing to add it from.
+def top_up(
+    spark: SparkSession,
+    arrived: DataFrame,
+    table_path: str,
+    rejects_path: str | None = None,
+    before_writing: Callable[[], None] | None = None,
+) -> TopUp:
+    """Top up a stored table in place.
 
     As stored bars always win, topping up is appending the keys that are not
     there yet: no stored file is rewritten, and doing it twice adds nothing. Of
     the history only the keys in the years and the time range of the new bars of
     their series are read. Bars without a key are counted, warned of, and kept at
     ``rejects_path`` if one is given.
+
+    ``arrived`` is evaluated once, into a cache that the counts, the rejects and the
+    new bars are read from; the write itself counts what it adds. ``before_writing`` is
+    called when ``arrived`` has been evaluated and nothing is written yet; it may raise.
     """
-    fresh = candle_columns(with_display_date(keep_first(coerce(arrived)))).persist()
+    typed = coerce(arrived if rejects_path is None else _with_cells(arrived)).persist()
     try:
-        _warn_of_rejects(arrived, rejects_path)
-        first, last = fresh.agg(F.min("start"), F.max("start")).first()
+        n, rejects, first, last = typed.agg(
+            F.count(F.lit(1)), F.count_if(~keyed()), *[call(F.when(keyed(), F.col("start"))) for call in (F.min, F.max)]
+        ).first()
+        if before_writing is not None:
+            before_writing()
+        if rejects:
+            log.warning("%d bars without a series or a readable start were left out", rejects)
+            if rejects_path is not None:
+                _cells(unkeyed(typed)).write.mode("append").parquet(rejects_path)
         if first is None:
-            return False
-        history = candle_table(spark, table_path, first, last, fresh)
-        added = fresh if history is None else new_keys(history, fresh)
-        save_partitioned(added, table_path, mode="append")
-        return True
+            return TopUp(n, rejects, 0)
+        fresh = candle_columns(with_display_date(keep_first(typed.drop(_CELLS))))
+        history = candle_table(spark, table_path, first, last, typed.filter(keyed()))
+        seen = Observation()
+        save_partitioned(fresh if history is None else new_keys(history, fresh), table_path, mode="append", seen=seen)
+        return TopUp(n, rejects, seen.get["rows"])
     finally:
-        fresh.unpersist()
+        typed.unpersist()
+
+
+def append_arrived(
+    spark: SparkSession, arrived: DataFrame, table_path: str, rejects_path: str | None = None
+) -> bool:
+    """``top_up``; False if no bar with a key has arrived."""
+    done = top_up(spark, arrived, table_path, rejects_path)
+    return done.arrived > done.rejected

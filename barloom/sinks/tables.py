@@ -53,21 +53,23 @@ def save_partitioned(
     by: Sequence[str] = PARTITIONS,
     mode: str = "overwrite",
     whole: bool = False,
+    seen: Observation | None = None,
 ) -> None:
     """Write a partitioned Parquet table.
 
     ``overwrite`` replaces the partitions present in ``df``, or with ``whole``
-    everything at ``path``.
+    everything at ``path``. ``seen`` observes the number of ``rows`` as they are written.
 
     The rebalance hint lets Spark size the files from what the shuffle measured:
     small partitions share a task and a huge one is split over several. Rows are
     sorted inside files, so a reader can skip row groups by product and time.
     With many products leave ``product_id`` out of ``by``: the sort still prunes.
     """
+    laid = with_partition_columns(df, by).hint("rebalance", *by)
+    if seen is not None:
+        laid = laid.observe(seen, F.count(F.lit(1)).alias("rows"))
     (
-        with_partition_columns(df, by)
-        .hint("rebalance", *by)
-        .sortWithinPartitions(*by, *[name for name in KEYS if name not in by])
+        laid.sortWithinPartitions(*by, *[name for name in KEYS if name not in by])
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.schema import OHLCV, PAGE_SCHEMA, SERIES
@@ -55,6 +55,18 @@ def page_report(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_counts() -> list[Column]:
+    """Aggregates over pages: all ``pages``, the ``failed`` ones, and the ``bars`` in their lists.
+
+    A page is failed if it is unreadable or without a list; an empty list is a success.
+    """
+    return [
+        F.count(F.lit(1)).alias("pages"),
+        F.expr("count_if(_corrupt_record is not null or candles is null) AS failed"),
+        F.expr("coalesce(sum(greatest(size(candles), 0)), 0L) AS bars"),
+    ]
+
+
 def failed_pages(pages: DataFrame) -> int:
     """How many pages are unreadable or without a list; an empty list is a success."""
-    return pages.transform(with_status).filter("status in ('unreadable', 'failed')").count()
+    return pages.agg(*page_counts()).first()["failed"]

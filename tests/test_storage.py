@@ -1,13 +1,14 @@
 """Files in and out, the job, the stream."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions.cleaning import candle_columns, with_display_date
 from barloom.operators.merge import keep_first
-from barloom.plans.collect import append_arrived, merged, rejected
+from barloom.plans.collect import TopUp, append_arrived, merged, rejected, top_up
 from barloom.plans.features import feature_table
 from barloom.plans.job import load_bars, process, run_job
 from barloom.plans.updates import series_catalog
@@ -24,7 +25,7 @@ from barloom.sinks.tables import (
 )
 from barloom.sources.candles import list_files, read_candle_csv
 from barloom.sources.pages import failed_pages, page_bars, page_report, parse_pages, read_pages
-from barloom.streaming.ingest import start_ingest
+from barloom.streaming.ingest import BatchReport, IngestListener, start_ingest
 from barloom.verify.queries import scratch
 from helpers import BAR, noise, rows
 from test_tables import PAGES, arrived, prices, stored
@@ -293,3 +294,55 @@ def test_top_up_reads_only_the_stretch_it_needs(spark):
     assert not append_arrived(spark, arrived(spark, []), path)
     assert append_arrived(spark, arrived(spark, [(86400 * 600, 9.0), (86400 * 601, 8.0)]), path)
     assert len(prices(candle_table(spark, path))) == 21
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_a_batch_is_evaluated_once_and_counted_by_what_writes_it(spark, tmp_path, kept):
+    bad = ['{"error":"busy","product_id":"A","granularity":"ONE_HOUR"}', '{"product_id":"A", "candl']
+    odd = PAGES[0].replace('"start"', '"begin"')
+    landing, table, checkpoint = tmp_path / "in", scratch(spark), scratch(spark)
+    rejects = scratch(spark) if kept else None
+    landing.mkdir()
+    (landing / "1.json").write_text("\n".join([*PAGES, *bad, odd]))
+    reports, listener = [], IngestListener()
+    spark.streams.addListener(listener)
+    try:
+        query = start_ingest(spark, str(landing), table, checkpoint, rejects_path=rejects, report=reports.append)
+        query.awaitTermination()
+        (landing / "2.json").write_text("\n".join(PAGES))
+        again = start_ingest(spark, str(landing), table, checkpoint, report=reports.append)
+        again.awaitTermination()
+        late = time.monotonic() + 60
+        while len(listener.batches) < 2 and time.monotonic() < late:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    lost = len(json.loads(PAGES[0])["candles"])
+    good = sum(len(json.loads(page).get("candles") or []) for page in PAGES)
+    stored_bars = candle_table(spark, table).count()
+    n, failed = len(PAGES), 1  # one of the pages has no list
+    assert reports == [
+        BatchReport(0, n + 3, failed + 2, TopUp(good + lost, lost, stored_bars)),
+        BatchReport(1, n, failed, TopUp(good, 0, 0)),
+    ]
+    # A second evaluation of a batch would count its pages again.
+    assert [b[1:] for b in listener.batches] == [(0, n + 3, failed + 2, good + lost), (1, n, failed, good)]
+    if kept:
+        assert spark.read.parquet(rejects).count() == lost
+
+
+def test_top_up_counts_what_it_writes(spark):
+    path = scratch(spark)
+    bars = arrived(spark, [(0, 1.0), (3600, 2.0), (0, 5.0)])
+    odd = bars.withColumn("start", F.lit("x"))
+    assert top_up(spark, bars.unionByName(odd), path) == TopUp(6, 3, 2)
+    assert top_up(spark, bars, path) == TopUp(3, 0, 0)
+    assert top_up(spark, arrived(spark, [(3600, 7.0), (7200, 3.0)]), path) == TopUp(2, 0, 1)
+    assert top_up(spark, odd, path) == TopUp(3, 3, 0)
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        top_up(spark, arrived(spark, [(86400, 7.0)]), path, before_writing=refuse)
+    assert candle_table(spark, path).count() == 3
