@@ -564,6 +564,17 @@ ORACLES: dict[str, str] = {
       SELECT product_id, granularity, 'data/' || max(name) AS path, max(name) AS name
       FROM files GROUP BY ALL""",
     "stream_merge": _dated(EVENT_BARS),
+    "stream_counts": f"""WITH paged AS (WITH {PAGED}), told AS (
+        SELECT 0 AS batch, * FROM paged WHERE page * 306000 < {HISTORY_END} UNION ALL SELECT 1, * FROM paged),
+      added AS (
+        SELECT batch, count(*) AS n FROM (
+          SELECT min(batch) AS batch FROM told WHERE page % 5 IN (3, 4) GROUP BY product_id, granularity, start)
+        GROUP BY batch)
+      SELECT batch, count(DISTINCT (product_id, granularity, page)) AS pages,
+        count(DISTINCT CASE WHEN page % 5 IN (0, 1) THEN (product_id, granularity, page) END) AS failed,
+        count(*) FILTER (page % 5 > 1) AS arrived, count(*) FILTER (page % 5 = 2) AS rejected,
+        coalesce(max(n), 0) AS added
+      FROM told LEFT JOIN added USING (batch) GROUP BY batch""",
     "job_output": _features(ORDER_BARS),
     "job_from_stream": _show(
         EVENT_BARS,

@@ -477,6 +477,30 @@ def stream_merge(spark, sf_dir):
     return candle_table(spark, table)
 
 
+def stream_counts(spark, sf_dir):
+    """What each batch of a stream has met: pages without a list, cut off, or with bars that lack a start.
+
+    The second batch brings the pages of the first one again.
+    """
+    landing, table, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    page = F.get_json_object("value", "$.page").cast("long")
+    spoilt = (
+        F.when(page % 5 == 0, F.regexp_replace("value", '"candles":.*', '"error":"busy"}'))
+        .when(page % 5 == 1, F.expr("substring(value, 1, length(value) - 2)"))
+        .when(page % 5 == 2, F.regexp_replace("value", '"start":', '"begin":'))
+        .otherwise(F.col("value"))
+    )
+    texts = _page_texts(spark, sf_dir).select(spoilt.alias("value"), (page * 340 * 900 < HISTORY_END).alias("early"))
+    reports = []
+    for some in ("early", "true"):
+        texts.filter(some).select("value").write.mode("append").text(landing)
+        start_ingest(spark, landing, table, checkpoint, report=reports.append).awaitTermination()
+    return spark.createDataFrame(
+        [(r.batch, r.pages, r.failed, r.bars.arrived, r.bars.rejected, r.bars.added) for r in reports],
+        "batch int, pages long, failed long, arrived long, rejected long, added long",
+    )
+
+
 def job_output(spark, sf_dir):
     path = scratch(spark)
     process(with_display_date(order_bars(spark, sf_dir)), path)
@@ -626,6 +650,7 @@ QUERIES: dict[str, Query] = {
     "latest_file": latest_file_names,
     # O-61, O-53
     "stream_merge": stream_merge,
+    "stream_counts": stream_counts,
     "job_output": job_output,
     "job_from_stream": job_from_stream,
 }
