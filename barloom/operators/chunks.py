@@ -288,6 +288,7 @@ def _chunk_states(
     lookback: int,
     core: int,
     before: State | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """State of every recursion just before each chunk's first row (halo included).
 
@@ -295,6 +296,9 @@ def _chunk_states(
     start of chunk k+1 are summed to what they leave behind at their end. A sum
     goes only to chunks that the series has. A state ``before`` enters chunk 1 as it is,
     and later ones by what chunk 1 leaves of it.
+
+    With ``whole`` the sums name every column of ``indexed``, so that this branch asks for the
+    same exchange as the chunks and Spark computes it once.
     """
     slowest = min(-math.log(d.a) for d in decays)
     reach = math.ceil(_VANISHED / (core * slowest)) + 1
@@ -308,8 +312,9 @@ def _chunk_states(
         .agg(
             F.expr(f"least({reach}L, {ahead}) AS _ahead"),
             *[F.expr(f"coalesce(sum({v}), 0D) AS {k}") for k, v in terms.items()],
+            *([F.expr(f"count({', '.join(f'`{name}`' for name in indexed.columns)}) AS _full")] if whole else []),
         )
-        .filter("_ahead > 0")
+        .filter("_ahead > 0 and _full >= 0" if whole else "_ahead > 0")
     )
     if before is not None:
         kept = {k: v for d in decays for k, v in d.carried(f"{core}L", "_y_").items()}
@@ -339,11 +344,14 @@ def chunk_bars(
     bucket_bars: int = BUCKET_BARS,
     ties: Sequence[str] = ("close", "high", "low"),
     before: State | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Bars with ``_chunk`` and ``_age`` (bars since the middle of the chunk).
 
     ``_opens`` tells whether the chunk has the first bar of its series. Halo rows are copies: keep
     only ``core_bars`` of the result at the end, which also drops the tail of a state ``before``.
+    ``whole`` says that all columns will be used: then bars are scanned and shuffled once for the
+    chunks and the states that enter them, instead of once more with the columns that the states need.
     """
     if before is not None:
         lookback = max(lookback, 1)
@@ -360,7 +368,7 @@ def chunk_bars(
     chunked = indexed.selectExpr("*", f"explode(sequence({begin}, {last})) AS _chunk")
     lasting = [decay for decay in decays if decay.a > 0]
     if lasting:
-        states = _chunk_states(indexed, lasting, lookback, core, before)
+        states = _chunk_states(indexed, lasting, lookback, core, before, whole and before is None)
         chunked = chunked.join(states, [*SERIES, "_chunk"], "left")
     half = (core + lookback) // 2
     return chunked.selectExpr(

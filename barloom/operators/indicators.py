@@ -96,6 +96,7 @@ def add_indicators(
     core: int | None = None,
     bucket_bars: int = BUCKET_BARS,
     before: State | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """All input columns and rows, plus the outputs of the indicators in order.
 
@@ -103,7 +104,8 @@ def add_indicators(
     column are an error. Names of further input columns must not begin with an
     underscore. ``core`` is the number of bars per chunk; by default it grows with
     the longest look-back. With a state ``before``, made by ``state_after`` for the same
-    indicators, the bars go on where it ends.
+    indicators, the bars go on where it ends. ``whole`` says that the caller keeps all
+    columns (see ``chunk_bars``).
     """
     reserved = [name for name in bars.columns if name.startswith("_")]
     if reserved:
@@ -133,7 +135,7 @@ def add_indicators(
     ties = ["close", *(name for name in ("high", "low") if any(name in sql for sql in used))]
     windows = bool(decays) or any(" OVER (" in sql for sql in used)
     if windows:
-        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties, before)
+        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties, before, whole)
     elif any(place in sql for sql in used for place in _PLACES):
         frame = index_bars(bars, bucket_bars, ties, before)
         frame = frame if before is None else frame.filter("_pos >= _stored")

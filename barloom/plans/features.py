@@ -29,7 +29,9 @@ def feature_table(
     The calendar is added after the shuffles, from ``start``, so that it does
     not travel through them.
     """
-    measured = add_indicators(bars, *standard_indicators(), core=core, bucket_bars=bucket_bars, before=before)
+    measured = add_indicators(
+        bars, *standard_indicators(), core=core, bucket_bars=bucket_bars, before=before, whole=True
+    )
     calendar = calendar_columns()
     return measured.select(
         *bars.columns,

@@ -300,3 +300,26 @@ def test_scan_reads_only_the_columns_used(spark, tmp_path):
     for line in schemas:
         read = line[line.index("ReadSchema") :]
         assert not any(f"{name}:" in read for name in ("open", "high", "low", "volume")), read
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_feature_table_shuffles_its_bars_once(spark, tmp_path, limit):
+    path = str(tmp_path / "bars")
+    table(spark, {"A": noise(700), "B": noise(90)}).write.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        frame = feature_table(spark.read.parquet(path), core=100)
+        got = frame.orderBy("product_id", "start").collect()
+        want = feature_table(spark.read.parquet(path), core=1000).orderBy("product_id", "start").collect()
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Bucket totals, bars, and bars without a key; the states read the exchange of the bars.
+    assert plan.count("FileScan") == 3
+    assert plan.count("ReusedExchange") >= 1
+    assert len(got) == len(want) == 790
+    for a, b in zip(got, want):
+        for x, y in zip(a, b):
+            assert x == y or x == pytest.approx(y, rel=1e-6, abs=1e-9)
