@@ -97,6 +97,27 @@ class Decay:
         }
 
 
+@dataclass(frozen=True)
+class First:
+    """The position of the first bar of a series where ``met`` holds, null if there is none.
+
+    ``met`` is SQL over the bar's columns, ``pos`` and ``prev_close``. It is one number per
+    series, so bars compare ``_pos`` with it instead of looking back.
+    """
+
+    name: str
+    met: str
+
+    @property
+    def column(self) -> str:
+        return f"_first_{self.name}"
+
+    @property
+    def found(self) -> str:
+        """The aggregate that finds it."""
+        return f"min(if({self.met}, _pos, null)) AS {self.column}"
+
+
 @dataclass(frozen=True)
 class State:
     """Where the computation of a table of series stands.
@@ -105,7 +126,8 @@ class State:
     ``sums`` has a row per series: ``_until`` (last start), ``_stored`` and ``_past`` (bars of the
     series, and those before the tail), ``_past_close`` (the close before the tail),
     ``_past_null_close`` and ``_past_null_range`` (first starts without a close, or a high or
-    low), and ``_y_`` + the numbers of every recursion just before the tail.
+    low), ``_y_`` + the numbers of every recursion just before the tail, and the columns of
+    every ``First``.
     """
 
     tail: DataFrame
@@ -248,6 +270,7 @@ def series_state(
     bucket_bars: int = BUCKET_BARS,
     ties: Sequence[str] = ("close", "high", "low"),
     before: State | None = None,
+    firsts: Sequence[First] = (),
 ) -> State:
     """The state after ``bars``, which follow the state ``before`` if there is one.
 
@@ -270,15 +293,17 @@ def series_state(
         F.expr("min(_null_close_at) AS _past_null_close"),
         F.expr("min(_null_range_at) AS _past_null_range"),
         *[F.expr(f"coalesce(sum(if(_pos < {past}, {v}, 0D)), 0D) AS _new_{k}") for k, v in left.items()],
+        *[F.expr(f.found) for f in firsts],
     )
     names = ["_until", "_stored", "_now_past AS _past", "_past_close", "_past_null_close", "_past_null_range"]
     if before is None:
-        added = [f"_new_{k} AS _y_{k}" for k in left]
+        added = [f"_new_{k} AS _y_{k}" for k in left] + [f.column for f in firsts]
     else:
-        states = [f"_y_{k}" for k in left]
-        sums = sums.join(before.sums.select(*SERIES, *states), [*SERIES], "left")
+        states = [f"_y_{k}" for k in left] + [f"{f.column} AS _was{f.column}" for f in firsts]
+        sums = sums.join(before.sums.selectExpr(*SERIES, *states), [*SERIES], "left")
         kept = {k: v for d in lasting for k, v in d.carried("(_now_past - _was_past)", "_y_").items()}
         added = [f"_new_{k} + coalesce({v}, 0D) AS _y_{k}" for k, v in kept.items()]
+        added += [f"least({f.column}, _was{f.column}) AS {f.column}" for f in firsts]
     return State(tail.select(*bars.columns), sums.selectExpr(*SERIES, *names, *added))
 
 
@@ -289,6 +314,7 @@ def _chunk_states(
     core: int,
     before: State | None = None,
     whole: bool = False,
+    firsts: Sequence[First] = (),
 ) -> DataFrame:
     """State of every recursion just before each chunk's first row (halo included).
 
@@ -297,41 +323,60 @@ def _chunk_states(
     goes only to chunks that the series has. A state ``before`` enters chunk 1 as it is,
     and later ones by what chunk 1 leaves of it.
 
+    With ``firsts`` every chunk gets a row, as each needs them; chunks that no sum enters get it
+    from their own sums or, at the start of a series, from its first ones. A window over one row
+    per chunk spreads them over a series.
+
     With ``whole`` the sums name every column of ``indexed``, so that this branch asks for the
     same exchange as the chunks and Spark computes it once.
     """
-    slowest = min(-math.log(d.a) for d in decays)
+    slowest = min((-math.log(d.a) for d in decays), default=math.inf)
     reach = math.ceil(_VANISHED / (core * slowest)) + 1
     place, total = _on_grid("_pos", core, before), _on_grid("_total", core, before)
     owner = f"({place} + {lookback}) div {core}L"
     left = f"(({owner} + 1) * {core}L - {lookback + 1} - {place})"
     ahead = f"(max({total}) - 1) div {core}L - _owner"
     terms = {k: v for d in decays for k, v in d.left_behind(left).items()}
+    columns = [f.column for f in firsts]
+    series = f"OVER (PARTITION BY {_KEYS})"
+    nearest = f"if(_owner = min(_owner) {series}, {0 if before is None else 1}L - _owner, 0L)" if firsts else "1L"
     own = (
         indexed.groupBy(*SERIES, F.expr(f"{owner} AS _owner"))
         .agg(
             F.expr(f"least({reach}L, {ahead}) AS _ahead"),
             *[F.expr(f"coalesce(sum({v}), 0D) AS {k}") for k, v in terms.items()],
+            *[F.expr(f.found) for f in firsts],
             *([F.expr(f"count({', '.join(f'`{name}`' for name in indexed.columns)}) AS _full")] if whole else []),
         )
-        .filter("_ahead > 0 and _full >= 0" if whole else "_ahead > 0")
+        .withColumns({"_nearest": F.expr(nearest), **{c: F.expr(f"min({c}) {series}") for c in columns}})
+        .filter("_ahead >= _nearest and _full >= 0" if whole else "_ahead >= _nearest")
     )
     if before is not None:
         kept = {k: v for d in decays for k, v in d.carried(f"{core}L", "_y_").items()}
-        own = own.join(before.sums.select(*SERIES, *[f"_y_{k}" for k in kept]), [*SERIES], "left").selectExpr(
+        known = [*[f"_y_{k}" for k in kept], *[f"{c} AS _was{c}" for c in columns]]
+        own = own.join(before.sums.selectExpr(*SERIES, *known), [*SERIES], "left").selectExpr(
             *SERIES,
             "_owner",
+            "_nearest",
             "_ahead",
             *[f"{k} + if(_owner = 1, coalesce({v}, 0D), 0D) AS {k}" for k, v in kept.items()],
+            *[f"least({c}, _was{c}) AS {c}" for c in columns],
         )
     steps = {k: v for d in decays for k, v in d.carried(f"((_step - 1) * {core}L)").items()}
+    if firsts:
+        steps = {k: f"if(_step > 0, {v}, 0D)" for k, v in steps.items()}
     states = (
-        own.selectExpr("*", "explode(sequence(1L, _ahead)) AS _step")
+        own.selectExpr("*", "explode(sequence(_nearest, _ahead)) AS _step")
         .groupBy(*SERIES, F.expr("_owner + _step AS _chunk"))
-        .agg(*[F.expr(f"sum({v}) AS _in_{k}") for k, v in steps.items()])
+        .agg(*[F.expr(f"sum({v}) AS _in_{k}") for k, v in steps.items()], *[F.expr(f"min({c}) AS {c}") for c in columns])
     )
     if before is None:
         return states
+    if firsts:  # chunk 1 has a row already: it has the firsts, and no sums enter it but the state's
+        entering = [f"_y_{k} AS _of_{k}" for k in steps]
+        states = states.join(before.sums.selectExpr(*SERIES, *entering), [*SERIES], "left")
+        values = [f"if(_chunk = 1, _of_{k}, _in_{k}) AS _in_{k}" for k in steps]
+        return states.selectExpr(*SERIES, "_chunk", *values, *columns)
     entering = [f"_y_{k} AS _in_{k}" for k in steps]
     return states.unionByName(before.sums.selectExpr(*SERIES, "1L AS _chunk", *entering))
 
@@ -345,6 +390,7 @@ def chunk_bars(
     ties: Sequence[str] = ("close", "high", "low"),
     before: State | None = None,
     whole: bool = False,
+    firsts: Sequence[First] = (),
 ) -> DataFrame:
     """Bars with ``_chunk`` and ``_age`` (bars since the middle of the chunk).
 
@@ -367,8 +413,8 @@ def chunk_bars(
     begin = first if before is None else f"greatest({first}, 1L)"
     chunked = indexed.selectExpr("*", f"explode(sequence({begin}, {last})) AS _chunk")
     lasting = [decay for decay in decays if decay.a > 0]
-    if lasting:
-        states = _chunk_states(indexed, lasting, lookback, core, before, whole and before is None)
+    if lasting or firsts:
+        states = _chunk_states(indexed, lasting, lookback, core, before, whole and before is None, firsts)
         chunked = chunked.join(states, [*SERIES, "_chunk"], "left")
     half = (core + lookback) // 2
     return chunked.selectExpr(

@@ -17,6 +17,7 @@ from barloom.operators.chunks import (
     CHUNK_BARS,
     PLACED,
     Decay,
+    First,
     OFFSET,
     State,
     bars_ago,
@@ -51,6 +52,15 @@ TINY = 1e-10
 
 _CHANGE = "(close - _prev_close)"
 _LOG_CHANGE = "(ln(close) - ln(_prev_close))"
+# The same with the logs of floating-point arithmetic, and the ways in which it is not finite.
+_INFINITY = "double('Infinity')"
+_ANY_LOG = "CASE WHEN {0} = 0 THEN -" + _INFINITY + " WHEN {0} < 0 THEN double('NaN') ELSE ln({0}) END"
+_ANY_LOG_CHANGE = f"({_ANY_LOG.format('close')} - {_ANY_LOG.format('_prev_close')})"
+_ENDLESS = {
+    "log_rise": First("log_rise", f"{_ANY_LOG_CHANGE} = {_INFINITY}"),
+    "log_fall": First("log_fall", f"{_ANY_LOG_CHANGE} = -{_INFINITY}"),
+    "log_lost": First("log_lost", f"isnan({_ANY_LOG_CHANGE})"),
+}
 _NO_CLOSE = "close is null"
 _NO_RANGE = "high is null or low is null"
 _TRUE_RANGE = (
@@ -81,6 +91,7 @@ class Indicator:
     lookback: int = 0
     decays: tuple[Decay, ...] = ()
     needs: tuple[str, ...] = ()
+    firsts: tuple[First, ...] = ()
 
     def steps(self, rows: int) -> Phases:
         return self.phases(rows) if callable(self.phases) else self.phases
@@ -128,14 +139,16 @@ def add_indicators(
                     made[name] = at, sql
             at += 1
     decays = {d.name: d for item in indicators for d in item.decays}
+    firsts = {f.name: f for item in indicators for f in item.firsts}
     # Only what is computed from is read: most indicators need no high and low.
     used = [sql for step in steps.values() for sql in step.values()]
-    used += [d.term for d in decays.values()]
+    used += [d.term for d in decays.values()] + [f.met for f in firsts.values()]
     outputs = list(dict.fromkeys(name for item in indicators for name in item.outputs))
     ties = ["close", *(name for name in ("high", "low") if any(name in sql for sql in used))]
-    windows = bool(decays) or any(" OVER (" in sql for sql in used)
+    windows = bool(decays or firsts) or any(" OVER (" in sql for sql in used)
     if windows:
-        frame = chunk_bars(bars, lookback, list(decays.values()), core, bucket_bars, ties, before, whole)
+        sums, marks = list(decays.values()), list(firsts.values())
+        frame = chunk_bars(bars, lookback, sums, core, bucket_bars, ties, before, whole, marks)
     elif any(place in sql for sql in used for place in _PLACES):
         frame = index_bars(bars, bucket_bars, ties, before)
         frame = frame if before is None else frame.filter("_pos >= _stored")
@@ -166,7 +179,9 @@ def state_after(
 ) -> State:
     """What ``add_indicators`` needs to go on after ``bars``, which follow ``before`` if given."""
     decays = {d.name: d for item in indicators for d in item.decays}
-    return series_state(bars, list(decays.values()), whole_lookback(indicators), bucket_bars, before=before)
+    firsts = {f.name: f for item in indicators for f in item.firsts}
+    lookback = whole_lookback(indicators)
+    return series_state(bars, list(decays.values()), lookback, bucket_bars, before=before, firsts=list(firsts.values()))
 
 
 def _named(name: str, given: tuple[int, ...], usual: tuple[int, ...]) -> str:
@@ -315,7 +330,7 @@ def _wilder(name: str, value: str, n: int) -> Decay:
 
 
 def _recursive(
-    out: str, decays: tuple[Decay, ...], value: str
+    out: str, decays: tuple[Decay, ...], value: str, firsts: tuple[First, ...] = ()
 ) -> Indicator:
     """A value made of recursions, which it reads by their names after an underscore."""
 
@@ -323,7 +338,7 @@ def _recursive(
         parts = [decay_phases(d, rows, f"_{d.name}") for d in decays]
         return [*side_by_side(*parts), {out: value}]
 
-    return Indicator((out,), phases, decays=decays)
+    return Indicator((out,), phases, decays=decays, firsts=firsts)
 
 
 def rsi(n: int = 14, out: str | None = None) -> Indicator:
@@ -352,18 +367,36 @@ def ema(n: int = 20, out: str | None = None) -> Indicator:
     return _recursive(out, (mean,), f"if(_pos >= {n - 1} and {_CLOSE_KNOWN}, _{mean.name}, null)")
 
 
-def ewm_rsi(n: int = 70, out: str | None = None) -> Indicator:
+def ewm_rsi(n: int = 70, out: str | None = None, endless: bool = False) -> Indicator:
     """Relative strength of the log price from the first bar on.
 
     Both means start at the first value and weigh a new one 1/n; an unknown
     move counts as none; a zero mean loss is replaced by a tiny one.
+
+    The log of a price of zero or less is unknown. With ``endless`` it is minus infinity for zero
+    and NaN below, as in floating-point arithmetic: the mean loss is infinite from
+    a fall to zero on, the mean gain from a rise from zero on, and the strength NaN once both are.
     """
     out = out or _named("ewm_rsi", (n,), (70,))
     weight = f"if(_pos = 0, 1D, {number(1 / n)})"
     up = Decay(f"ewm{n}_up", 1 - 1 / n, f"{_gain(_LOG_CHANGE)} * {weight}")
     down = Decay(f"ewm{n}_down", 1 - 1 / n, f"{_loss(_LOG_CHANGE)} * {weight}")
-    ratio = f"_{up.name} / if(_{down.name} = 0, {number(TINY)}, _{down.name})"
-    return _recursive(out, (up, down), f"100 - 100 / (1 + {ratio})")
+    gains, losses, firsts = f"_{up.name}", f"_{down.name}", ()
+    if endless:
+        if n <= 1:
+            raise ValueError("with endless moves the mean needs more than one of them")
+        # The finite parts go on as they are; what is infinite or NaN stays so and is added.
+        gains = f"({gains} + {_from_first('log_rise')})"
+        losses = f"({losses} + {_from_first('log_fall')})"
+        firsts = tuple(_ENDLESS.values())
+    ratio = f"{gains} / if({losses} = 0, {number(TINY)}, {losses})"
+    return _recursive(out, (up, down), f"100 - 100 / (1 + {ratio})", firsts)
+
+
+def _from_first(name: str) -> str:
+    """Infinity from the first such move on, NaN from the first lost one on, 0 before."""
+    lost, moved = (_ENDLESS[key].column for key in ("log_lost", name))
+    return f"CASE WHEN _pos >= {lost} THEN double('NaN') WHEN _pos >= {moved} THEN {_INFINITY} ELSE 0D END"
 
 
 def super_smoother(
@@ -432,11 +465,19 @@ def super_smoother(
 
 
 def es_stoch_rsi_k(
-    smooth: int = 20, rsi_length: int = 70, stoch_length: int = 50, out: str | None = None
+    smooth: int = 20,
+    rsi_length: int = 70,
+    stoch_length: int = 50,
+    out: str | None = None,
+    endless: bool = False,
 ) -> Indicator:
-    """Stochastic of the log-price RSI, put through the super smoother."""
+    """Stochastic of the log-price RSI, put through the super smoother.
+
+    ``endless`` is that of ``ewm_rsi``. NaN orders above all numbers, so a strength that is NaN
+    lies at 100.
+    """
     out = out or _named("es_stoch_rsi_k", (smooth, rsi_length, stoch_length), (20, 70, 50))
-    strength = ewm_rsi(rsi_length, f"_{out}_rsi")
+    strength = ewm_rsi(rsi_length, f"_{out}_rsi", endless)
     band = stochastic(f"_{out}_rsi", stoch_length, f"_{out}_raw")
     smoothed = super_smoother(f"_{out}_raw", smooth, out)
 
@@ -444,7 +485,11 @@ def es_stoch_rsi_k(
         return [*strength.steps(rows), *band.steps(rows), *smoothed.steps(rows)]
 
     return Indicator(
-        (out,), phases, lookback=band.lookback + smoothed.lookback + 1, decays=strength.decays
+        (out,),
+        phases,
+        lookback=band.lookback + smoothed.lookback + 1,
+        decays=strength.decays,
+        firsts=strength.firsts,
     )
 
 
@@ -456,8 +501,8 @@ def es_stoch_rsi_d(n: int = 6, k: Indicator | None = None, out: str | None = Non
     return Indicator((out,), [{out: value}], lookback=n - 1, needs=(source,))
 
 
-def standard_indicators() -> list[Indicator]:
-    """The indicator columns of the feature table, in its order."""
+def standard_indicators(endless: bool = False) -> list[Indicator]:
+    """The indicator columns of the feature table, in its order; ``endless`` is that of ``ewm_rsi``."""
     return [
         rsi(14),
         lag_of("rsi", 1),
@@ -470,6 +515,6 @@ def standard_indicators() -> list[Indicator]:
         sma(50),
         sma(138),
         kijun(200, 1),
-        es_stoch_rsi_k(),
+        es_stoch_rsi_k(endless=endless),
         es_stoch_rsi_d(),
     ]

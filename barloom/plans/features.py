@@ -21,17 +21,19 @@ def feature_table(
     core: int | None = None,
     bucket_bars: int = BUCKET_BARS,
     before: State | None = None,
+    endless: bool = False,
 ) -> DataFrame:
     """All series at once; as many rows as ``bars``, which has unique keys.
 
-    With a state ``before`` the bars go on where it ends, and no earlier bar is read.
+    With a state ``before`` the bars go on where it ends, and no earlier bar is read. A close of
+    zero or less is unknown to the Ehlers lines, or with ``endless`` has the log of floating-point
+    arithmetic (see ``ewm_rsi``).
 
     The calendar is added after the shuffles, from ``start``, so that it does
     not travel through them.
     """
-    measured = add_indicators(
-        bars, *standard_indicators(), core=core, bucket_bars=bucket_bars, before=before, whole=True
-    )
+    items = standard_indicators(endless)
+    measured = add_indicators(bars, *items, core=core, bucket_bars=bucket_bars, before=before, whole=True)
     calendar = calendar_columns()
     return measured.select(
         *bars.columns,
